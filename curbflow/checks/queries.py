@@ -1,194 +1,8 @@
-"""One entry per operator: (spark, folder of the given tables) -> DataFrame."""
+"""All registered queries."""
 
 from __future__ import annotations
 
-import datetime as dt
-from collections.abc import Callable
+from curbflow.checks import lifting_queries, sweeping_queries  # noqa: F401
+from curbflow.checks.registry import ORACLES, QUERIES
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from curbflow.checks.sql_views import statement
-from curbflow.plans import sweeping
-from curbflow.plans.sweep_rules import LEGACY
-from curbflow.sources import pings as ping_source
-from curbflow.sources.derived import DerivedFleet
-
-# The day trips are created for, and the clock of that run.
-TODAY = dt.date(2024, 1, 10)
-NOW = dt.datetime(2024, 1, 10, 9, 30)
-# The clock of the ping batch, which holds all pings of the month.
-LOG_DAY = dt.date(2024, 1, 30)
-
-# Results are compared as rounded doubles: sums of floats differ in the last digits between engines.
-DIGITS = 4
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None):
-    """Register the decorated function of a fleet under ``name``, with its SQL twin."""
-
-    def register(build: Callable[[DerivedFleet], DataFrame]):
-        QUERIES[name] = lambda spark, folder: build(DerivedFleet(spark, folder))
-        if sql is not None:
-            ORACLES[name] = statement(sql)
-        return build
-
-    return register
-
-
-def rounded(*names: str) -> list[Column]:
-    return [F.round(F.col(name), DIGITS).alias(name) for name in names]
-
-
-def r_sql(*names: str) -> str:
-    return ", ".join(f"round({name}, {DIGITS}) as {name}" for name in names)
-
-
-# ---- pings -------------------------------------------------------------------
-
-
-@query(
-    "ping_lift_reads",
-    "select id, vehicle_id, tag_key, movement_time, contract_type_id, company_id, tenant_id from lift_pings",
-)
-def ping_lift_reads(fleet):
-    return ping_source.lift_reads(fleet.pings, fleet.vehicles).select(
-        "id", "vehicle_id", "tag_key", "movement_time", "contract_type_id", "company_id", "tenant_id"
-    )
-
-
-@query("ping_sweep_reads", "select id, vehicle_id, movement_time, speed from sweep_pings")
-def ping_sweep_reads(fleet):
-    return ping_source.sweep_reads(fleet.pings).select("id", "vehicle_id", "movement_time", "speed")
-
-
-@query("ping_overlong_tags", "select id, tag from pings where trim(tag) <> '' and length(rtrim(tag)) > 30")
-def ping_overlong_tags(fleet):
-    return ping_source.overlong_tags(fleet.pings).select("id", "tag")
-
-
-@query(
-    "tag_reference_first_seen",
-    f"""select tag_key, {r_sql("longitude", "latitude")} from lift_pings l
-    where not exists (select 1 from tag_references r where upper(rtrim(r.tag)) = l.tag_key)""",
-)
-def tag_reference_first_seen(fleet):
-    lifts = ping_source.lift_reads(fleet.pings, fleet.vehicles)
-    return ping_source.new_tag_references(lifts, fleet.tag_references).select(
-        "tag_key", *rounded("longitude", "latitude")
-    )
-
-
-# ---- sweeping ----------------------------------------------------------------
-
-LOCATION_IDS = ("ping_id", "trip_id", "stop_summary_id", "vehicle_id")
-
-
-def _locations(fleet) -> DataFrame:
-    return sweeping.street_proximity(ping_source.sweep_reads(fleet.pings), fleet)
-
-
-def _streets(fleet) -> DataFrame:
-    return sweeping.swept_streets(_locations(fleet))
-
-
-PROXIMITY = (
-    *LOCATION_IDS, "trip_summary_id", "plan_id", "service_id", "contract_id", "group_id", "group_type",
-    "contract_type_id", "company_id", "vehicle_type", "company_type", "active_trips",
-)
-
-
-@query(
-    "street_proximity",
-    f"select {', '.join(PROXIMITY)}, movement_time, round(distance, 6) as distance from near_streets",
-)
-def street_proximity(fleet):
-    return _locations(fleet).select(*PROXIMITY, "movement_time", F.round("distance", 6).alias("distance"))
-
-
-POSITIONS = ("longitude", "latitude", "last_longitude", "last_latitude")
-
-
-@query("ping_segments", f"select {', '.join(LOCATION_IDS)}, {r_sql(*POSITIONS)} from sweep_segments")
-def ping_segments(fleet):
-    return sweeping.ping_segments(_locations(fleet)).select(*LOCATION_IDS, *rounded(*POSITIONS))
-
-
-@query("segment_haversine", f"select {', '.join(LOCATION_IDS)}, {r_sql('metres')} from sweep_metres")
-def segment_haversine(fleet):
-    return sweeping.segment_metres(sweeping.ping_segments(_locations(fleet))).select(*LOCATION_IDS, *rounded("metres"))
-
-
-FLAGS = ("gps_on", "water_on", "brush_on", "side_on")
-
-
-@query("sweep_validity_flags", f"select {', '.join(LOCATION_IDS + FLAGS)} from sweep_flags")
-def sweep_validity_flags(fleet):
-    segments = sweeping.segment_metres(sweeping.ping_segments(_locations(fleet)))
-    return sweeping.validity_flags(segments).select(*LOCATION_IDS, *FLAGS)
-
-
-STREET_IDS = ("trip_id", "stop_summary_id", "vehicle_type", "company_type")
-STREET_METRES = ("valid_metres", "water_metres", "brush_metres", "gps_metres")
-
-
-@query("street_distance_agg", f"select {', '.join(STREET_IDS)}, {r_sql(*STREET_METRES)} from street_sums")
-def street_distance_agg(fleet):
-    flagged = sweeping.validity_flags(_locations(fleet))
-    measured = sweeping.segment_metres(sweeping.ping_segments(flagged))
-    return sweeping.street_distances(measured).select(*STREET_IDS, *rounded(*STREET_METRES))
-
-
-@query("street_completion", f"select {', '.join(STREET_IDS)}, {r_sql('completion')} from street_results")
-def street_completion(fleet):
-    return _streets(fleet).select(*STREET_IDS, *rounded("completion"))
-
-
-STOP_STATE = ("total_distance", "completion_pct", "brush_distance", "water_distance", "gps_distance")
-
-
-@query("street_state_update", f"select id, is_swept, {r_sql(*STOP_STATE)} from swept_summaries")
-def street_state_update(fleet):
-    state = sweeping.street_state(fleet.stop_summaries, _streets(fleet))
-    return state.select("id", "is_swept", *rounded(*STOP_STATE))
-
-
-TRIP_IDS = ("trip_id", "trip_summary_id", "plan_id", "service_id", "contract_id", "group_id", "active_trips")
-
-
-def _swept_trips(fleet) -> tuple[DataFrame, DataFrame]:
-    locations = _locations(fleet)
-    streets = sweeping.swept_streets(locations)
-    state = sweeping.street_state(fleet.stop_summaries, streets)
-    return sweeping.swept_trips(streets, state, fleet), locations
-
-
-@query(
-    "trip_weighted_completion",
-    f"select {', '.join(TRIP_IDS)}, {r_sql('plan_old_pct', 'trip_pct', 'valid_metres')} from swept_trip_results",
-)
-def trip_weighted_completion(fleet):
-    return _swept_trips(fleet)[0].select(*TRIP_IDS, *rounded("plan_old_pct", "trip_pct", "valid_metres"))
-
-
-@query(
-    "trip_sweep_update",
-    f"""select ts.id, round(case when r.trip_id is null then completion_pct else trip_pct end, {DIGITS})
-            as completion_pct, coalesce(actual_start, first_ping) as actual_start,
-        round(actual_coverage + coalesce(valid_metres, 0), {DIGITS}) as actual_coverage
-    from trip_summaries ts left join swept_trip_results r on r.trip_summary_id = ts.id
-    left join (select trip_id, min(movement_time) as first_ping from sweep_segments group by trip_id) f
-        on f.trip_id = r.trip_id""",
-)
-def trip_sweep_update(fleet):
-    trips, locations = _swept_trips(fleet)
-    return sweeping.sweep_trip_state(fleet.trip_summaries, trips, locations).select(
-        "id", "actual_start", *rounded("completion_pct", "actual_coverage")
-    )
-
-
-@query("sweep_ruleset_legacy", f"select {', '.join(STREET_IDS)}, {r_sql(*STREET_METRES, 'completion')} from street_legacy_results")
-def sweep_ruleset_legacy(fleet):
-    return sweeping.swept_streets(_locations(fleet), LEGACY).select(*STREET_IDS, *rounded(*STREET_METRES, "completion"))
+__all__ = ["ORACLES", "QUERIES"]

@@ -87,7 +87,9 @@ TABLES = {
             case when id < 0 then 11e0 else 0e0 end as brush_distance,
             case when id < 0 then 12e0 else 0e0 end as water_distance,
             case when id < 0 then 13e0 else 0e0 end as gps_distance,
-            id % 6 = 0 as is_swept, 1 + id % 2 as completion_type
+            id % 6 = 0 as is_swept, 1 + id % 2 as completion_type,
+            cast(null as {ts}) as completion_time, 0e0 as bin_longitude, 0e0 as bin_latitude,
+            cast(null as bigint) as vehicle_id, cast(null as bigint) as device
         from {stops} where id % 17 <> 5""",
     "trip_summaries": """
         select id * 10 + 2 as id, id as trip_id,
