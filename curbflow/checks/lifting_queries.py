@@ -7,28 +7,12 @@ from pyspark.sql import DataFrame, functions as F
 from curbflow.checks import sql_lifting
 from curbflow.checks.registry import query, r_sql, rounded
 from curbflow.plans import lifting, matching
-from curbflow.sources.pings import lift_reads
 
 MATCH = matching.MATCH
 
 
-def _lifts(fleet) -> DataFrame:
-    return lift_reads(fleet.pings, fleet.vehicles)
-
-
-def _hits(fleet) -> DataFrame:
-    return matching.tag_hits(_lifts(fleet), fleet.stops)
-
-
-def _matches(fleet) -> DataFrame:
-    lifts = _lifts(fleet)
-    cases = matching.match_lifts(lifts, fleet.stops, fleet.trips, fleet.stop_summaries)
-    return matching.with_ping(cases, lifts)
-
-
-def _taken(fleet, case_no: int) -> DataFrame:
-    cases = matching.match_lifts(_lifts(fleet), fleet.stops, fleet.trips, fleet.stop_summaries)
-    return cases.where(f"case_no = {case_no}").select(*MATCH)
+def _taken(batch, case_no: int) -> DataFrame:
+    return batch.cases.where(f"case_no = {case_no}").select(*MATCH)
 
 
 CASE_NAMES = {
@@ -41,22 +25,22 @@ CASE_NAMES = {
 
 
 @query("lift_case1_on_plan", f"select {', '.join(MATCH)} from taken_1")
-def lift_case1(fleet):
-    return matching.on_plan(_hits(fleet), fleet.trips, fleet.stop_summaries).select(*MATCH)
+def lift_case1(batch):
+    return matching.on_plan(batch.hits, batch.fleet.stop_summaries).select(*MATCH)
 
 
 for _case, _name in CASE_NAMES.items():
-    query(_name, f"select {', '.join(MATCH)} from taken_{_case}")(lambda fleet, case=_case: _taken(fleet, case))
+    query(_name, f"select {', '.join(MATCH)} from taken_{_case}")(lambda batch, case=_case: _taken(batch, case))
 
 
 @query("lift_case7_unplanned", "select ping_id, case_no from taken_7")
-def lift_case7(fleet):
-    return _taken(fleet, 7).select("ping_id", "case_no")
+def lift_case7(batch):
+    return _taken(batch, 7).select("ping_id", "case_no")
 
 
 @query("lift_case_cascade", f"select {', '.join(MATCH)} from lift_cases")
-def lift_case_cascade(fleet):
-    return matching.match_lifts(_lifts(fleet), fleet.stops, fleet.trips, fleet.stop_summaries).select(*MATCH)
+def lift_case_cascade(batch):
+    return batch.cases.select(*MATCH)
 
 
 # ---- places ------------------------------------------------------------------
@@ -72,8 +56,8 @@ NO_LABEL = "coalesce(moved_by, '-') as moved_by"
         from bins b left join (select distinct tag_key, case_no, longitude, latitude from lift_matches
             where case_no <> 6) m on m.tag_key = upper(rtrim(b.tag)) and not b.is_deleted) b""",
 )
-def bin_location_update(fleet):
-    return lifting.bin_location_update(fleet.bins, _matches(fleet)).select(
+def bin_location_update(batch):
+    return lifting.bin_location_update(batch.fleet.bins, batch.matches).select(
         "id", *rounded("longitude", "latitude"), F.coalesce("moved_by", F.lit("-")).alias("moved_by")
     )
 
@@ -85,29 +69,29 @@ def bin_location_update(fleet):
         join (select distinct tag_key, longitude, latitude from lift_matches where case_no = 1) m
             on m.tag_key = upper(rtrim(s.tag)) where not s.is_deleted)""",
 )
-def geometry_location_update(fleet):
-    moved = lifting.geometry_location_update(fleet.streets, _matches(fleet))
+def geometry_location_update(batch):
+    moved = lifting.geometry_location_update(batch.fleet.streets, batch.matches)
     return moved.where("moved_by is not null").select("id", *rounded("longitude", "latitude"))
 
 
-def _tags(fleet) -> DataFrame:
-    return _lifts(fleet).select("tag_key")
+def _tags(batch) -> DataFrame:
+    return batch.lifts.select("tag_key")
 
 
 @query(
     "top_bin_per_tag",
     "select tag_key, bin_id from best_bins where tag_key in (select tag_key from lift_pings)",
 )
-def top_bin_per_tag(fleet):
-    return lifting.top_bin_per_tag(fleet.bins, _tags(fleet)).select("tag_key", "bin_id")
+def top_bin_per_tag(batch):
+    return lifting.top_bin_per_tag(batch.fleet.bins, _tags(batch)).select("tag_key", "bin_id")
 
 
 @query(
     "top_geometry_per_tag",
     "select tag_key, geometry_id from best_geometry where tag_key in (select tag_key from lift_pings)",
 )
-def top_geometry_per_tag(fleet):
-    return lifting.top_geometry_per_tag(fleet.streets, _tags(fleet))
+def top_geometry_per_tag(batch):
+    return lifting.top_geometry_per_tag(batch.fleet.streets, _tags(batch))
 
 
 # ---- stop summaries ----------------------------------------------------------
@@ -118,41 +102,37 @@ STATE = (
 
 
 @query("lift_state_case1", sql_lifting.lifted_state(1, "s.status_lookup = 13"))
-def lift_state_case1(fleet):
-    return lifting.lift_state_case1(fleet.stop_summaries, _matches(fleet)).select(*STATE)
+def lift_state_case1(batch):
+    return lifting.lift_state_case1(batch.fleet.stop_summaries, batch.matches).select(*STATE)
 
 
 @query("lift_state_case1_intended", sql_lifting.lifted_state(1, "s.status_lookup is null or s.status_lookup = 13"))
-def lift_state_case1_intended(fleet):
-    return lifting.lift_state_case1(fleet.stop_summaries, _matches(fleet), strict_nulls=False).select(*STATE)
+def lift_state_case1_intended(batch):
+    return lifting.lift_state_case1(batch.fleet.stop_summaries, batch.matches, strict_nulls=False).select(*STATE)
 
 
 @query("lift_state_case2", sql_lifting.lifted_state(2, "s.status_lookup is null or s.status_lookup = 14"))
-def lift_state_case2(fleet):
-    return lifting.lift_state_case2(fleet.stop_summaries, _matches(fleet)).select(*STATE)
+def lift_state_case2(batch):
+    return lifting.lift_state_case2(batch.fleet.stop_summaries, batch.matches).select(*STATE)
 
 
 for _case in (5, 6):
     query(f"lift_state_case{_case}", sql_lifting.lifted_state(_case, "s.status_lookup is null", "other_vehicle_hits"))(
-        lambda fleet, case=_case: lifting.lift_state_other_vehicle(
-            fleet.stop_summaries, _matches(fleet), case
+        lambda batch, case=_case: lifting.lift_state_other_vehicle(
+            batch.fleet.stop_summaries, batch.matches, case
         ).select(*STATE)
     )
 
 
-def _new_stops(fleet, case_no: int) -> DataFrame:
-    return lifting.off_plan_stops(_matches(fleet), case_no, fleet.bins, fleet.streets, fleet.stops, fleet.trips)
-
-
 NEW_STOP = ("trip_id", "tag_key", "bin_id", "geometry_id", "created_date")
 for _case in (3, 4):
     query(
         f"off_plan_stops_case{_case}",
         f"select {', '.join(NEW_STOP)}, -1 as stop_order from added_stops where case_no = {_case}",
-    )(lambda fleet, case=_case: _new_stops(fleet, case).select(*NEW_STOP, "stop_order"))
+    )(lambda batch, case=_case: batch.new_stops(case).select(*NEW_STOP, "stop_order"))
 
-    def _summary_rows(fleet, case=_case):
-        stops = _new_stops(fleet, case)
+    def _summary_rows(batch, case=_case):
+        stops = batch.new_stops(case)
         rows = lifting.off_plan_summaries(stops, case)
         return rows.join(stops.select(F.col("id").alias("stop_id"), "trip_id", "tag_key"), "stop_id").select(
             "trip_id", "tag_key", "bin_status", "status_lookup", "lifts", "last_completion", "device", "vehicle_id",
@@ -172,9 +152,9 @@ for _case in (3, 4):
     """select id as stop_id, trip_id from stops s
     where tag is not null and not exists (select 1 from stop_summaries x where x.stop_id = s.id)""",
 )
-def stop_insert_missing(fleet):
-    staged = fleet.stops.where("tag is not null").select(F.col("id").alias("stop_id"), "trip_id")
-    return lifting.missing_summaries(staged, fleet.stop_summaries)
+def stop_insert_missing(batch):
+    staged = batch.fleet.stops.where("tag is not null").select(F.col("id").alias("stop_id"), "trip_id")
+    return lifting.missing_summaries(staged, batch.fleet.stop_summaries)
 
 
 # ---- unplanned tags ----------------------------------------------------------
@@ -186,8 +166,8 @@ def stop_insert_missing(fleet):
     from lift_matches m join bins b on upper(rtrim(b.tag)) = m.tag_key and not b.is_deleted
     join vehicles v on v.id = m.vehicle_id and not v.is_deleted where m.case_no = 7""",
 )
-def latest_tag_event(fleet):
-    return lifting.latest_tag_events(_matches(fleet), fleet.bins, fleet.vehicles).select(
+def latest_tag_event(batch):
+    return lifting.latest_tag_events(batch.matches, batch.fleet.bins, batch.fleet.vehicles).select(
         "ping_id", "tag_key", "vehicle_id", "bin_id", "created_date"
     )
 
@@ -199,15 +179,16 @@ def latest_tag_event(fleet):
     from bins b left join (select tag_key, max(movement_time) as latest from lift_matches where case_no = 7 group by 1)
         m on m.tag_key = upper(rtrim(b.tag))""",
 )
-def bin_last_completion(fleet):
-    return lifting.bin_last_completion(fleet.bins, _matches(fleet)).select("id", "last_completion")
+def bin_last_completion(batch):
+    return lifting.bin_last_completion(batch.fleet.bins, batch.matches).select("id", "last_completion")
 
 
 # ---- waste and trips ---------------------------------------------------------
 
 
-def _waste_records(fleet) -> DataFrame:
-    return lifting.waste_records(_matches(fleet), fleet.trip_summaries, fleet.vehicles, fleet.vehicle_types)
+def _waste_records(batch) -> DataFrame:
+    fleet = batch.fleet
+    return lifting.waste_records(batch.matches, fleet.trip_summaries, fleet.vehicles, fleet.vehicle_types)
 
 
 @query(
@@ -215,16 +196,16 @@ def _waste_records(fleet) -> DataFrame:
     f"""select ping_id, case_no, trip_id, {r_sql("io9", "full_weight", "empty_weight", "full_voltage",
         "empty_voltage")} from waste_rows""",
 )
-def waste_records(fleet):
-    return _waste_records(fleet).select(
+def waste_records(batch):
+    return _waste_records(batch).select(
         "ping_id", "case_no", "trip_id",
         *rounded("io9", "full_weight", "empty_weight", "full_voltage", "empty_voltage"),
     )
 
 
 @query("waste_weight_per_trip", f"select trip_id, {r_sql('waste')} from waste_sums")
-def waste_weight_per_trip(fleet):
-    return lifting.waste_per_trip(_waste_records(fleet)).select("trip_id", *rounded("waste"))
+def waste_weight_per_trip(batch):
+    return lifting.waste_per_trip(_waste_records(batch)).select("trip_id", *rounded("waste"))
 
 
 CONTEXT = (
@@ -234,8 +215,8 @@ CONTEXT = (
 
 
 @query("trip_lift_context", f"select {', '.join(CONTEXT)}, cast(trip_pct as double) as trip_pct from lift_contexts")
-def trip_lift_context(fleet):
-    return lifting.trip_lift_context(_matches(fleet), fleet).select(
+def trip_lift_context(batch):
+    return batch.lift_contexts.select(
         *CONTEXT, F.col("trip_pct").cast("double").alias("trip_pct")
     )
 
@@ -244,15 +225,10 @@ TRIP_STATE = ("waste_weight", "actual_coverage", "completion_pct")
 
 
 @query("trip_lift_update", f"select id, actual_start, status, {r_sql(*TRIP_STATE)} from lifted_trips")
-def trip_lift_update(fleet):
-    matches = _matches(fleet)
-    waste = lifting.waste_per_trip(
-        lifting.waste_records(matches, fleet.trip_summaries, fleet.vehicles, fleet.vehicle_types)
-    )
-    contexts = lifting.trip_lift_context(matches, fleet)
-    return lifting.lift_trip_state(fleet.trip_summaries, contexts, matches, waste).select(
-        "id", "actual_start", "status", *rounded(*TRIP_STATE)
-    )
+def trip_lift_update(batch):
+    return lifting.lift_trip_state(
+        batch.fleet.trip_summaries, batch.lift_contexts, batch.matches, batch.waste
+    ).select("id", "actual_start", "status", *rounded(*TRIP_STATE))
 
 
 # ---- alerts ------------------------------------------------------------------
@@ -270,8 +246,8 @@ EVENT = ("ping_id", "case_no", "bin_id", "vehicle_id", "plate", "container_slot"
         from lift_matches m join bins b on upper(rtrim(b.tag)) = m.tag_key join vehicles v on v.id = m.vehicle_id
         join contract_types ct on ct.id = v.contract_type_id where m.case_no in (3, 4))""",
 )
-def lift_outside_scope_events(fleet):
-    events = lifting.outside_scope_events(_matches(fleet), fleet.bins, fleet.vehicles, fleet.contract_types)
+def lift_outside_scope_events(batch):
+    events = lifting.outside_scope_events(batch.matches, batch.fleet.bins, batch.fleet.vehicles, batch.fleet.contract_types)
     return events.select(*EVENT, *rounded("longitude", "latitude"))
 
 
@@ -287,9 +263,9 @@ def lift_outside_scope_events(fleet):
                 * pow(sin(radians(l.longitude - r.longitude) / 2), 2))) > 5
         and l.tag_key not in (select upper(rtrim(tag)) from tag_violations)""",
 )
-def tag_location_violations(fleet):
+def tag_location_violations(batch):
     found = lifting.tag_location_violations(
-        _lifts(fleet), _matches(fleet), fleet.tag_references, fleet.bins, fleet.tag_violations
+        batch.lifts, batch.matches, batch.fleet.tag_references, batch.fleet.bins, batch.fleet.tag_violations
     )
     return found.select(
         "ping_id", "tag_key", "vehicle_id", "bin_id", "movement_time", *rounded("longitude", "latitude")

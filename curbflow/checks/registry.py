@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from curbflow.checks.sql_views import statement
+from curbflow.plans.batch import Batch
 from curbflow.sources.derived import DerivedFleet
 
 # The day trips are created for, and the clock of that run.
@@ -24,10 +25,10 @@ ORACLES: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None):
-    """Register the decorated function of a fleet under ``name``, with its SQL twin."""
+    """Register the decorated function of a batch under ``name``, with its SQL twin."""
 
-    def register(build: Callable[[DerivedFleet], DataFrame]):
-        QUERIES[name] = lambda spark, folder: build(DerivedFleet(spark, folder))
+    def register(build: Callable[[Batch], DataFrame]):
+        QUERIES[name] = lambda spark, folder: build(Batch(DerivedFleet(spark, folder)))
         if sql is not None:
             ORACLES[name] = statement(sql)
         return build

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import functions as F
 
 from curbflow.checks.registry import DIGITS, query, r_sql, rounded
 from curbflow.plans import sweeping
@@ -16,20 +16,20 @@ from curbflow.sources import pings as ping_source
     "ping_lift_reads",
     "select id, vehicle_id, tag_key, movement_time, contract_type_id, company_id, tenant_id from lift_pings",
 )
-def ping_lift_reads(fleet):
-    return ping_source.lift_reads(fleet.pings, fleet.vehicles).select(
+def ping_lift_reads(batch):
+    return ping_source.lift_reads(batch.fleet.pings, batch.fleet.vehicles).select(
         "id", "vehicle_id", "tag_key", "movement_time", "contract_type_id", "company_id", "tenant_id"
     )
 
 
 @query("ping_sweep_reads", "select id, vehicle_id, movement_time, speed from sweep_pings")
-def ping_sweep_reads(fleet):
-    return ping_source.sweep_reads(fleet.pings).select("id", "vehicle_id", "movement_time", "speed")
+def ping_sweep_reads(batch):
+    return ping_source.sweep_reads(batch.fleet.pings).select("id", "vehicle_id", "movement_time", "speed")
 
 
 @query("ping_overlong_tags", "select id, tag from pings where trim(tag) <> '' and length(rtrim(tag)) > 30")
-def ping_overlong_tags(fleet):
-    return ping_source.overlong_tags(fleet.pings).select("id", "tag")
+def ping_overlong_tags(batch):
+    return ping_source.overlong_tags(batch.fleet.pings).select("id", "tag")
 
 
 @query(
@@ -37,9 +37,9 @@ def ping_overlong_tags(fleet):
     f"""select tag_key, {r_sql("longitude", "latitude")} from lift_pings l
     where not exists (select 1 from tag_references r where upper(rtrim(r.tag)) = l.tag_key)""",
 )
-def tag_reference_first_seen(fleet):
-    lifts = ping_source.lift_reads(fleet.pings, fleet.vehicles)
-    return ping_source.new_tag_references(lifts, fleet.tag_references).select(
+def tag_reference_first_seen(batch):
+    lifts = ping_source.lift_reads(batch.fleet.pings, batch.fleet.vehicles)
+    return ping_source.new_tag_references(lifts, batch.fleet.tag_references).select(
         "tag_key", *rounded("longitude", "latitude")
     )
 
@@ -49,14 +49,6 @@ def tag_reference_first_seen(fleet):
 LOCATION_IDS = ("ping_id", "trip_id", "stop_summary_id", "vehicle_id")
 
 
-def _locations(fleet) -> DataFrame:
-    return sweeping.street_proximity(ping_source.sweep_reads(fleet.pings), fleet)
-
-
-def _streets(fleet) -> DataFrame:
-    return sweeping.swept_streets(_locations(fleet))
-
-
 PROXIMITY = (
     *LOCATION_IDS, "trip_summary_id", "plan_id", "service_id", "contract_id", "group_id", "group_type",
     "contract_type_id", "company_id", "vehicle_type", "company_type", "active_trips",
@@ -67,29 +59,30 @@ PROXIMITY = (
     "street_proximity",
     f"select {', '.join(PROXIMITY)}, movement_time, round(distance, 6) as distance from near_streets",
 )
-def street_proximity(fleet):
-    return _locations(fleet).select(*PROXIMITY, "movement_time", F.round("distance", 6).alias("distance"))
+def street_proximity(batch):
+    return batch.locations.select(*PROXIMITY, "movement_time", F.round("distance", 6).alias("distance"))
 
 
 POSITIONS = ("longitude", "latitude", "last_longitude", "last_latitude")
 
 
 @query("ping_segments", f"select {', '.join(LOCATION_IDS)}, {r_sql(*POSITIONS)} from sweep_segments")
-def ping_segments(fleet):
-    return sweeping.ping_segments(_locations(fleet)).select(*LOCATION_IDS, *rounded(*POSITIONS))
+def ping_segments(batch):
+    return sweeping.ping_segments(batch.locations).select(*LOCATION_IDS, *rounded(*POSITIONS))
 
 
 @query("segment_haversine", f"select {', '.join(LOCATION_IDS)}, {r_sql('metres')} from sweep_metres")
-def segment_haversine(fleet):
-    return sweeping.segment_metres(sweeping.ping_segments(_locations(fleet))).select(*LOCATION_IDS, *rounded("metres"))
+def segment_haversine(batch):
+    measured = sweeping.segment_metres(sweeping.ping_segments(batch.locations)).where("metres is not null")
+    return measured.select(*LOCATION_IDS, *rounded("metres"))
 
 
 FLAGS = ("gps_on", "water_on", "brush_on", "side_on")
 
 
 @query("sweep_validity_flags", f"select {', '.join(LOCATION_IDS + FLAGS)} from sweep_flags")
-def sweep_validity_flags(fleet):
-    segments = sweeping.segment_metres(sweeping.ping_segments(_locations(fleet)))
+def sweep_validity_flags(batch):
+    segments = sweeping.segment_metres(sweeping.ping_segments(batch.locations)).where("metres is not null")
     return sweeping.validity_flags(segments).select(*LOCATION_IDS, *FLAGS)
 
 
@@ -98,42 +91,33 @@ STREET_METRES = ("valid_metres", "water_metres", "brush_metres", "gps_metres")
 
 
 @query("street_distance_agg", f"select {', '.join(STREET_IDS)}, {r_sql(*STREET_METRES)} from street_sums")
-def street_distance_agg(fleet):
-    flagged = sweeping.validity_flags(_locations(fleet))
-    measured = sweeping.segment_metres(sweeping.ping_segments(flagged))
-    return sweeping.street_distances(measured).select(*STREET_IDS, *rounded(*STREET_METRES))
+def street_distance_agg(batch):
+    return sweeping.street_distances(batch.totals).select(*STREET_IDS, *rounded(*STREET_METRES))
 
 
 @query("street_completion", f"select {', '.join(STREET_IDS)}, {r_sql('completion')} from street_results")
-def street_completion(fleet):
-    return _streets(fleet).select(*STREET_IDS, *rounded("completion"))
+def street_completion(batch):
+    return batch.streets.select(*STREET_IDS, *rounded("completion"))
 
 
 STOP_STATE = ("total_distance", "completion_pct", "brush_distance", "water_distance", "gps_distance")
 
 
 @query("street_state_update", f"select id, is_swept, {r_sql(*STOP_STATE)} from swept_summaries")
-def street_state_update(fleet):
-    state = sweeping.street_state(fleet.stop_summaries, _streets(fleet))
+def street_state_update(batch):
+    state = sweeping.street_state(batch.fleet.stop_summaries, batch.streets)
     return state.select("id", "is_swept", *rounded(*STOP_STATE))
 
 
 TRIP_IDS = ("trip_id", "trip_summary_id", "plan_id", "service_id", "contract_id", "group_id", "active_trips")
 
 
-def _swept_trips(fleet) -> tuple[DataFrame, DataFrame]:
-    locations = _locations(fleet)
-    streets = sweeping.swept_streets(locations)
-    state = sweeping.street_state(fleet.stop_summaries, streets)
-    return sweeping.swept_trips(streets, state, fleet), locations
-
-
 @query(
     "trip_weighted_completion",
     f"select {', '.join(TRIP_IDS)}, {r_sql('plan_old_pct', 'trip_pct', 'valid_metres')} from swept_trip_results",
 )
-def trip_weighted_completion(fleet):
-    return _swept_trips(fleet)[0].select(*TRIP_IDS, *rounded("plan_old_pct", "trip_pct", "valid_metres"))
+def trip_weighted_completion(batch):
+    return batch.swept.select(*TRIP_IDS, *rounded("plan_old_pct", "trip_pct", "valid_metres"))
 
 
 @query(
@@ -145,13 +129,12 @@ def trip_weighted_completion(fleet):
     left join (select trip_id, min(movement_time) as first_ping from sweep_segments group by trip_id) f
         on f.trip_id = r.trip_id""",
 )
-def trip_sweep_update(fleet):
-    trips, locations = _swept_trips(fleet)
-    return sweeping.sweep_trip_state(fleet.trip_summaries, trips, locations).select(
+def trip_sweep_update(batch):
+    return sweeping.sweep_trip_state(batch.fleet.trip_summaries, batch.swept, batch.totals).select(
         "id", "actual_start", *rounded("completion_pct", "actual_coverage")
     )
 
 
 @query("sweep_ruleset_legacy", f"select {', '.join(STREET_IDS)}, {r_sql(*STREET_METRES, 'completion')} from street_legacy_results")
-def sweep_ruleset_legacy(fleet):
-    return sweeping.swept_streets(_locations(fleet), LEGACY).select(*STREET_IDS, *rounded(*STREET_METRES, "completion"))
+def sweep_ruleset_legacy(batch):
+    return sweeping.swept_streets(batch.locations, LEGACY).select(*STREET_IDS, *rounded(*STREET_METRES, "completion"))

@@ -17,8 +17,8 @@ def haversine_metres(lat1: Column, lon1: Column, lat2: Column, lon2: Column) ->
     half_lat = F.radians((lat1 - lat2) / 2)
     half_lon = F.radians((lon1 - lon2) / 2)
     chord = F.pow(F.sin(half_lat), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(half_lon), 2)
-    # Rounding can lift the term just above one for opposite points.
-    return F.lit(2.0 * EARTH_RADIUS_METRES) * F.asin(F.sqrt(F.least(chord, F.lit(1.0))))
+    # Rounding can lift the term just above one for opposite points; null stays null.
+    return F.lit(2.0 * EARTH_RADIUS_METRES) * F.asin(F.sqrt(F.when(chord > 1, 1.0).otherwise(chord)))
 
 
 def point_to_piece_degrees(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:

@@ -29,27 +29,23 @@ def reads_of(lifts: DataFrame) -> DataFrame:
     return lifts.select(F.col("id").alias("ping_id"), "tag_key", "vehicle_id", "movement_time")
 
 
-def tag_hits(lifts: DataFrame, stops: DataFrame) -> DataFrame:
-    """Reads with every stop that has their tag, deleted trips' stops included.
-
-    The one join with the stop table: cases 1 to 7 all start from it. Worth
-    caching where several cases are taken.
-    """
-    planned = stops.where(F.col("tag").isNotNull()).select(
-        tag_key(F.col("tag")).alias("tag_key"), F.col("id").alias("stop_id"), "trip_id"
-    )
-    return reads_of(lifts).join(planned, "tag_key").select(*READ, "trip_id", "stop_id")
-
-
 def live_trips(trips: DataFrame) -> DataFrame:
     return trips.where(~F.col("is_deleted")).select(
         F.col("id").alias("trip_id"), F.col("vehicle_id").alias("trip_vehicle"), "start_trip", "end_trip"
     )
 
 
-def trip_hits(hits: DataFrame, trips: DataFrame) -> DataFrame:
-    """Tag hits on trips that are not deleted, with the trip's vehicle and window."""
-    return hits.join(live_trips(trips), "trip_id")
+def tag_hits(lifts: DataFrame, stops: DataFrame, trips: DataFrame) -> DataFrame:
+    """Reads with every stop that has their tag, and the vehicle and window of its trip.
+
+    The window is null where the trip is deleted or missing: such a stop still
+    counts as having the tag. The one join with the stop table; every case
+    starts from it, so settle it (:func:`curbflow.session.cut_lineage`) first.
+    """
+    planned = stops.where(F.col("tag").isNotNull()).select(
+        tag_key(F.col("tag")).alias("tag_key"), F.col("id").alias("stop_id"), "trip_id"
+    )
+    return reads_of(lifts).join(planned, "tag_key").join(live_trips(trips), "trip_id", "left")
 
 
 def _summaries(stop_summaries: DataFrame) -> DataFrame:
@@ -72,17 +68,16 @@ STARTED = F.col("start_trip") <= F.col("movement_time")
 ENDED = F.col("end_trip") < F.col("movement_time")
 
 
-def on_plan(hits: DataFrame, trips: DataFrame, stop_summaries: DataFrame) -> DataFrame:
+def on_plan(hits: DataFrame, stop_summaries: DataFrame) -> DataFrame:
     """Case 1: every match of the read, one per stop summary."""
-    inside = trip_hits(hits, trips).where(SAME & STARTED & (F.col("movement_time") <= F.col("end_trip")))
+    inside = hits.where(SAME & STARTED & (F.col("movement_time") <= F.col("end_trip")))
     return _match(inside.join(_summaries(stop_summaries), "stop_id"), 1)
 
 
-def late_on_plan(hits: DataFrame, trips: DataFrame, stop_summaries: DataFrame) -> DataFrame:
+def late_on_plan(hits: DataFrame, stop_summaries: DataFrame) -> DataFrame:
     """Case 2: the stop of the latest ended trip, chosen before its summary is looked up."""
     latest = (
-        trip_hits(hits, trips)
-        .where(SAME & ENDED)
+        hits.where(SAME & ENDED)
         .groupBy("ping_id")
         .agg(F.max(F.struct("end_trip", "trip_id", "stop_id")).alias("best"))
         .select("ping_id", "best.trip_id", "best.stop_id")
@@ -114,11 +109,10 @@ def late_off_plan(lifts: DataFrame, hits: DataFrame, trips: DataFrame) -> DataFr
     return _match(_without_tag(picked, hits), 4)
 
 
-def other_vehicle(hits: DataFrame, trips: DataFrame) -> DataFrame:
+def other_vehicle(hits: DataFrame) -> DataFrame:
     """Case 5: the trip of another vehicle with the tag, [start, end)."""
     picked = (
-        trip_hits(hits, trips)
-        .where(OTHER & STARTED & (F.col("movement_time") < F.col("end_trip")))
+        hits.where(OTHER & STARTED & (F.col("movement_time") < F.col("end_trip")))
         .groupBy("ping_id")
         .agg(F.max(F.struct("start_trip", "trip_id", "stop_id")).alias("best"))
         .select("ping_id", "best.trip_id", "best.stop_id")
@@ -126,11 +120,10 @@ def other_vehicle(hits: DataFrame, trips: DataFrame) -> DataFrame:
     return _match(picked, 5)
 
 
-def other_vehicle_late(hits: DataFrame, trips: DataFrame) -> DataFrame:
+def other_vehicle_late(hits: DataFrame) -> DataFrame:
     """Case 6: the latest ended trip of another vehicle with the tag."""
     picked = (
-        trip_hits(hits, trips)
-        .where(OTHER & ENDED)
+        hits.where(OTHER & ENDED)
         .groupBy("ping_id")
         .agg(F.max(F.struct("end_trip", "trip_id", "stop_id")).alias("best"))
         .select("ping_id", "best.trip_id", "best.stop_id")
@@ -143,23 +136,20 @@ def unplanned(lifts: DataFrame, hits: DataFrame) -> DataFrame:
     return _match(reads_of(lifts).join(hits.select("ping_id"), "ping_id", "left_anti"), 7)
 
 
-def match_lifts(
-    lifts: DataFrame, stops: DataFrame, trips: DataFrame, stop_summaries: DataFrame, hits: DataFrame | None = None
-) -> DataFrame:
+def match_lifts(lifts: DataFrame, hits: DataFrame, trips: DataFrame, stop_summaries: DataFrame) -> DataFrame:
     """All reads with their case: ping_id, case_no, trip_id, stop_id, summary_id.
 
     All cases are found side by side; the least case number per read is kept.
     A read has several rows in case 1 (and 2) if it matches several summaries,
     and none if no case takes it. Cases 5 and 6 name a stop too; they have no summary.
     """
-    hits = tag_hits(lifts, stops) if hits is None else hits
     candidates = (
-        on_plan(hits, trips, stop_summaries)
-        .unionByName(late_on_plan(hits, trips, stop_summaries))
+        on_plan(hits, stop_summaries)
+        .unionByName(late_on_plan(hits, stop_summaries))
         .unionByName(off_plan(lifts, hits, trips))
         .unionByName(late_off_plan(lifts, hits, trips))
-        .unionByName(other_vehicle(hits, trips))
-        .unionByName(other_vehicle_late(hits, trips))
+        .unionByName(other_vehicle(hits))
+        .unionByName(other_vehicle_late(hits))
         .unionByName(unplanned(lifts, hits))
     )
     by_case = Window.partitionBy("ping_id").orderBy("case_no")

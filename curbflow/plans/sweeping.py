@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, functions as F
 
 from curbflow.functions.geo import haversine_metres
 from curbflow.functions.numeric import at_most_hundred, ratio
-from curbflow.functions.time import time_slice, timestamp_lit
+from curbflow.functions.time import time_slice
 from curbflow.operators import near_lines, previous_row
 from curbflow.operators.nearby import line_cells
 from curbflow.plans.sweep_rules import CURRENT, SweepRules
@@ -118,8 +116,8 @@ def ping_segments(locations: DataFrame) -> DataFrame:
 
 
 def segment_metres(segments: DataFrame) -> DataFrame:
-    """Add ``metres`` driven since the ping before; rows without one are left out."""
-    return segments.where("last_latitude is not null").withColumn(
+    """Add ``metres`` driven since the ping before; null on a vehicle's first ping."""
+    return segments.withColumn(
         "metres",
         haversine_metres(F.col("latitude"), F.col("longitude"), F.col("last_latitude"), F.col("last_longitude")),
     )
@@ -130,20 +128,31 @@ def validity_flags(df: DataFrame, rules: SweepRules = CURRENT) -> DataFrame:
     return df.withColumns(rules.flags())
 
 
-def street_distances(measured: DataFrame) -> DataFrame:
-    """Metres per street: valid, water, brush, gps. Input has ``metres`` and the flags."""
+def street_totals(measured: DataFrame) -> DataFrame:
+    """Metres per street: valid, water, brush, gps; also its segments, first ping and least company id.
+
+    Input has the flags and ``metres``, which is null on a vehicle's first ping.
+    """
 
     def metres_if(flag: str):
-        return F.sum(F.when(F.col(flag), F.col("metres")).otherwise(0.0))
+        return F.sum(F.when(F.col(flag), F.coalesce("metres", F.lit(0.0))).otherwise(0.0))
 
     return measured.groupBy(*STREET_KEYS).agg(
         metres_if("valid").alias("valid_metres"),
         metres_if("water_on").alias("water_metres"),
         metres_if("brush_on").alias("brush_metres"),
         metres_if("gps_on").alias("gps_metres"),
+        F.count("metres").alias("segments"),
+        F.min("movement_time").alias("first_ping"),
+        F.min("company_id").alias("company_id"),
     )
 
 
+def street_distances(totals: DataFrame) -> DataFrame:
+    """Totals of the streets with at least one segment."""
+    return totals.where("segments > 0")
+
+
 def street_completion(streets: DataFrame) -> DataFrame:
     """Add ``completion``: 100 if this batch alone passes the length, else all metres over the length.
 
@@ -156,15 +165,20 @@ def street_completion(streets: DataFrame) -> DataFrame:
     )
 
 
-def swept_streets(locations: DataFrame, rules: SweepRules = CURRENT) -> DataFrame:
-    """Locations to street completion, the whole chain.
+def driven_streets(locations: DataFrame, rules: SweepRules = CURRENT) -> DataFrame:
+    """Locations to street totals. All later sweeping steps start from this frame, not from the pings.
 
     The flags look at one ping only, so they are set before the shuffle of the
     lag and the raw inputs do not travel.
     """
-    columns = ("vehicle_id", "movement_time", "longitude", "latitude", *STREET_KEYS)
+    columns = ("vehicle_id", "company_id", "movement_time", "longitude", "latitude", *STREET_KEYS)
     flagged = validity_flags(locations, rules).select(*columns, "gps_on", "water_on", "brush_on", "valid")
-    return street_completion(street_distances(segment_metres(ping_segments(flagged))))
+    return street_totals(segment_metres(ping_segments(flagged)))
+
+
+def swept_streets(locations: DataFrame, rules: SweepRules = CURRENT) -> DataFrame:
+    """Locations to street completion, the whole chain."""
+    return street_completion(street_distances(driven_streets(locations, rules)))
 
 
 def street_state(stop_summaries: DataFrame, streets: DataFrame) -> DataFrame:
@@ -235,22 +249,34 @@ def plan_context(fleet) -> DataFrame:
     ).join(fleet.services.select(F.col("id").alias("service_id"), "group_id"), "service_id")
 
 
-def sweep_trip_state(
-    trip_summaries: DataFrame, trips: DataFrame, locations: DataFrame, now: dt.datetime | None = None
-) -> DataFrame:
-    """Trip summaries after the sweep. ``trips`` is :func:`swept_trips`; coverage grows by the metres."""
-    first = locations.groupBy("trip_id").agg(F.min("movement_time").alias("first_ping"))
-    new = trips.select(F.col("trip_summary_id").alias("id"), "trip_id", "trip_pct", "valid_metres").join(
-        first, "trip_id", "left"
+def seen_plans(totals: DataFrame, fleet) -> DataFrame:
+    """Plans with a ping on one of their streets: plan, service, contract, group, company ids."""
+    trips = totals.groupBy("trip_id").agg(F.min("company_id").alias("company_id"))
+    return trips.join(fleet.trips.select(F.col("id").alias("trip_id"), "plan_id"), "trip_id").join(
+        plan_context(fleet), "plan_id"
+    )
+
+
+def sweep_trip_state(trip_summaries: DataFrame, trips: DataFrame, totals: DataFrame) -> DataFrame:
+    """Trip summaries after the sweep. ``trips`` is :func:`swept_trips`; coverage grows by the metres.
+
+    The first ping counts for the start of the trip even where it has no segment.
+    """
+    first = totals.groupBy("trip_id").agg(F.min("first_ping").alias("first_ping"))
+    new = (
+        trips.select(F.col("trip_summary_id").alias("id"), "trip_id", "trip_pct", "valid_metres")
+        .join(first, "trip_id")
+        .drop("trip_id")
     )
     touched = F.col("valid_metres").isNotNull()
-    state = trip_summaries.join(new.drop("trip_id"), "id", "left").withColumns(
-        {
-            "completion_pct": F.when(touched, F.col("trip_pct")).otherwise(F.col("completion_pct")),
-            "actual_start": F.coalesce("actual_start", "first_ping"),
-            "actual_coverage": F.col("actual_coverage") + F.coalesce("valid_metres", F.lit(0.0)),
-        }
+    return (
+        trip_summaries.join(new, "id", "left")
+        .withColumns(
+            {
+                "completion_pct": F.when(touched, F.col("trip_pct")).otherwise(F.col("completion_pct")),
+                "actual_start": F.coalesce("actual_start", "first_ping"),
+                "actual_coverage": F.col("actual_coverage") + F.coalesce("valid_metres", F.lit(0.0)),
+            }
+        )
+        .drop("trip_pct", "valid_metres", "first_ping")
     )
-    if now is not None:
-        state = state.withColumn("modified_date", F.when(touched, timestamp_lit(now)))
-    return state.drop("trip_pct", "valid_metres", "first_ping")

@@ -227,15 +227,24 @@ TABLES = {
         select concat('TAG', cast(event_id as string)) as tag from {events} where event_id % 33 = 0""",
     "service_log": """
         select id as plan_id, service_id, contract_id, service_id % 5 as group_id, contract_id + 1 as company_id,
-            cast('2024-01-30' as date) as created_date, 'System' as created_by, cast(null as string) as modified_by,
+            cast('2024-01-30' as date) as created_date, cast('2024-01-30 01:00:00' as {ts}) as logged_at,
+            'seed' as created_by, cast(null as string) as modified_by,
             cast(null as double) as plan_pct, cast(null as double) as service_pct, 0e0 as group_pct, 0e0 as contract_pct
-        from {plans} where id % 6 = 0
+        from {plans} where id % 6 = 0 and id % 5 in (0, 2)
         union all
         select cast(null as bigint) as plan_id, cast(null as bigint) as service_id, contract_id, group_id,
-            contract_id + 1 as company_id, cast('2024-01-30' as date) as created_date, 'System' as created_by,
+            contract_id + 1 as company_id, cast('2024-01-30' as date) as created_date,
+            case when group_id % 4 = 0 then cast('2024-01-29 01:00:00' as {ts})
+                else cast('2024-01-30 01:00:00' as {ts}) end as logged_at, 'seed' as created_by,
             cast(null as string) as modified_by, cast(null as double) as plan_pct, 0e0 as service_pct,
             0e0 as group_pct, 0e0 as contract_pct
-        from {contract_groups} where group_id % 2 = 0""",
+        from {contract_groups} where group_id % 2 = 0
+        union all
+        select id as plan_id, service_id, contract_id, service_id % 5 as group_id, contract_id + 1 as company_id,
+            cast('2024-01-29' as date) as created_date, cast('2024-01-29 01:00:00' as {ts}) as logged_at,
+            'seed' as created_by, cast(null as string) as modified_by,
+            7e0 as plan_pct, 8e0 as service_pct, 9e0 as group_pct, 10e0 as contract_pct
+        from {plans} where id % 4 = 0""",
 }
 
 
