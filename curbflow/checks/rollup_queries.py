@@ -70,32 +70,6 @@ def contract_completion_update(batch):
     return batch.levels["contracts"].select("id", *rounded("completion_pct"))
 
 
-def full_rollup_of(batch) -> DataFrame:
-    """Every level of one batch: level, id, pct."""
-    lifted, swept, levels = batch.lift_contexts, batch.swept, batch.levels
-    lift_pct = lifted.select("trip_id", F.least(F.col("trip_pct").cast("double"), F.lit(100.0)).alias("lift_pct"))
-    trips = swept.select("trip_id", "trip_pct", F.lit(True).alias("is_swept")).join(lift_pct, "trip_id", "full")
-
-    def level(name: str, df: DataFrame, key, pct: str) -> DataFrame:
-        return df.select(F.lit(name).alias("level"), key.alias("id"), F.round(F.col(pct), DIGITS).alias("pct"))
-
-    ident = lambda name: F.col(name).cast("string")
-    pair = F.concat(ident("contract_id"), F.lit("/"), ident("group_id"))
-    trip_pct = trips.withColumn("pct", F.when(F.col("is_swept"), F.col("trip_pct")).otherwise(F.col("lift_pct")))
-    parts = [
-        level("street", batch.streets, F.concat_ws("/", *map(ident, ("stop_summary_id", "vehicle_type", "company_type"))), "completion"),
-        level("trip", trip_pct, ident("trip_id"), "pct"),
-        level("plan", levels["plan_pct"], ident("plan_id"), "plan_pct"),
-        level("service", levels["service_pct"], ident("service_id"), "service_pct"),
-        level("group", levels["group_pct"], pair, "group_pct"),
-        level("contract", levels["contract_pct"], ident("contract_id"), "contract_pct"),
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
-
-
 FULL = f"""
     select level, id, round(pct, {DIGITS}) as pct from (
         select 'street' as level, stop_summary_id || '/' || vehicle_type || '/' || company_type as id,
@@ -110,7 +84,9 @@ FULL = f"""
         union all select 'contract', cast(contract_id as varchar), contract_pct from contract_results
     )
 """
-query("full_rollup", FULL)(full_rollup_of)
+@query("full_rollup", FULL)
+def full_rollup(batch):
+    return batch.all_levels().select("level", "id", *rounded("pct"))
 
 
 # ---- service log -------------------------------------------------------------

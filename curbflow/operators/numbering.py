@@ -1,4 +1,4 @@
-"""Consecutive numbers over a whole table in a given order."""
+"""Consecutive numbers in a given order, over a whole table or per key."""
 
 from __future__ import annotations
 
@@ -12,24 +12,29 @@ from curbflow.session import cut_lineage
 PARTITION_SHIFT = 33
 
 
-def consecutive_numbers(df: DataFrame, order: Sequence[str], name: str, start: int = 1) -> DataFrame:
-    """Number the rows from ``start`` in ``order``.
+def consecutive_numbers(
+    df: DataFrame, order: Sequence[str], name: str, start: int = 1, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Number the rows from ``start`` in ``order``, within each key if ``keys`` are given.
 
-    Rows are range-partitioned and sorted, then written to the checkpoint
-    folder, so the partition of a row is settled. The counts per partition (one
-    row each) give every partition its offset; no task sees all rows.
+    Rows are range-partitioned by keys and order and written to the checkpoint
+    folder, which settles the partition of a row. Each partition is numbered by
+    itself; counts per partition (and key) give it its offset. No task sees more
+    than a partition, even if one key holds most rows.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = cut_lineage(ranged.withColumn("_id", F.monotonically_increasing_id()))
-    placed = placed.withColumn("_part", F.shiftright("_id", PARTITION_SHIFT)).withColumn(
-        "_row", F.col("_id").bitwiseAND(F.lit((1 << PARTITION_SHIFT) - 1))
+    ranged = df.repartitionByRange(*keys, *order)
+    placed = cut_lineage(ranged.withColumn("_part", F.shiftright(F.monotonically_increasing_id(), PARTITION_SHIFT)))
+    here = Window.partitionBy("_part", *keys).orderBy(*order)
+    placed = placed.withColumn("_row", F.row_number().over(here))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        placed.groupBy("_part", *keys)
+        .agg(F.count(F.lit(1)).alias("_size"))
+        .withColumn("_offset", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+        .drop("_size")
     )
-    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    # One row per partition, so the broadcast is bounded by the partition count.
     return (
-        placed.join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_offset") + F.col("_row") + F.lit(start))
-        .drop("_id", "_part", "_row", "_offset")
+        placed.join(offsets, ["_part", *keys])
+        .withColumn(name, F.col("_offset") + F.col("_row") + F.lit(start - 1))
+        .drop("_part", "_row", "_offset")
     )

@@ -9,10 +9,11 @@ stop with such a tag, per driven street, per trip or per plan.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
+from curbflow.functions.numeric import at_most_hundred
 from curbflow.plans import lifting, matching, rollup, sweeping
 from curbflow.plans.sweep_rules import CURRENT, SweepRules
 from curbflow.session import cut_lineage
@@ -103,3 +104,29 @@ class Batch:
     @cached_property
     def levels(self) -> dict[str, DataFrame]:
         return rollup.roll_up(self.plan_results, self.fleet)
+
+    def all_levels(self) -> DataFrame:
+        """Completion of every level touched: level, id, pct. A trip with both services shows the sweep."""
+
+        def ident(*names: str):
+            return F.concat_ws("/", *(F.col(name).cast("string") for name in names))
+
+        lifted = self.lift_contexts.select("trip_id", at_most_hundred(F.col("trip_pct").cast("double")).alias("lift_pct"))
+        swept = self.swept.select("trip_id", "trip_pct", F.lit(True).alias("is_swept"))
+        trips = swept.join(lifted, "trip_id", "full").withColumn(
+            "pct", F.when(F.col("is_swept"), F.col("trip_pct")).otherwise(F.col("lift_pct"))
+        )
+        levels = self.levels
+        parts = [
+            ("street", self.streets, ident("stop_summary_id", "vehicle_type", "company_type"), "completion"),
+            ("trip", trips, ident("trip_id"), "pct"),
+            ("plan", levels["plan_pct"], ident("plan_id"), "plan_pct"),
+            ("service", levels["service_pct"], ident("service_id"), "service_pct"),
+            ("group", levels["group_pct"], ident("contract_id", "group_id"), "group_pct"),
+            ("contract", levels["contract_pct"], ident("contract_id"), "contract_pct"),
+        ]
+        frames = [
+            df.select(F.lit(name).alias("level"), key.alias("id"), F.col(pct).alias("pct"))
+            for name, df, key, pct in parts
+        ]
+        return reduce(DataFrame.unionByName, frames)
