@@ -62,22 +62,24 @@ def _match(df: DataFrame, case_no: int) -> DataFrame:
     )
 
 
-SAME = F.col("trip_vehicle") == F.col("vehicle_id")
-OTHER = F.col("trip_vehicle") != F.col("vehicle_id")
-STARTED = F.col("start_trip") <= F.col("movement_time")
-ENDED = F.col("end_trip") < F.col("movement_time")
+# How a read lies to a trip; plain SQL conditions on the columns of a tag hit.
+SAME = "trip_vehicle = vehicle_id"
+OTHER = "trip_vehicle <> vehicle_id"
+INSIDE = "start_trip <= movement_time and movement_time < end_trip"
+INSIDE_OR_AT_END = "start_trip <= movement_time and movement_time <= end_trip"
+ENDED = "end_trip < movement_time"
 
 
 def on_plan(hits: DataFrame, stop_summaries: DataFrame) -> DataFrame:
     """Case 1: every match of the read, one per stop summary."""
-    inside = hits.where(SAME & STARTED & (F.col("movement_time") <= F.col("end_trip")))
+    inside = hits.where(f"{SAME} and {INSIDE_OR_AT_END}")
     return _match(inside.join(_summaries(stop_summaries), "stop_id"), 1)
 
 
 def late_on_plan(hits: DataFrame, stop_summaries: DataFrame) -> DataFrame:
     """Case 2: the stop of the latest ended trip, chosen before its summary is looked up."""
     latest = (
-        hits.where(SAME & ENDED)
+        hits.where(f"{SAME} and {ENDED}")
         .groupBy("ping_id")
         .agg(F.max(F.struct("end_trip", "trip_id", "stop_id")).alias("best"))
         .select("ping_id", "best.trip_id", "best.stop_id")
@@ -112,7 +114,7 @@ def late_off_plan(lifts: DataFrame, hits: DataFrame, trips: DataFrame) -> DataFr
 def other_vehicle(hits: DataFrame) -> DataFrame:
     """Case 5: the trip of another vehicle with the tag, [start, end)."""
     picked = (
-        hits.where(OTHER & STARTED & (F.col("movement_time") < F.col("end_trip")))
+        hits.where(f"{OTHER} and {INSIDE}")
         .groupBy("ping_id")
         .agg(F.max(F.struct("start_trip", "trip_id", "stop_id")).alias("best"))
         .select("ping_id", "best.trip_id", "best.stop_id")
@@ -123,7 +125,7 @@ def other_vehicle(hits: DataFrame) -> DataFrame:
 def other_vehicle_late(hits: DataFrame) -> DataFrame:
     """Case 6: the latest ended trip of another vehicle with the tag."""
     picked = (
-        hits.where(OTHER & ENDED)
+        hits.where(f"{OTHER} and {ENDED}")
         .groupBy("ping_id")
         .agg(F.max(F.struct("end_trip", "trip_id", "stop_id")).alias("best"))
         .select("ping_id", "best.trip_id", "best.stop_id")

@@ -36,7 +36,7 @@ def plans_due(fleet, today: dt.date) -> DataFrame:
 
     Created by then, run on this weekday or monthly, with month days or any
     weekday, with stops, not deleted. A service with several contract details
-    gives the plan as many rows.
+    gives the plan as many rows, told apart by ``plan_copy``.
     """
     days = (
         fleet.plan_days.select(F.col("plan_id").alias("id"), F.col("weekday_id"))
@@ -53,6 +53,7 @@ def plans_due(fleet, today: dt.date) -> DataFrame:
         .join(fleet.plan_details.select(F.col("plan_id").alias("id")), "id", "left_semi")
         .join(fleet.contract_details.select("service_id"), "service_id")
         .drop("runs_today")
+        .withColumn("plan_copy", F.row_number().over(Window.partitionBy("id").orderBy("service_id")))
     )
 
 
@@ -137,13 +138,13 @@ def build_trips(to_create: DataFrame, due: DataFrame, fleet, now: dt.datetime) -
 def _of_trips(due: DataFrame, trips: DataFrame, *columns: str) -> DataFrame:
     """Due plans with their new trips: trip columns under trip_id, start_trip, trip_date."""
     new = trips.select(F.col("id").alias("trip_id"), "plan_id", "start_trip", "trip_date")
-    return due.select(F.col("id").alias("plan_id"), *columns).join(new, "plan_id")
+    return due.select(F.col("id").alias("plan_id"), "plan_copy", *columns).join(new, "plan_id")
 
 
 def trip_summaries(due: DataFrame, trips: DataFrame, key_type) -> DataFrame:
     zero = F.lit(0.0)
     return _of_trips(due, trips, "expected_coverage").select(
-        derived_key(key_type, F.lit("summary"), "trip_id").alias("id"),
+        derived_key(key_type, F.lit("summary"), "trip_id", "plan_copy").alias("id"),
         "trip_id",
         "expected_coverage",
         zero.alias("actual_coverage"),
@@ -173,15 +174,16 @@ def trip_stops(due: DataFrame, trips: DataFrame, fleet, key_type) -> DataFrame:
     """Stops of new trips: the plan's details, length times repetitions a day, hash of the tag."""
     repetitions = F.when(F.col("repetitions") > 0, F.col("repetitions")).otherwise(1)
     length = F.when(F.col("length") > 0, F.col("length") * repetitions).otherwise(0.0)
+    copy = F.row_number().over(Window.partitionBy("service_id").orderBy("repetitions"))
+    contract_rows = fleet.contract_details.select("service_id", "repetitions").withColumn("contract_copy", copy)
     geometry = fleet.streets.select(F.col("id").alias("geometry_id"), F.col("reference_code"))
     return (
         _of_trips(due, trips, "service_id")
-        .join(fleet.plan_details, "plan_id")
-        .join(fleet.contract_details.select("service_id", "repetitions"), "service_id")
+        .join(fleet.plan_details.withColumnRenamed("id", "detail_id"), "plan_id")
+        .join(contract_rows, "service_id")
         .join(geometry.withColumn("found_id", F.col("geometry_id")), "geometry_id", "left")
         .select(
-            # Contract details can repeat a stop: the repetitions are part of what it is.
-            derived_key(key_type, "trip_id", "tag", "bin_id", "stop_order", "geometry_id", "repetitions").alias("id"),
+            derived_key(key_type, "trip_id", "detail_id", "plan_copy", "contract_copy").alias("id"),
             "trip_id", "tag", "bin_id", "stop_order", "street_weight",
             length.alias("street_length"),
             F.col("found_id").alias("geometry_id"),
@@ -200,11 +202,11 @@ def stop_summaries(due: DataFrame, trips: DataFrame, stops: DataFrame, fleet, ke
     )
     return (
         _of_trips(due, trips)
-        .select("trip_id")
+        .select("trip_id", "plan_copy")
         .join(stops.select("trip_id", F.col("id").alias("stop_id"), "bin_id"), "trip_id")
         .join(bins, "bin_id", "left")
         .select(
-            derived_key(key_type, F.lit("summary"), "stop_id").alias("id"),
+            derived_key(key_type, F.lit("summary"), "stop_id", "plan_copy").alias("id"),
             "stop_id",
             F.coalesce("bin_lon", zero).alias("bin_longitude"),
             F.coalesce("bin_lat", zero).alias("bin_latitude"),

@@ -121,19 +121,19 @@ TABLES = {
         select id as plan_id, 1 + (id + 5) % 7 as weekday_id, false as is_deleted
         from {plans} where not is_monthly and id % 3 = 1""",
     "plan_details": """
-        select user_id as plan_id, concat('TAG', cast(event_id as string)) as tag, event_id as bin_id,
-            event_id % 12 as stop_order, cast(event_id % 4 as double) * 100 as length,
+        select event_id * 2 as id, user_id as plan_id, concat('TAG', cast(event_id as string)) as tag,
+            event_id as bin_id, event_id % 12 as stop_order, cast(event_id % 4 as double) * 100 as length,
             cast(event_id % 5 as double) as street_weight,
             case when event_id % 6 = 0 then event_id end as geometry_id
         from {events} where event_id % 3 = 0 and user_id % 16 <> 15
         union all
-        select user_id as plan_id, concat('TAG', cast(event_id as string)) as tag, event_id as bin_id,
-            20 as stop_order, 50e0 as length, 1e0 as street_weight, cast(null as bigint) as geometry_id
+        select event_id * 2 + 1 as id, user_id as plan_id, concat('TAG', cast(event_id as string)) as tag,
+            event_id as bin_id, 20 as stop_order, 50e0 as length, 1e0 as street_weight, cast(null as bigint) as geometry_id
         from {events} where event_id % 21 = 0 and user_id % 16 <> 15""",
     "contract_details": """
         select id as service_id, id % 4 as repetitions from {services}
         union all
-        select id as service_id, 2 as repetitions from {services} where id % 7 = 3""",
+        select id as service_id, 2 as repetitions from {services} where id % 7 = 2""",
     "driver_plans": """
         select id as plan_id, id * 10 + 1 as driver_id, id % 8 <> 3 as is_main, id % 15 = 2 as is_deleted from {plans}
         union all
