@@ -45,20 +45,20 @@ def lift_case_cascade(batch):
 
 # ---- places ------------------------------------------------------------------
 
-NO_LABEL = "coalesce(moved_by, '-') as moved_by"
+NO_LABEL = "coalesce(modified_by, '-') as modified_by"
 
 
 @query(
     "bin_location_update",
     f"""select b.id, {r_sql("longitude", "latitude")}, {NO_LABEL} from (
         select b.id, coalesce(m.longitude, b.longitude) as longitude, coalesce(m.latitude, b.latitude) as latitude,
-            'lift_case_' || m.case_no as moved_by
+            'lift_case_' || m.case_no as modified_by
         from bins b left join (select distinct tag_key, case_no, longitude, latitude from lift_matches
             where case_no <> 6) m on m.tag_key = upper(rtrim(b.tag)) and not b.is_deleted) b""",
 )
 def bin_location_update(batch):
     return lifting.bin_location_update(batch.fleet.bins, batch.matches).select(
-        "id", *rounded("longitude", "latitude"), F.coalesce("moved_by", F.lit("-")).alias("moved_by")
+        "id", *rounded("longitude", "latitude"), F.coalesce("modified_by", F.lit("-")).alias("modified_by")
     )
 
 
@@ -71,7 +71,7 @@ def bin_location_update(batch):
 )
 def geometry_location_update(batch):
     moved = lifting.geometry_location_update(batch.fleet.streets, batch.matches)
-    return moved.where("moved_by is not null").select("id", *rounded("longitude", "latitude"))
+    return moved.where("modified_by is not null").select("id", *rounded("longitude", "latitude"))
 
 
 def _tags(batch) -> DataFrame:

@@ -109,6 +109,12 @@ def street_state_update(batch):
     return state.select("id", "is_swept", *rounded(*STOP_STATE))
 
 
+def _swept_alone(batch):
+    """Swept trips of a batch without lifts."""
+    state = sweeping.street_state(batch.fleet.stop_summaries, batch.streets)
+    return sweeping.swept_trips(batch.streets, state, batch.fleet)
+
+
 TRIP_IDS = ("trip_id", "trip_summary_id", "plan_id", "service_id", "contract_id", "group_id", "active_trips")
 
 
@@ -117,7 +123,7 @@ TRIP_IDS = ("trip_id", "trip_summary_id", "plan_id", "service_id", "contract_id"
     f"select {', '.join(TRIP_IDS)}, {r_sql('plan_old_pct', 'trip_pct', 'valid_metres')} from swept_trip_results",
 )
 def trip_weighted_completion(batch):
-    return batch.swept.select(*TRIP_IDS, *rounded("plan_old_pct", "trip_pct", "valid_metres"))
+    return _swept_alone(batch).select(*TRIP_IDS, *rounded("plan_old_pct", "trip_pct", "valid_metres"))
 
 
 @query(
@@ -130,7 +136,7 @@ def trip_weighted_completion(batch):
         on f.trip_id = r.trip_id""",
 )
 def trip_sweep_update(batch):
-    return sweeping.sweep_trip_state(batch.fleet.trip_summaries, batch.swept, batch.totals).select(
+    return sweeping.sweep_trip_state(batch.fleet.trip_summaries, _swept_alone(batch), batch.totals).select(
         "id", "actual_start", *rounded("completion_pct", "actual_coverage")
     )
 

@@ -8,16 +8,18 @@ stop with such a tag, per driven street, per trip or per plan.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from curbflow.functions.numeric import at_most_hundred
-from curbflow.plans import lifting, matching, rollup, sweeping
+from curbflow.functions.text import tag_key
+from curbflow.plans import lifting, matching, rollup, service_log, sweeping
 from curbflow.plans.sweep_rules import CURRENT, SweepRules
 from curbflow.session import cut_lineage
-from curbflow.sources.pings import lift_reads, sweep_reads
+from curbflow.sources.pings import lift_reads, new_tag_references, sweep_reads
 
 
 @dataclass(frozen=True)
@@ -32,11 +34,16 @@ class Choices:
 
 
 class Batch:
-    """``fleet`` has the tables as attributes, ``pings`` among them."""
+    """``fleet`` has the tables as attributes, ``pings`` among them.
 
-    def __init__(self, fleet, choices: Choices = Choices()):
+    ``now`` dates the changes. Without it the frames are those of each step on
+    the tables as given, which is what the single queries compare.
+    """
+
+    def __init__(self, fleet, choices: Choices = Choices(), now: dt.datetime | None = None):
         self.fleet = fleet
         self.choices = choices
+        self.now = now
 
     # ---- lifting ----
 
@@ -70,7 +77,8 @@ class Batch:
 
     def new_stops(self, case_no: int) -> DataFrame:
         fleet = self.fleet
-        return lifting.off_plan_stops(self.matches, case_no, fleet.bins, fleet.streets, fleet.stops, fleet.trips)
+        bins = fleet.bins if self.now is None else self.moved_bins
+        return lifting.off_plan_stops(self.matches, case_no, bins, fleet.streets, fleet.stops, fleet.trips)
 
     # ---- sweeping ----
 
@@ -86,15 +94,6 @@ class Batch:
     def streets(self) -> DataFrame:
         return sweeping.street_completion(sweeping.street_distances(self.totals))
 
-    def swept_trips(self, stop_summaries: DataFrame) -> DataFrame:
-        """``stop_summaries``: the state after the streets are written to it."""
-        return sweeping.swept_trips(self.streets, stop_summaries, self.fleet)
-
-    @cached_property
-    def swept(self) -> DataFrame:
-        """Swept trips on the given stop summaries (those of ``fleet``, after the streets)."""
-        return cut_lineage(self.swept_trips(sweeping.street_state(self.fleet.stop_summaries, self.streets)))
-
     # ---- roll-up ----
 
     @cached_property
@@ -105,6 +104,109 @@ class Batch:
     def levels(self) -> dict[str, DataFrame]:
         return rollup.roll_up(self.plan_results, self.fleet)
 
+    # ---- new rows and changed rows ----
+
+    @cached_property
+    def added_stops(self) -> DataFrame:
+        """Stops of cases 3 and 4."""
+        return cut_lineage(self.new_stops(3).unionByName(self.new_stops(4)))
+
+    @cached_property
+    def changed_stop_summaries(self) -> DataFrame:
+        """Summaries touched by a lift or a sweep, in the order lifts, new stops, sweep."""
+        before = self.fleet.stop_summaries
+        lifted = self.matches.where("summary_id is not null").select(F.col("summary_id").alias("id"))
+        if self.choices.mark_other_vehicle:
+            other = self.matches.where("case_no in (5, 6)").select("stop_id")
+            lifted = lifted.unionByName(before.join(other, "stop_id", "left_semi").select("id"))
+        touched = lifted.unionByName(self.streets.select(F.col("stop_summary_id").alias("id")))
+        rows = before.join(touched, "id", "left_semi")
+        rows = lifting.lift_state_case1(rows, self.matches, self.choices.strict_nulls)
+        rows = lifting.lift_state_case2(rows, self.matches)
+        key_type = before.schema["id"].dataType
+        for case_no in (3, 4):
+            new = self.added_stops.where(F.col("case_no") == case_no)
+            staged = lifting.off_plan_summaries(new, case_no, key_type)
+            rows = rows.unionByName(lifting.missing_summaries(staged, before), allowMissingColumns=True)
+        if self.choices.mark_other_vehicle:
+            for case_no in (5, 6):
+                rows = lifting.lift_state_other_vehicle(rows, self.matches, case_no)
+        return cut_lineage(sweeping.street_state(rows, self.streets))
+
+    @cached_property
+    def swept(self) -> DataFrame:
+        """Swept trips on the stop summaries as the batch leaves them."""
+        unchanged = self.fleet.stop_summaries.join(self.changed_stop_summaries.select("id"), "id", "left_anti")
+        after = unchanged.unionByName(self.changed_stop_summaries, allowMissingColumns=True)
+        return cut_lineage(sweeping.swept_trips(self.streets, after, self.fleet))
+
+    @cached_property
+    def moved_bins(self) -> DataFrame:
+        """Bins of the tags read, moved; new stops are set on these."""
+        rows = self.fleet.bins.withColumn("tag_key", tag_key(F.col("tag")))
+        rows = rows.join(self.matches.select("tag_key"), "tag_key", "left_semi").drop("tag_key")
+        return cut_lineage(
+            lifting.bin_location_update(rows, self.matches, self.choices.include_case_6, self.now)
+        )
+
+    @cached_property
+    def changed_streets(self) -> DataFrame:
+        tags = self.matches.where("case_no = 1").select("tag_key")
+        rows = self.fleet.streets.withColumn("tag_key", tag_key(F.col("tag")))
+        rows = rows.join(tags, "tag_key", "left_semi").drop("tag_key")
+        return lifting.geometry_location_update(rows, self.matches, self.now)
+
+    @cached_property
+    def changed_trip_summaries(self) -> DataFrame:
+        touched = self.lift_contexts.select(F.col("trip_summary_id").alias("id")).unionByName(
+            self.swept.select(F.col("trip_summary_id").alias("id"))
+        )
+        rows = self.fleet.trip_summaries.join(touched, "id", "left_semi")
+        rows = lifting.lift_trip_state(
+            rows, self.lift_contexts, self.matches, self.waste, self.choices.keep_known_waste
+        )
+        return sweeping.sweep_trip_state(rows, self.swept, self.totals)
+
+    def changed_log(self) -> DataFrame:
+        """The log rows of the day after seeding, merging the plans seen and writing the percentages."""
+        log, now, day = self.fleet.service_log, self.now, self.now.date()
+        seeds = service_log.seed_rows(log, self.fleet, day, now)
+        log = log.where(F.col("created_date") == F.lit(day)).unionByName(seeds, allowMissingColumns=True)
+        seen = service_log.plan_rows(self.lift_contexts, sweeping.seen_plans(self.totals, self.fleet))
+        return rollup.log_percentages(cut_lineage(service_log.upsert(log, seen, day, now)), self.levels, day)
+
+    def changes(self) -> dict[str, DataFrame]:
+        """Rows every table takes from this batch: changed ones of keyed tables, new ones of the others.
+
+        Needs ``now``.
+        """
+        fleet, levels = self.fleet, self.levels
+        stop_columns = [name for name in fleet.stops.columns if name in self.added_stops.columns]
+        return {
+            "tag_references": new_tag_references(self.lifts, fleet.tag_references).drop("tag_key"),
+            "bins": lifting.bin_last_completion(self.moved_bins, self.matches),
+            "streets": self.changed_streets,
+            "stops": self.added_stops.select(*stop_columns),
+            "stop_summaries": self.changed_stop_summaries,
+            "trip_summaries": self.changed_trip_summaries,
+            "latest_tag_events": lifting.latest_tag_events(self.matches, fleet.bins, fleet.vehicles),
+            "outside_scope_events": lifting.outside_scope_events(
+                self.matches, fleet.bins, fleet.vehicles, fleet.contract_types
+            ),
+            "tag_violations": lifting.tag_location_violations(
+                self.lifts, self.matches, fleet.tag_references, fleet.bins, fleet.tag_violations
+            ),
+            "plans": levels["plans"].join(
+                self.plan_results.select(F.col("plan_id").alias("id")), "id", "left_semi"
+            ),
+            "services": levels["services"].join(
+                levels["service_pct"].select(F.col("service_id").alias("id")), "id", "left_semi"
+            ),
+            "contract_groups": levels["contract_groups"],
+            "contracts": levels["contracts"],
+            "service_log": self.changed_log(),
+        }
+
     def all_levels(self) -> DataFrame:
         """Completion of every level touched: level, id, pct. A trip with both services shows the sweep."""
 

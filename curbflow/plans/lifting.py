@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
@@ -9,7 +11,7 @@ from curbflow.functions.geo import haversine_metres
 from curbflow.functions.keys import derived_key
 from curbflow.functions.numeric import at_most_hundred, percent_2dp, ratio
 from curbflow.functions.text import tag_key
-from curbflow.functions.time import minutes_between
+from curbflow.functions.time import minutes_between, timestamp_lit
 from curbflow.operators import first_per
 
 # Bin states, stop states by case, relift gap, alert distance.
@@ -40,7 +42,15 @@ def _place_of_tag(matches: DataFrame) -> DataFrame:
     )
 
 
-def bin_location_update(bins: DataFrame, matches: DataFrame, include_case_6: bool = False) -> DataFrame:
+def _modified(changed: Column, now: dt.datetime | None) -> Column:
+    """Date of the change; without a clock the old date stays."""
+    old = F.col("modified_date")
+    return old if now is None else F.when(changed, timestamp_lit(now)).otherwise(old)
+
+
+def bin_location_update(
+    bins: DataFrame, matches: DataFrame, include_case_6: bool = False, now: dt.datetime | None = None
+) -> DataFrame:
     """Bins with the position of their tag's read and the label of its case.
 
     By default a bin matched by case 6 alone stays where it is, as in the
@@ -55,14 +65,17 @@ def bin_location_update(bins: DataFrame, matches: DataFrame, include_case_6: boo
             {
                 "longitude": F.when(moved, F.col("new_longitude")).otherwise(F.col("longitude")),
                 "latitude": F.when(moved, F.col("new_latitude")).otherwise(F.col("latitude")),
-                "moved_by": F.when(moved, F.concat(F.lit("lift_case_"), F.col("case_no").cast("string"))),
+                "modified_by": F.when(moved, F.concat(F.lit("lift_case_"), F.col("case_no").cast("string"))).otherwise(
+                    F.col("modified_by")
+                ),
+                "modified_date": _modified(moved, now),
             }
         )
         .drop("tag_key", "case_no", "new_longitude", "new_latitude")
     )
 
 
-def geometry_location_update(streets: DataFrame, matches: DataFrame) -> DataFrame:
+def geometry_location_update(streets: DataFrame, matches: DataFrame, now: dt.datetime | None = None) -> DataFrame:
     """Geometry rows of tags lifted on plan (case 1) take the position of the read."""
     moved = F.col("new_longitude").isNotNull() & ~F.col("is_deleted")
     return (
@@ -72,7 +85,8 @@ def geometry_location_update(streets: DataFrame, matches: DataFrame) -> DataFram
             {
                 "longitude": F.when(moved, F.col("new_longitude")).otherwise(F.col("longitude")),
                 "latitude": F.when(moved, F.col("new_latitude")).otherwise(F.col("latitude")),
-                "moved_by": F.when(moved, F.lit("lift_case_1")),
+                "modified_by": F.when(moved, F.lit("lift_case_1")).otherwise(F.col("modified_by")),
+                "modified_date": _modified(moved, now),
             }
         )
         .drop("tag_key", "new_longitude", "new_latitude")

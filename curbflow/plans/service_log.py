@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
+from curbflow.functions.keys import derived_key
 from curbflow.functions.time import date_lit, timestamp_lit
 from curbflow.operators import first_per
 
@@ -18,15 +19,19 @@ def seed_rows(log: DataFrame, fleet, day: dt.date, now: dt.datetime) -> DataFram
         (F.col("created_date") == date_lit(day)) & (F.col("logged_at").cast("date") == date_lit(day))
     ).select("contract_id", "group_id")
     zero = F.lit(0.0)
+    key_type = log.schema["id"].dataType
     return (
         fleet.contract_groups.select("contract_id", "group_id")
         .join(logged, ["contract_id", "group_id"], "left_anti")
         .join(
             fleet.contracts.select(F.col("id").alias("contract_id"), "company_id", "contract_type_id"), "contract_id"
         )
-        .join(fleet.services.select("contract_id", "group_id"), ["contract_id", "group_id"])
+        .join(
+            fleet.services.select("contract_id", "group_id", F.col("id").alias("of_service")), ["contract_id", "group_id"]
+        )
         .join(fleet.contract_types.select(F.col("id").alias("contract_type_id")), "contract_type_id", "left_semi")
         .select(
+            derived_key(key_type, F.lit("seed"), date_lit(day), "contract_id", "group_id", "of_service").alias("id"),
             "contract_id", "group_id", "company_id",
             date_lit(day).alias("created_date"), timestamp_lit(now).alias("logged_at"),
             F.lit("seed").alias("created_by"),
@@ -59,6 +64,7 @@ def upsert(log: DataFrame, rows: DataFrame, day: dt.date, now: dt.datetime) -> D
         .drop("seen_by")
     )
     added = rows.join(log.where(today).select(*LOG_KEYS), list(LOG_KEYS), "left_anti").select(
+        derived_key(log.schema["id"].dataType, date_lit(day), *LOG_KEYS).alias("id"),
         *LOG_KEYS,
         date_lit(day).alias("created_date"),
         timestamp_lit(now).alias("logged_at"),

@@ -54,13 +54,17 @@ TABLES = {
             cast('2023-12-31 06:00:00' as {ts}) + day_no * interval '1' day as start_trip,
             cast('2023-12-31 18:00:00' as {ts}) + day_no * interval '1' day as end_trip,
             case when (user_id * 100 + day_no) % 50 = 7 then 1 else 3 end as status,
-            (user_id * 100 + day_no) % 40 = 39 as is_deleted
+            (user_id * 100 + day_no) % 40 = 39 as is_deleted, cast(null as bigint) as driver_id,
+            cast(cast('2023-12-31 06:00:00' as {ts}) + day_no * interval '1' day as date) as trip_date,
+            cast(null as string) as reference_code, cast('2023-12-30 00:00:00' as {ts}) as created_date
         from {vehicle_days}
         union all
         select user_id * 100 + 50 + day_no as id, user_id as plan_id, user_id as vehicle_id,
             cast('2023-12-31 14:00:00' as {ts}) + day_no * interval '1' day as start_trip,
             cast('2023-12-31 22:00:00' as {ts}) + day_no * interval '1' day as end_trip,
-            3 as status, day_no % 9 = 0 as is_deleted
+            3 as status, day_no % 9 = 0 as is_deleted, cast(null as bigint) as driver_id,
+            cast(cast('2023-12-31 14:00:00' as {ts}) + day_no * interval '1' day as date) as trip_date,
+            cast(null as string) as reference_code, cast('2023-12-30 00:00:00' as {ts}) as created_date
         from {vehicle_days} where user_id % 6 = 0""",
     "stops": """
         select event_id as id, concat('TAG', cast(event_id as string)) as tag,
@@ -191,14 +195,15 @@ TABLES = {
             cast('2023-10-01 00:00:00' as {ts}) + (event_id % 90) * interval '1' hour as created_date,
             case when event_id % 2 = 0 then cast('2023-12-01 00:00:00' as {ts}) + (event_id % 90) * interval '1' hour
                 end as modified_date,
-            case when event_id % 4 = 0 then ts - interval '2' hour end as last_completion
+            case when event_id % 4 = 0 then ts - interval '2' hour end as last_completion,
+            cast(null as string) as modified_by
         from {events}
         union all
         select -event_id - 1 as id, concat('TAG', cast(event_id as string)) as tag, 39.2e0 as longitude,
             21.4e0 as latitude, (event_id + 1) % 3 as contract_type_id, event_id % 3 + 1 as company_id,
             false as is_deleted, cast('2023-10-02 00:00:00' as {ts}) as created_date,
             case when event_id % 38 = 0 then cast('2023-12-02 00:00:00' as {ts}) end as modified_date,
-            cast(null as {ts}) as last_completion
+            cast(null as {ts}) as last_completion, cast(null as string) as modified_by
         from {events} where event_id % 19 = 0""",
     "streets": """
         select 1000000000000 + user_id as id, cast(null as string) as tag, 2 as geo_type,
@@ -206,7 +211,8 @@ TABLES = {
             39.2e0 + (user_id % 10) * 0.01e0 as x0, 21.4e0 + (user_id % 7) * 0.01e0 as y0,
             39.2e0 + (user_id % 10) * 0.01e0 + 0.005e0 as x1, 21.4e0 + (user_id % 7) * 0.01e0 as y1,
             cast(null as double) as longitude, cast(null as double) as latitude, false as is_deleted,
-            cast('2023-10-01 00:00:00' as {ts}) as created_date, cast(null as {ts}) as modified_date
+            cast('2023-10-01 00:00:00' as {ts}) as created_date, cast(null as {ts}) as modified_date,
+            cast(null as string) as modified_by
         from {users} where user_id % 5 <> 4
         union all
         select event_id as id, concat('TAG', cast(event_id as string)) as tag, 1 as geo_type,
@@ -215,7 +221,7 @@ TABLES = {
             cast(null as double) as x1, cast(null as double) as y1,
             39.2e0 as longitude, 21.4e0 as latitude, event_id % 43 = 0 as is_deleted,
             cast('2023-10-01 00:00:00' as {ts}) + (event_id % 9) * interval '1' hour as created_date,
-            cast(null as {ts}) as modified_date
+            cast(null as {ts}) as modified_date, cast(null as string) as modified_by
         from {events} where event_id % 6 in (0, 2)""",
     "tag_references": """
         select concat('TAG', cast(event_id as string)) as tag,
@@ -224,24 +230,26 @@ TABLES = {
                 + case when event_id % 11 = 0 then 0.0001e0 else 0e0 end as latitude
         from {events} where event_id % 7 <> 3""",
     "tag_violations": """
-        select concat('TAG', cast(event_id as string)) as tag from {events} where event_id % 33 = 0""",
+        select concat('TAG', cast(event_id as string)) as tag, event_id as bin_id, cast(null as bigint) as vehicle_id,
+            cast(null as {ts}) as movement_time, cast(null as double) as metres
+        from {events} where event_id % 33 = 0""",
     "service_log": """
-        select id as plan_id, service_id, contract_id, service_id % 5 as group_id, contract_id + 1 as company_id,
-            cast('2024-01-30' as date) as created_date, cast('2024-01-30 01:00:00' as {ts}) as logged_at,
+        select id * 10 as id, id as plan_id, service_id, contract_id, service_id % 5 as group_id,
+            contract_id + 1 as company_id, cast('2024-01-30' as date) as created_date, cast('2024-01-30 01:00:00' as {ts}) as logged_at,
             'seed' as created_by, cast(null as string) as modified_by,
             cast(null as double) as plan_pct, cast(null as double) as service_pct, 0e0 as group_pct, 0e0 as contract_pct
         from {plans} where id % 6 = 0 and id % 5 in (0, 2)
         union all
-        select cast(null as bigint) as plan_id, cast(null as bigint) as service_id, contract_id, group_id,
-            contract_id + 1 as company_id, cast('2024-01-30' as date) as created_date,
+        select -1 - contract_id * 100 - group_id as id, cast(null as bigint) as plan_id,
+            cast(null as bigint) as service_id, contract_id, group_id, contract_id + 1 as company_id, cast('2024-01-30' as date) as created_date,
             case when group_id % 4 = 0 then cast('2024-01-29 01:00:00' as {ts})
                 else cast('2024-01-30 01:00:00' as {ts}) end as logged_at, 'seed' as created_by,
             cast(null as string) as modified_by, cast(null as double) as plan_pct, 0e0 as service_pct,
             0e0 as group_pct, 0e0 as contract_pct
         from {contract_groups} where group_id % 2 = 0
         union all
-        select id as plan_id, service_id, contract_id, service_id % 5 as group_id, contract_id + 1 as company_id,
-            cast('2024-01-29' as date) as created_date, cast('2024-01-29 01:00:00' as {ts}) as logged_at,
+        select id * 10 + 1 as id, id as plan_id, service_id, contract_id, service_id % 5 as group_id,
+            contract_id + 1 as company_id, cast('2024-01-29' as date) as created_date, cast('2024-01-29 01:00:00' as {ts}) as logged_at,
             'seed' as created_by, cast(null as string) as modified_by,
             7e0 as plan_pct, 8e0 as service_pct, 9e0 as group_pct, 10e0 as contract_pct
         from {plans} where id % 4 = 0""",
