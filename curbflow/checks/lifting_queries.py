@@ -124,16 +124,20 @@ for _case in (5, 6):
     )
 
 
+def _added(batch, case_no: int) -> DataFrame:
+    return batch.added_stops.where(F.col("case_no") == case_no)
+
+
 NEW_STOP = ("trip_id", "tag_key", "bin_id", "geometry_id", "created_date")
 for _case in (3, 4):
     query(
         f"off_plan_stops_case{_case}",
         f"select {', '.join(NEW_STOP)}, -1 as stop_order from added_stops where case_no = {_case}",
-    )(lambda batch, case=_case: batch.new_stops(case).select(*NEW_STOP, "stop_order"))
+    )(lambda batch, case=_case: _added(batch, case).select(*NEW_STOP, "stop_order"))
 
     def _summary_rows(batch, case=_case):
-        stops = batch.new_stops(case)
-        rows = lifting.off_plan_summaries(stops, case)
+        stops = _added(batch, case)
+        rows = lifting.off_plan_summaries(stops)
         return rows.join(stops.select(F.col("id").alias("stop_id"), "trip_id", "tag_key"), "stop_id").select(
             "trip_id", "tag_key", "bin_status", "status_lookup", "lifts", "last_completion", "device", "vehicle_id",
             *rounded("bin_longitude", "bin_latitude"),

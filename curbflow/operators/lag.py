@@ -19,9 +19,11 @@ def previous_row(
 ) -> DataFrame:
     """Add struct ``previous`` with ``fields`` of the row before, per ``key``; null on the first row.
 
-    Rows are windowed per (key, slice of time), so a key that holds a large part
-    of the rows spreads over its slices. Only the first and last row of each
-    slice go through the second window, which links the slices of a key.
+    The first window works per (key, slice of time), so a key that holds a large
+    part of the rows spreads over its slices. The second links the slices of a
+    key: there the first and last row of each slice form one group, at most two
+    rows per slice, and all other rows stay in groups of their slice. ``df`` is
+    read once; splitting the edges off and joining them back would run it twice.
     """
     payload = F.struct(*fields)
     in_slice = Window.partitionBy(key, "_slice").orderBy(time, *order)
@@ -30,9 +32,11 @@ def previous_row(
         .withColumn("previous", F.lag(payload).over(in_slice))
         .withColumn("_last", F.lead(F.lit(1)).over(in_slice).isNull())
     )
-    inner = sliced.where("previous is not null and not _last")
-    edges = sliced.where("previous is null or _last")
+    is_edge = F.col("previous").isNull() | F.col("_last")
+    across = Window.partitionBy(key, "_link").orderBy(time, *order)
     # The last row of a slice keeps what the slice window found; the first takes the edge before it.
-    across = Window.partitionBy(key).orderBy(time, *order)
-    linked = edges.withColumn("previous", F.coalesce("previous", F.lag(payload).over(across)))
-    return inner.unionByName(linked).drop("_slice", "_last")
+    return (
+        sliced.withColumn("_link", F.when(~is_edge, F.col("_slice")))
+        .withColumn("previous", F.coalesce("previous", F.lag(payload).over(across)))
+        .drop("_slice", "_last", "_link")
+    )

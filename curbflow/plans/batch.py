@@ -75,10 +75,12 @@ class Batch:
             lifting.waste_records(self.matches, fleet.trip_summaries, fleet.vehicles, fleet.vehicle_types)
         )
 
-    def new_stops(self, case_no: int) -> DataFrame:
+    @cached_property
+    def added_stops(self) -> DataFrame:
+        """Stops of cases 3 and 4."""
         fleet = self.fleet
         bins = fleet.bins if self.now is None else self.moved_bins
-        return lifting.off_plan_stops(self.matches, case_no, bins, fleet.streets, fleet.stops, fleet.trips)
+        return cut_lineage(lifting.off_plan_stops(self.matches, bins, fleet.streets, fleet.stops, fleet.trips))
 
     # ---- sweeping ----
 
@@ -102,15 +104,10 @@ class Batch:
 
     @cached_property
     def levels(self) -> dict[str, DataFrame]:
-        return rollup.roll_up(self.plan_results, self.fleet)
+        return rollup.roll_up(self.plan_results, self.fleet, cut_lineage)
 
     # ---- new rows and changed rows ----
 
-    @cached_property
-    def added_stops(self) -> DataFrame:
-        """Stops of cases 3 and 4."""
-        return cut_lineage(self.new_stops(3).unionByName(self.new_stops(4)))
-
     @cached_property
     def changed_stop_summaries(self) -> DataFrame:
         """Summaries touched by a lift or a sweep, in the order lifts, new stops, sweep."""
@@ -123,11 +120,8 @@ class Batch:
         rows = before.join(touched, "id", "left_semi")
         rows = lifting.lift_state_case1(rows, self.matches, self.choices.strict_nulls)
         rows = lifting.lift_state_case2(rows, self.matches)
-        key_type = before.schema["id"].dataType
-        for case_no in (3, 4):
-            new = self.added_stops.where(F.col("case_no") == case_no)
-            staged = lifting.off_plan_summaries(new, case_no, key_type)
-            rows = rows.unionByName(lifting.missing_summaries(staged, before), allowMissingColumns=True)
+        staged = lifting.off_plan_summaries(self.added_stops, before.schema["id"].dataType)
+        rows = rows.unionByName(lifting.missing_summaries(staged, before), allowMissingColumns=True)
         if self.choices.mark_other_vehicle:
             for case_no in (5, 6):
                 rows = lifting.lift_state_other_vehicle(rows, self.matches, case_no)

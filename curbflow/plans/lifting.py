@@ -179,15 +179,15 @@ def lift_state_other_vehicle(stop_summaries: DataFrame, matches: DataFrame, case
 
 
 def off_plan_stops(
-    matches: DataFrame, case_no: int, bins: DataFrame, streets: DataFrame, stops: DataFrame, trips: DataFrame
+    matches: DataFrame, bins: DataFrame, streets: DataFrame, stops: DataFrame, trips: DataFrame
 ) -> DataFrame:
     """New stops for cases 3 and 4: one per trip and tag that has a bin and is not a live stop yet.
 
     Beside the stop's columns: imei, vehicle_id and the bin's position, for its summary.
     """
     found = (
-        _in_case(matches, case_no)
-        .groupBy("trip_id", "tag_key")
+        _in_case(matches, 3, 4)
+        .groupBy("trip_id", "tag_key", "case_no")
         .agg(
             F.min("movement_time").alias("created_date"),
             F.max("imei").alias("imei"),
@@ -207,26 +207,25 @@ def off_plan_stops(
         .join(top_geometry_per_tag(streets, found), "tag_key", "left")
         .select(
             derived_key(key_type, "trip_id", "tag_key").alias("id"),
-            "trip_id", "tag", "tag_key", "bin_id", "geometry_id", "created_date", "imei", "vehicle_id",
+            "case_no", "trip_id", "tag", "tag_key", "bin_id", "geometry_id", "created_date", "imei", "vehicle_id",
             "bin_longitude", "bin_latitude",
             F.lit(NEW_STOP_ORDER).alias("stop_order"),
             F.lit(0.0).alias("street_weight"),
             F.lit(0.0).alias("street_length"),
             F.lit(NEW_STOP_REFERENCE).alias("reference_code"),
             F.lit(False).alias("is_deleted"),
-            F.lit(case_no).alias("case_no"),
         )
     )
 
 
-def off_plan_summaries(new_stops: DataFrame, case_no: int, key_type=None) -> DataFrame:
+def off_plan_summaries(new_stops: DataFrame, key_type=None) -> DataFrame:
     """Summary of each new stop: lifted once, status 15 (case 3) or 16 (case 4)."""
     zero = F.lit(0.0)
     return new_stops.select(
         derived_key(key_type or StringType(), F.lit("summary"), "trip_id", "tag_key").alias("id"),
         F.col("id").alias("stop_id"),
         F.lit(BIN_LIFTED).alias("bin_status"),
-        F.lit(STATUS_OF_CASE[case_no]).alias("status_lookup"),
+        F.when(F.col("case_no") == 3, STATUS_OF_CASE[3]).otherwise(STATUS_OF_CASE[4]).alias("status_lookup"),
         F.col("created_date").alias("last_completion"),
         F.col("created_date").alias("completion_time"),
         F.lit(1).alias("lifts"),

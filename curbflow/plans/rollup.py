@@ -7,6 +7,7 @@ or contract that owns a large part of the trips costs no more than any other.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -107,12 +108,18 @@ def contract_state(contracts: DataFrame, results: DataFrame) -> DataFrame:
     return _replaced(contracts, results, {"id": "contract_id"}, "contract_pct", zero_for_null=True)
 
 
-def roll_up(summary: DataFrame, fleet) -> dict[str, DataFrame]:
-    """Results and new states of every level above the trip, from :func:`plan_summary`."""
+def roll_up(
+    summary: DataFrame, fleet, settle: Callable[[DataFrame], DataFrame] = lambda df: df
+) -> dict[str, DataFrame]:
+    """Results and new states of every level above the trip, from :func:`plan_summary`.
+
+    ``settle`` is applied to the results per service and per group, which the
+    levels above and the log all read.
+    """
     plans = plan_state(fleet.plans, summary)
-    service_pct = service_completion(summary, plans, fleet.services)
+    service_pct = settle(service_completion(summary, plans, fleet.services))
     services = service_state(fleet.services, service_pct)
-    group_pct = group_completion(fleet.contract_groups, services)
+    group_pct = settle(group_completion(fleet.contract_groups, services))
     groups = group_state(fleet.contract_groups, group_pct)
     contract_pct = contract_completion(groups)
     return {

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from curbflow.session import cut_lineage
+
 SPARK_WORDS = {
     "ts": "timestamp_ntz",
     "each_day": "explode(sequence(1L, 30L))",
@@ -256,6 +258,10 @@ TABLES = {
 }
 
 
+# Taken from the events once, as most other tables start from it.
+SETTLED = {"users"}
+
+
 def references_of(text: str) -> list[str]:
     return [name for name in TABLES if "{" + name + "}" in text]
 
@@ -282,6 +288,8 @@ class DerivedFleet:
         for word, meaning in SPARK_WORDS.items():
             text = text.replace("{" + word + "}", meaning)
         built = self._spark.sql(text, **needed)
+        if name in SETTLED:
+            return cut_lineage(built)
         return with_lines(built) if name == "streets" else built
 
 

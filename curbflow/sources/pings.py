@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from curbflow.functions.text import is_untagged, is_usable_tag, tag_key
 from curbflow.operators import first_per
 
+# What the lifting steps need of a ping; the sensor inputs are not read.
+READ_COLUMNS = ("id", "vehicle_id", "longitude", "latitude", "tag", "movement_time", "imei", "io9")
+
 # Fixed value: stands for an unknown contract type, company or tenant.
 NO_ID = "00000000-0000-0000-0000-000000000000"
 
@@ -19,7 +22,7 @@ def lift_reads(pings: DataFrame, vehicles: DataFrame) -> DataFrame:
     )
     # One row per tag goes on to the join, so the batch is reduced first.
     first = first_per(
-        pings.where(is_usable_tag(F.col("tag"))).withColumn("tag_key", tag_key(F.col("tag"))),
+        pings.select(*READ_COLUMNS, tag_key(F.col("tag")).alias("tag_key")).where(is_usable_tag(F.col("tag"))),
         ["tag_key"],
         [F.col("movement_time"), F.col("id")],
     )
