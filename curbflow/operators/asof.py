@@ -22,10 +22,11 @@ def last_before(
     Marks at the same time: the one with the greatest id. Nothing is paired:
     both sides go through one window per (key, slice of time). What a slice
     takes over from the slices before it comes from a second window that has
-    one row per key and slice.
+    one row per key and slice. Marks of keys nobody asks for are dropped first.
     """
+    asked = moments.select(key).distinct()
     mark = F.struct(F.col(mark_time).alias("at"), F.col(mark_id).alias("id"))
-    points = marks.where(F.col(mark_time).isNotNull()).select(
+    points = marks.where(F.col(mark_time).isNotNull()).join(asked, key, "left_semi").select(
         key,
         F.col(mark_time).alias("_at"),
         F.lit(1).alias("_kind"),

@@ -26,8 +26,12 @@ STREET_KEYS = (
 )
 
 
-def running_streets(fleet, tolerance: float = STREET_TOLERANCE_DEGREES) -> DataFrame:
-    """Streets of running trips, one row per vehicle, stop, slice of time and grid cell."""
+def running_streets(fleet, active: DataFrame, tolerance: float = STREET_TOLERANCE_DEGREES) -> DataFrame:
+    """Streets of running trips, one row per vehicle, stop, slice of time and grid cell.
+
+    ``active`` has the (vehicle_id, slice) pairs with pings. Trips are cut down
+    to them first: a batch covers hours, the trip table years.
+    """
     plans = (
         fleet.plans.select(F.col("id").alias("plan_id"), "service_id", F.col("contract_id").alias("contract_id"),
                            "active_trips", F.col("completion_pct").alias("plan_old_pct"))
@@ -54,13 +58,19 @@ def running_streets(fleet, tolerance: float = STREET_TOLERANCE_DEGREES) -> DataF
         .join(fleet.companies.select(F.col("id").alias("company_id"), F.col("type").alias("company_type")), "company_id")
         .drop("vehicle_type_id")
     )
+    slices = F.sequence(
+        time_slice(F.col("start_trip"), TRIP_SLICE_SECONDS), time_slice(F.col("end_trip"), TRIP_SLICE_SECONDS)
+    )
     trips = (
         fleet.trips.where(~F.col("is_deleted") & (F.col("status") == RUNNING_TRIP))
         .select(F.col("id").alias("trip_id"), "plan_id", "start_trip", "end_trip")
-        .join(fleet.trip_summaries.select("trip_id", F.col("id").alias("trip_summary_id")), "trip_id")
-        .join(plans, "plan_id")
+        .where("start_trip < end_trip")
+        .withColumn("slice", F.explode(slices))
         .join(fleet.vehicle_plans.select("plan_id", "vehicle_id"), "plan_id")
+        .join(active, ["vehicle_id", "slice"], "left_semi")
         .join(vehicles, "vehicle_id")
+        .join(plans, "plan_id")
+        .join(fleet.trip_summaries.select("trip_id", F.col("id").alias("trip_summary_id")), "trip_id")
     )
     stops = (
         fleet.stops.where(F.col("geometry_id").isNotNull())
@@ -72,31 +82,23 @@ def running_streets(fleet, tolerance: float = STREET_TOLERANCE_DEGREES) -> DataF
     )
     lines = fleet.streets.where(F.col("geo_type") == STREET_GEOMETRY).select(F.col("id").alias("geometry_id"), "line")
     cells = line_cells(lines, "geometry_id", "line", tolerance)
-    slices = F.sequence(
-        time_slice(F.col("start_trip"), TRIP_SLICE_SECONDS), time_slice(F.col("end_trip"), TRIP_SLICE_SECONDS)
-    )
-    return (
-        trips.where("start_trip < end_trip")
-        .join(stops, "trip_id")
-        .withColumn("slice", F.explode(slices))
-        .join(cells, "geometry_id")
-        .drop("geometry_id")
-    )
+    return trips.join(stops, "trip_id").join(cells, "geometry_id").drop("geometry_id")
 
 
 def street_proximity(pings: DataFrame, fleet, tolerance: float = STREET_TOLERANCE_DEGREES) -> DataFrame:
     """Untagged pings on a street of a trip their vehicle's plan runs at that moment, [start, end).
 
     The pings are shuffled once, on (vehicle, slice of time, grid cell); a busy
-    vehicle spreads over its slices and cells.
+    vehicle spreads over its slices and cells. Besides, two of their columns are
+    read to learn which vehicles were out when.
     """
     placed = pings.select(
         F.col("id").alias("ping_id"), "vehicle_id", "movement_time", "longitude", "latitude",
         "input1", "input2", "input3", "input4", "speed", "ignition",
     ).withColumn("slice", time_slice(F.col("movement_time"), TRIP_SLICE_SECONDS))
-    near = near_lines(
-        placed, running_streets(fleet, tolerance), ["vehicle_id", "slice"], "longitude", "latitude", tolerance
-    )
+    active = placed.select("vehicle_id", "slice").distinct()
+    streets = running_streets(fleet, active, tolerance)
+    near = near_lines(placed, streets, ["vehicle_id", "slice"], "longitude", "latitude", tolerance)
     in_trip = (F.col("movement_time") >= F.col("start_trip")) & (F.col("movement_time") < F.col("end_trip"))
     return near.where(in_trip).drop("slice", "start_trip", "end_trip")
 
