@@ -9,14 +9,25 @@ from pyspark.sql import Column, functions as F
 DAYS_PER_WEEK = 7
 
 
-def minutes_between(earlier: Column, later: Column) -> Column:
-    """Number of minute boundaries crossed, so 10:00:59 to 10:01:00 is one minute."""
-    return F.timestamp_diff("MINUTE", F.date_trunc("minute", earlier), F.date_trunc("minute", later))
+def time_slice(moment: Column, width_seconds: int) -> Column:
+    """Index of the fixed-width slice of time that holds ``moment``.
 
+    Counted from the difference to a fixed moment, so that times without a zone
+    do not pass through the session's zone and its clock changes.
+    """
+    since = moment - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    seconds = (
+        F.extract(F.lit("DAY"), since) * 86400
+        + F.extract(F.lit("HOUR"), since) * 3600
+        + F.extract(F.lit("MINUTE"), since) * 60
+        + F.extract(F.lit("SECOND"), since)
+    )
+    return F.floor(F.floor(seconds).cast("bigint") / F.lit(width_seconds))
 
-def time_slice(moment: Column, width_seconds: int) -> Column:
-    """Index of the fixed-width slice of time that holds ``moment``."""
-    return F.floor(F.unix_seconds(moment.cast("timestamp")) / F.lit(width_seconds))
+
+def minutes_between(earlier: Column, later: Column) -> Column:
+    """Number of minute boundaries crossed, so 10:00:59 to 10:01:00 is one minute."""
+    return time_slice(later, 60) - time_slice(earlier, 60)
 
 
 def seconds_of_day(moment: Column) -> Column:

@@ -35,6 +35,22 @@ def test_previous_row(spark):
     assert got == want
 
 
+def test_slices_do_not_follow_the_session_zone(spark):
+    """The night the clocks go forward in New York, times without a zone still come in order."""
+    night = dt.datetime(2024, 3, 10)
+    rows = [(i, "k", night + dt.timedelta(minutes=7 * i)) for i in range(60)]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame(rows, "id long, key string, at timestamp_ntz")
+        got = {r.id: r.previous and r.previous.id for r in previous_row(df, "key", "at", ["id"], ["id"]).collect()}
+        gap = df.select(F.max(time.minutes_between(F.lit("2024-03-10").cast("timestamp_ntz"), F.col("at")))).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == {i: i - 1 if i else None for i in range(60)}
+    assert gap == 59 * 7
+
+
 def test_last_before(spark):
     asks = moments(400, 2)
     marks = [(1000 + i, key, at) for i, key, at in moments(60, 3, span_hours=80)]
