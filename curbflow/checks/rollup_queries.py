@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from curbflow.checks import sql_rollup  # noqa: F401
 from curbflow.checks.registry import DIGITS, LOG_DAY, query, r_sql, rounded
 from curbflow.plans import repair, rollup, service_log, sweeping
+from curbflow.plans.batch import Batch
 
 LOG_NOW = dt.datetime(2024, 1, 31, 0, 30)
 
@@ -146,6 +148,59 @@ def service_log_percentages(batch):
     return filled.select(*LOG_COLUMNS, *rounded(*LOG_PCT))
 
 
+# ---- a whole batch -----------------------------------------------------------
+
+
+def count_sql(table: str, source: str) -> str:
+    return f"select '{table}' as table_name, count(*) as changed from ({source})"
+
+
+BATCH_COUNTS = " union all ".join(
+    count_sql(table, source)
+    for table, source in {
+        "tag_references": "select 1 from lift_pings where tag_key not in (select upper(rtrim(tag)) from tag_references)",
+        "bins": "select 1 from bins where upper(rtrim(tag)) in (select tag_key from lift_matches)",
+        "streets": "select 1 from streets where upper(rtrim(tag)) in (select tag_key from lift_matches where case_no = 1)",
+        "stops": "select 1 from added_stops",
+        "stop_summaries": """select summary_id from lift_matches where summary_id is not null
+            union select stop_summary_id from street_results
+            union all select 1 from added_stops""",
+        "trip_summaries": """select trip_summary_id from lift_contexts
+            union select trip_summary_id from swept_trip_results""",
+        "latest_tag_events": """select 1 from lift_matches m
+            join bins b on upper(rtrim(b.tag)) = m.tag_key and not b.is_deleted
+            join vehicles v on v.id = m.vehicle_id and not v.is_deleted where m.case_no = 7""",
+        "outside_scope_events": """select 1 from lift_matches m join bins b on upper(rtrim(b.tag)) = m.tag_key
+            join vehicles v on v.id = m.vehicle_id join contract_types t on t.id = v.contract_type_id
+            where m.case_no in (3, 4)""",
+        "plans": "select 1 from plan_results",
+        "services": "select 1 from service_results",
+        "contract_groups": "select 1 from contract_groups",
+        "contracts": "select 1 from contracts",
+        "service_log": """select 1 from log_merged where created_date = date '2024-01-30'
+            union all
+            select 1 from contract_groups g
+            join services s on s.contract_id = g.contract_id and s.group_id = g.group_id
+            where not exists (select 1 from service_log l where l.contract_id = g.contract_id
+                and l.group_id = g.group_id and l.created_date = date '2024-01-30'
+                and cast(l.logged_at as date) = date '2024-01-30')""",
+    }.items()
+)
+
+
+@query("ping_batch_consume", BATCH_COUNTS)
+def ping_batch_consume(batch):
+    """Rows every table takes from the batch. Writing them once is tested on the stream."""
+    changes = Batch(batch.fleet, now=dt.datetime.combine(LOG_DAY, dt.time(23, 30))).changes()
+    # Has a query of its own, with the distances checked.
+    changes.pop("tag_violations")
+    counts = [
+        rows.agg(F.count(F.lit(1)).alias("changed")).select(F.lit(table).alias("table_name"), "changed")
+        for table, rows in changes.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 # ---- repair ------------------------------------------------------------------
 
 
