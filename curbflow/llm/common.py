@@ -7,7 +7,14 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+import curbflow
+
+# Code of this package travels with the job: executors need no copy of it.
+cloudpickle.register_pickle_by_value(curbflow)
 
 # Text bytes that a task holds unpacked at once; a longer single text comes alone.
 SLICE_BYTES = 4 << 20
@@ -57,8 +64,6 @@ def map_arrow(df: DataFrame, build: Callable[[], Callable[[pa.RecordBatch], dict
     """Run a function over slices of the rows. ``build`` runs once a task and returns the function,
     which gives the columns of ``schema`` for one slice."""
     struct = T._parse_datatype_string(schema)
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     arrow = to_arrow_schema(struct)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

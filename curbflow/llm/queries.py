@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbflow.llm import token_counts
+from curbflow.llm import language_id, packing, token_counts
 from curbflow.llm.common import table
 
 
@@ -14,7 +14,17 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), token_counts.byte_level_vocabulary())
 
 
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.language_of_documents(table(spark, folder, "documents"))
+
+
+def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed_documents(table(spark, folder, "documents"), packing.word_vocabulary())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
+    "op10_best_fit_packing": op10_best_fit_packing,
     "op6_token_counts": op6_token_counts,
 }
 ORACLES: dict[str, str] = {}
