@@ -155,6 +155,7 @@ def packing_plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tup
             lengths += filled
             held.update(filled)
             gap -= sum(filled)
+        held = +held  # without lengths tried and put back
         times = min(int(left.counts[n]) // k for n, k in held.items())
         for n, k in held.items():
             left.counts[n] -= k * times
