@@ -60,19 +60,39 @@ def bytes_of(batch: pa.RecordBatch, column: str = "text") -> tuple[np.ndarray, n
     return flat, offsets - offsets[0]
 
 
-def map_arrow(df: DataFrame, build: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str, column: str = "text") -> DataFrame:
+def map_arrow(
+    df: DataFrame, build: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str, column: str = "text", keep: bool = False
+) -> DataFrame:
     """Run a function over slices of the rows. ``build`` runs once a task and returns the function,
-    which gives the columns of ``schema`` for one slice."""
-    struct = T._parse_datatype_string(schema)
+    which gives the columns of ``schema`` for one slice. With ``keep`` all columns of ``df`` stay beside them."""
+    made = T._parse_datatype_string(schema)
+    struct = T.StructType([*df.schema.fields, *made.fields]) if keep else made
     arrow = to_arrow_schema(struct)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = build()
         for part in slices(batches, column):
             out = work(part)
+            values = [*part.columns, *(out[f.name] for f in made)] if keep else [out[f.name] for f in made]
             yield pa.RecordBatch.from_arrays(
-                [v.cast(f.type) if isinstance(v, (pa.Array, pa.ChunkedArray)) else pa.array(v, f.type) for f, v in ((f, out[f.name]) for f in arrow)],
+                [v.cast(f.type) if isinstance(v, (pa.Array, pa.ChunkedArray)) else pa.array(v, f.type) for f, v in zip(arrow, values)],
                 schema=arrow,
             )
 
     return df.mapInArrow(run, struct)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_label: tuple[int, int], learn) -> DataFrame:
+    """Rows (doc_id, text, label 0 or 1) of at most ``per_label`` labelled documents of label 0 and of label 1.
+
+    ``learn`` is a condition on a key column. Keys are drawn by a hash; a key labelled both ways is left out.
+    The drawn keys are few whatever the size of the tables, so they go to each task.
+    """
+    known = (
+        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
+        .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & learn(F.col("doc_id")))
+        .groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other"))
+        .where(F.col("label") == F.col("other")).select("doc_id", "label", F.xxhash64("doc_id", F.lit(11)).alias("place"))
+    )
+    drawn = [known.where(F.col("label") == kind).orderBy("place", "doc_id").limit(per_label[kind]) for kind in (0, 1)]
+    return keyed_texts(docs).join(F.broadcast(drawn[0].unionByName(drawn[1]).drop("place")), "doc_id")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbflow.llm import language_id, packing, token_counts
+from curbflow.llm import language_id, packing, quality_rules, token_counts, toxicity
 from curbflow.llm.common import table
 
 
@@ -18,12 +18,22 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.language_of_documents(table(spark, folder, "documents"))
 
 
+def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.quality_of_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity_of_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_documents(table(spark, folder, "documents"), packing.word_vocabulary())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op4_quality_rules": op4_quality_rules,
+    "op5_toxicity": op5_toxicity,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op6_token_counts": op6_token_counts,
 }
