@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbflow.llm import language_id, packing, quality_rules, token_counts, toxicity
+from curbflow.llm import decontamination, language_id, packing, quality_rules, token_counts, toxicity
 from curbflow.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_of_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_documents(table(spark, folder, "documents"), packing.word_vocabulary())
 
@@ -34,7 +38,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op4_quality_rules": op4_quality_rules,
     "op5_toxicity": op5_toxicity,
+    "op7_decontamination": op7_decontamination,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op6_token_counts": op6_token_counts,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_decontamination": decontamination.ORACLE,
+}
