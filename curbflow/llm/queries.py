@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbflow.llm import decontamination, language_id, near_dedup, packing, quality_rules, token_counts, toxicity
+from curbflow.llm import ann_search, decontamination, language_id, near_dedup, packing, quality_rules, token_counts, toxicity
 from curbflow.llm.common import table
 
 
@@ -30,6 +30,10 @@ def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op8_ann_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ann_search.neighbours(table(spark, folder, "embeddings"))
+
+
 def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, folder, "documents"))
 
@@ -43,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_toxicity": op5_toxicity,
     "op7_decontamination": op7_decontamination,
+    "op8_ann_search": op8_ann_search,
     "op9_near_dedup": op9_near_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op6_token_counts": op6_token_counts,
