@@ -82,6 +82,21 @@ def map_arrow(
     return df.mapInArrow(run, struct)
 
 
+def beside_rows(docs: DataFrame, build: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str, text: str = "text") -> DataFrame:
+    """Column row, a struct of all columns of ``docs``, and the columns of ``schema``, which no name in ``docs`` can clash with."""
+    held = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"), F.col(text).cast("string").alias("text"))
+    return map_arrow(held, build, schema, keep=True).drop("text")
+
+
+# Rows up to which a settled side of a join is sent to all tasks; larger sides are shuffled.
+SENT_ROWS = 500_000
+
+
+def sent_if_small(df: DataFrame) -> DataFrame:
+    """Broadcast a settled frame if it has few rows."""
+    return F.broadcast(df) if df.count() <= SENT_ROWS else df
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_label: tuple[int, int], learn) -> DataFrame:
     """Rows (doc_id, text, label 0 or 1) of at most ``per_label`` labelled documents of label 0 and of label 1.
 

@@ -13,24 +13,17 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from curbflow.llm.common import sent_if_small
 from curbflow.session import cut_lineage
 
 WINDOW, GRAM = 13, 5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-# Rows up to which a side of a join is sent to all tasks; larger sides are shuffled.
-SENT_ROWS = 500_000
-
 
 def words(text: Column) -> Column:
     return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), SEPARATORS), "")
 
 
-def sent_if_small(df: DataFrame) -> DataFrame:
-    """Broadcast a settled frame if it has few rows."""
-    return F.broadcast(df) if df.count() <= SENT_ROWS else df
-
-
 def with_grams(df: DataFrame, sizes: set[int]) -> DataFrame:
     """Add gram_k, the hashes of all k consecutive words, for each size k, to rows with words and word_hash."""
     for k in sorted(sizes):
@@ -99,15 +92,20 @@ def item_places(items: DataFrame, lengths: list[int]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, **names: str) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
     n_hit counts the words inside any window that an item has too, n_items the items with such windows;
     contaminated is n_hit > 0 and 20 * n_hit >= n_words. Null and wordless texts and items have no windows.
     Repeated rows give repeated rows, rows with the same key and different texts are told apart, a null key
     stays null; an item without id hits words and isn't counted. Empty tables give no rows or no hits.
-    Other columns are ignored, whatever their names.
+    Other columns are ignored, whatever their names. ``names`` are those of ``judged``.
     """
+    return judged(docs, benchmark, **names).drop("version")
+
+
+def judged(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
+    """As ``contamination``, with version, a hash of the text that tells rows of one key apart."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("version"), F.col(text).alias("text"))
     items = cut_lineage(
         with_words(benchmark.select(F.col(item).cast("string").alias("item_id"), F.col(item_text).alias("text")))
@@ -115,7 +113,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     )
     lengths = sorted(r[0] for r in items.select(F.least(F.size("words"), F.lit(WINDOW))).distinct().collect())
     if not lengths:
-        counted = rows.select("doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"))
+        counted = rows.select("doc_id", "version", F.size(words(F.col("text"))).cast("long").alias("n_words"))
         return verdict(counted.withColumns({"n_hit": F.lit(0), "n_items": F.lit(0), "item_ids": F.array().cast("array<string>")}))
     wanted = cut_lineage(item_places(items, lengths))
     wanted_hashes = sent_if_small(cut_lineage(wanted.select("hash").distinct()))
@@ -161,7 +159,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
         winnowed.select("doc_id", "version", "n_words").alias("d")
         .join(covered.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & F.col("d.version").eqNullSafe(F.col("c.version")), "left")
         .join(by_item.alias("i"), F.col("d.doc_id").eqNullSafe(F.col("i.doc_id")) & F.col("d.version").eqNullSafe(F.col("i.version")), "left")
-        .select("d.doc_id", "d.n_words", "c.n_hit", "i.item_ids")
+        .select("d.doc_id", "d.version", "d.n_words", "c.n_hit", "i.item_ids")
     )
     return verdict(counted.withColumn("n_items", F.size(F.coalesce("item_ids", F.array()))))
 
@@ -169,7 +167,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
 def verdict(counted: DataFrame) -> DataFrame:
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return counted.select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.col("n_items").cast("long").alias("n_items"),
+        "doc_id", "version", "n_words", n_hit.alias("n_hit"), F.col("n_items").cast("long").alias("n_items"),
         F.sha2(F.coalesce(F.array_join("item_ids", ","), F.lit("")), 256).alias("items_sha256"),
         ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
     )

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from curbflow.llm.common import keyed_texts, map_arrow, texts_of
+from curbflow.llm.common import beside_rows, keyed_texts, map_arrow, texts_of
 
 LETTER_RUN = r"\p{L}+"
 LONGEST = 5
@@ -177,6 +177,22 @@ def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: s
     return map_arrow(keyed_texts(docs, key, text), build, "doc_id long, lang_pred string, score double")
 
 
+def known_rows(docs: DataFrame, model: LanguageModel, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose language is told with a score of ``least`` or more, with all their columns."""
+
+    def build():
+        predict = model.predictor()
+
+        def work(batch: pa.RecordBatch) -> dict:
+            langs, scores = zip(*map(predict, texts_of(batch)))
+            return {"lang_pred": langs, "score": scores}
+
+        return work
+
+    told = beside_rows(docs, build, "lang_pred string, score double")
+    return told.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row.*")
+
+
 def held_out(key: Column) -> Column:
     """Rows the model of the registered query doesn't learn from."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 3 == 1, F.lit(False))

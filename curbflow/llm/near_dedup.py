@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from curbflow.llm.common import bytes_of, keyed_texts, map_arrow
+from curbflow.llm.common import bytes_of, keyed_texts, map_arrow, sent_if_small
 from curbflow.session import cut_lineage
 
 SHINGLE = 5
@@ -31,8 +31,6 @@ FIRST_BANDS = 8
 SHARE = (75, 100)
 # Slots compared at a time, and the posterior probability of a link below which a pair is dropped.
 BATCH, MISS = 24, 1e-6
-# Rows up to which the keys of wanted documents are sent to all tasks.
-SENT_ROWS = 500_000
 
 U = np.uint64
 
@@ -217,8 +215,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         shingler = Shingler()
         return lambda batch: {"rep": batch.column("doc_id"), "members": [s.tobytes() for s in shingler(batch)]}
 
-    few = wanted.count() <= SENT_ROWS
-    chosen = docs.join(F.broadcast(wanted) if few else wanted, docs.doc_id == wanted.rep).select("doc_id", "text")
+    chosen = docs.join(sent_if_small(wanted), docs.doc_id == wanted.rep).select("doc_id", "text")
     return map_arrow(chosen, build, "rep long, members binary").dropDuplicates(["rep"])
 
 

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from curbflow.llm.common import bytes_of, fold, keyed_texts, labelled_sample, map_arrow, texts_of
+from curbflow.llm.common import beside_rows, bytes_of, fold, keyed_texts, labelled_sample, map_arrow, texts_of
 
 # Classes of bytes whose share of a text is a statistic.
 BYTE_CLASSES = {
@@ -213,6 +213,11 @@ def quality(docs: DataFrame, model: RuleEnsemble, key: str = "doc_id", text: str
     return scored.select("doc_id", model.column().alias("score")).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
+def good_rows(docs: DataFrame, model: RuleEnsemble) -> DataFrame:
+    """The rows of ``docs`` that the model predicts 1 for, with all their columns."""
+    return beside_rows(docs, lambda: statistics, SCHEMA).where(model.column() >= THRESHOLD).select("row.*")
+
+
 def held_out(key: Column) -> Column:
     return fold(key, 5) == 0
 

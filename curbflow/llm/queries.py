@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbflow.llm import ann_search, decontamination, language_id, near_dedup, packing, quality_rules, token_counts, toxicity
+from curbflow.llm import ann_search, decontamination, language_id, license_scan, near_dedup, packing, quality_rules, token_counts, toxicity, warc_fixity
 from curbflow.llm.common import table
 
 
@@ -18,6 +18,14 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.language_of_documents(table(spark, folder, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.licenses(table(spark, folder, "documents"))
+
+
+def op3_warc_fixity(spark: SparkSession, folder: str) -> DataFrame:
+    return warc_fixity.audit_of_pages(table(spark, folder, "pages"))
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_of_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -44,6 +52,8 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_license_scan": op2_license_scan,
+    "op3_warc_fixity": op3_warc_fixity,
     "op4_quality_rules": op4_quality_rules,
     "op5_toxicity": op5_toxicity,
     "op7_decontamination": op7_decontamination,
@@ -53,5 +63,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": op6_token_counts,
 }
 ORACLES: dict[str, str] = {
+    "op3_warc_fixity": warc_fixity.ORACLE,
     "op7_decontamination": decontamination.ORACLE,
 }
