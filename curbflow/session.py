@@ -6,8 +6,8 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings that matter for the plans in this package. All are plain Spark
-# settings; a cluster that sets its own keeps them (see ``apply_settings``).
+# Settings that matter for the plans in this package, all plain Spark settings.
+# ``build_session`` sets them; a session made elsewhere keeps its own.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join partition even where the split costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Checkpoint files go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
 
@@ -29,11 +31,14 @@ def build_session(app_name: str = "curbflow", master: str | None = None, **extra
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names; fall back to a temporary one (tests)."""
+    """Use the folder that spark.checkpoint.dir names. Only a local session, as in tests, may do without."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="curbflow-checkpoint-"))
+    if context.getCheckpointDir() is not None:
+        return
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None and not context.master.split("[")[0] == "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    context.setCheckpointDir(named or tempfile.mkdtemp(prefix="curbflow-checkpoint-"))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

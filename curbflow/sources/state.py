@@ -8,7 +8,8 @@ reads them, and its next attempt writes over them. A run that is in the ledger
 is not done again. Keyed tables are read as: rows of the base that no later run
 changed, and the latest change of each key. The base is not shuffled when the
 changed keys are few enough to broadcast, which Spark decides by their size.
-``compact`` writes a new base and so bounds the number of runs read.
+``compact`` writes a new base of each table and so bounds the number of runs read.
+A run names the tables it wrote; a table's base is the latest base run that has it.
 """
 
 from __future__ import annotations
@@ -38,62 +39,100 @@ KEYS: dict[str, tuple[str, ...]] = {
 }
 
 
+# Columns that runs write beside those of the first fill, in their types; they are null in rows written without them.
+ADDED_COLUMNS: dict[str, dict[str, str]] = {
+    "stops": {"reference_code": "string", "tag_hash": "string"},
+    # Ids of other tables as text, which holds keys of any type.
+    "tag_violations": {
+        "tag_key": "string", "ping_id": "bigint", "longitude": "double", "latitude": "double",
+        "bin_company_id": "string", "bin_contract_type": "string",
+    },
+    "trip_summaries": {"discharge_status": "int"},
+}
+
+
 class StateTables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
 
-    # ---- ledger: one row per run, so it is read into the driver ----
+    # ---- ledger: one row per run; what is read of it is cut down in Spark ----
 
-    def runs(self) -> list[tuple[int, str, bool]]:
-        """(order, run, is_base) of the finished runs that still count, oldest first."""
+    def _ledger(self) -> DataFrame | None:
         try:
-            rows = self.spark.read.parquet(f"{self.root}/{LEDGER}").collect()
+            return self.spark.read.parquet(f"{self.root}/{LEDGER}")
         except AnalysisException:
-            return []  # nothing written yet
-        done = sorted((row["order_no"], row["run"], row["is_base"]) for row in rows)
-        bases = [place for place, (_, _, is_base) in enumerate(done) if is_base]
-        return done[bases[-1] :] if bases else done
+            return None  # nothing written yet
+
+    def runs(self, name: str) -> list[tuple[int, str, bool]]:
+        """(order, run, is_base) of the finished runs of a table from its latest base on, oldest first."""
+        ledger = self._ledger()
+        if ledger is None:
+            return []
+        of_table = ledger.where(F.array_contains("tables", name))
+        base = of_table.where("is_base").agg(F.max("order_no").alias("base"))
+        rows = of_table.join(base, F.col("order_no") >= F.coalesce("base", F.lit(0))).collect()
+        return sorted((row["order_no"], row["run"], row["is_base"]) for row in rows)
+
+    def tables(self) -> list[str]:
+        """Every table that a finished run wrote."""
+        ledger = self._ledger()
+        if ledger is None:
+            return []
+        return sorted(row["table"] for row in ledger.select(F.explode("tables").alias("table")).distinct().collect())
 
     def is_done(self, run: str) -> bool:
-        try:
-            return not self.spark.read.parquet(f"{self.root}/{LEDGER}").where(F.col("run") == run).isEmpty()
-        except AnalysisException:
-            return False
-
-    def finish(self, run: str, is_base: bool = False) -> None:
-        row = self.spark.range(1).select(F.lit(self._next()).alias("order_no"), F.lit(is_base).alias("is_base"))
-        row.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/{LEDGER}/run={run}")
+        ledger = self._ledger()
+        return ledger is not None and not ledger.where(F.col("run") == run).isEmpty()
 
     def _next(self) -> int:
-        return max((order for order, _, _ in self.runs()), default=0) + 1
+        ledger = self._ledger()
+        return 1 if ledger is None else ledger.agg(F.coalesce(F.max("order_no"), F.lit(0))).first()[0] + 1
 
     # ---- tables ----
 
     def write(self, run: str, tables: Mapping[str, DataFrame], is_base: bool = False) -> None:
-        """Write all ``tables`` of a run, then its ledger row."""
-        order = F.lit(self._next())
+        """Write all ``tables`` of a run, then its ledger row, under one order number.
+
+        Runs are applied one after another: a second writer at the same time is not supported.
+        """
+        order = self._next()
         for name, rows in tables.items():
-            self._fitted(name, rows).withColumn(ORDER, order).write.mode("overwrite").parquet(
-                f"{self.root}/{name}/run={run}"
-            )
-        self.finish(run, is_base)
+            place = f"{self.root}/{name}/run={run}"
+            self._fitted(name, rows).withColumn(ORDER, F.lit(order)).write.mode("overwrite").parquet(place)
+            self._check_keys(name, place)
+        row = self.spark.range(1).select(
+            F.lit(order).alias("order_no"), F.lit(is_base).alias("is_base"),
+            F.array(*(F.lit(name) for name in sorted(tables))).cast("array<string>").alias("tables"),
+        )
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/{LEDGER}/run={run}")
+
+    def _check_keys(self, name: str, place: str) -> None:
+        """Two rows of one key in a run would hide one another."""
+        keys = KEYS.get(name)
+        if keys is None:
+            return
+        twice = self.spark.read.parquet(place).groupBy(*keys).count().where("count > 1").take(1)
+        if twice:
+            raise ValueError(f"{name} has several rows of the key {twice[0].asDict()}")
 
     def _fitted(self, name: str, rows: DataFrame) -> DataFrame:
-        """Rows in the columns and types the table was first written with."""
+        """Rows in the columns and types of the table: those of its first fill and ADDED_COLUMNS. Others are an error."""
         try:
-            schema = self.spark.read.parquet(f"{self.root}/{name}").drop("run", ORDER).schema
+            stored = self.spark.read.parquet(f"{self.root}/{name}").drop("run", ORDER).schema
         except AnalysisException:
-            return rows
+            stored = rows.schema
+        columns = {field.name: field.dataType for field in stored}
+        columns |= {column: kind for column, kind in ADDED_COLUMNS.get(name, {}).items() if column not in columns}
+        unknown = sorted(set(rows.columns) - set(columns))
+        if unknown:
+            raise ValueError(f"{name} has no columns {unknown}")
         return rows.select(
-            *(
-                (F.col(field.name) if field.name in rows.columns else F.lit(None)).cast(field.dataType).alias(field.name)
-                for field in schema
-            )
+            *((F.col(column) if column in rows.columns else F.lit(None)).cast(kind).alias(column) for column, kind in columns.items())
         )
 
     def read(self, name: str) -> DataFrame:
         """Current rows of a table."""
-        runs = self.runs()
+        runs = self.runs(name)
         stored = self.spark.read.parquet(f"{self.root}/{name}")
         stored = stored.where(F.col("run").isin([run for _, run, _ in runs])).drop("run")
         keys = KEYS.get(name)
@@ -108,10 +147,10 @@ class StateTables:
         """First fill of all tables; they form the base."""
         self.write(run, tables, is_base=True)
 
-    def compact(self, run: str, names: list[str]) -> None:
-        """Write the current rows of all tables as the new base."""
+    def compact(self, run: str, names: list[str] | None = None) -> None:
+        """Write the current rows of tables, of all by default, as their new base. Other tables keep theirs."""
         if not self.is_done(run):
-            self.write(run, {name: self.read(name) for name in names}, is_base=True)
+            self.write(run, {name: self.read(name) for name in names or self.tables()}, is_base=True)
 
     def once(self, run: str, work: Callable[[], Mapping[str, DataFrame]]) -> bool:
         """Do ``work`` and write its tables unless the run is done already; True if it was done now."""
@@ -128,6 +167,10 @@ class StoredFleet:
         self._state = state
         self._read: dict[str, DataFrame] = {} if pings is None else {"pings": pings}
 
+    def put(self, name: str, rows: DataFrame) -> None:
+        """Use ``rows`` in place of the stored table."""
+        self._read[name] = rows
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,8 +18,9 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
+from curbflow.functions.time import timestamp_lit
 from curbflow.plans.batch import Batch, Choices
-from curbflow.plans.trip_creation import TripRun
+from curbflow.plans.trip_creation import TripRun, advance_status
 from curbflow.sources.state import StateTables, StoredFleet
 
 PING_SCHEMA = StructType(
@@ -41,26 +43,54 @@ PING_SCHEMA = StructType(
 )
 
 
+# How far a ping's clock may be ahead of its arrival.
+AHEAD = dt.timedelta(hours=1)
+
+
 def latest_ping(pings: DataFrame) -> dt.datetime:
     """Default clock of a batch: its latest ping, so that a re-run has the same clock."""
     return pings.agg(F.max("movement_time")).first()[0]
 
 
+def timely(pings: DataFrame, arrived: dt.datetime | None) -> tuple[DataFrame, DataFrame]:
+    """Pings with a usable clock, and the others: no time, or a time past ``arrived`` and AHEAD."""
+    good = F.col("movement_time").isNotNull()
+    if arrived is not None:
+        good = good & F.coalesce(F.col("movement_time") <= timestamp_lit(arrived + AHEAD), F.lit(False))
+    return pings.where(good), pings.where(~good)
+
+
 def apply_batch(
     state: StateTables,
     pings: DataFrame,
     run: str,
     clock: Callable[[DataFrame], dt.datetime] = latest_ping,
     choices: Choices = Choices(),
+    arrived: dt.datetime | None = None,
 ) -> int:
     """Process a batch and write what it changes. 1 if done now, 0 if empty or done before.
 
-    A failure raises; nothing of the batch counts then, and the stream brings it again.
+    Planned trips that are due by the batch's clock start before the pings are matched. Pings whose clock is
+    missing or past ``arrived`` go to the table faulty_pings and nowhere else. A failure raises; nothing of the
+    batch counts then, and the stream brings it again.
     """
     if state.is_done(run) or pings.isEmpty():
         return 0
-    batch = Batch(StoredFleet(state, pings), choices, clock(pings))
-    return int(state.once(run, batch.changes))
+    good, faulty = timely(pings, arrived)
+    faulty = {"faulty_pings": faulty.select(*PING_SCHEMA.names)}
+    now = clock(good)
+    if now is None:
+        return int(state.once(run, lambda: faulty))
+    fleet = StoredFleet(state, good)
+    stored = fleet.trips
+    fleet.put("trips", advance_status(stored, now))
+    batch = Batch(fleet, choices, now)
+    return int(state.once(run, lambda: {**batch.changes(), "trips": started_trips(stored, now), **faulty}))
+
+
+def started_trips(trips: DataFrame, now: dt.datetime) -> DataFrame:
+    """Trips whose status changes by ``now``."""
+    return advance_status(trips.withColumn("_old", F.col("status")), now).where("_old <> status").drop("_old")
 
 
 def ping_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
@@ -77,28 +107,39 @@ def run_stream(
     choices: Choices = Choices(),
     available_now: bool = False,
     every: str = "1 hour",
+    arrival: Callable[[], dt.datetime | None] = lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
 ) -> StreamingQuery:
-    """Apply every micro-batch. The batch id names the run, so a batch brought twice changes nothing."""
+    """Apply every micro-batch.
+
+    The stream's own id, which its checkpoint keeps, and the batch id name the run: a batch brought twice changes
+    nothing, and a stream on a new checkpoint doesn't take its batches for those of the old one.
+    """
 
     def one(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(state, batch, f"{name}-{batch_id}", clock, choices)
+        apply_batch(state, batch, run_name(batch.sparkSession, checkpoint, name, batch_id), clock, choices, arrival())
 
     writer = pings.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": every}
     return writer.trigger(**trigger).start()
 
 
+def run_name(spark: SparkSession, checkpoint: str, name: str, batch_id: int) -> str:
+    """The run of a batch: name, the id in the checkpoint's metadata, batch id."""
+    stream_id = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+    return f"{name}-{stream_id}-{batch_id}"
+
+
 def create_trips(state: StateTables, today: dt.date, now: dt.datetime) -> int:
-    """Create the trips of ``today`` once; 1 if done now."""
+    """Create the trips of ``today`` that don't exist yet and start those that are due; 1 if done now.
+
+    May run again later in the day; a run is told by its clock.
+    """
     fleet = StoredFleet(state)
 
     def work() -> dict[str, DataFrame]:
         run = TripRun(fleet, today, now)
-        advanced = run.all_trips.join(
-            fleet.trips.select("id", F.col("status").alias("_old")), "id", "left"
-        ).where("_old is null or _old <> status")
         return {
-            "trips": advanced.drop("_old"),
+            "trips": started_trips(fleet.trips, now).unionByName(advance_status(run.trips, now), allowMissingColumns=True),
             "trip_summaries": run.summaries,
             "stops": run.stops,
             "stop_summaries": run.stop_summaries,
@@ -107,4 +148,4 @@ def create_trips(state: StateTables, today: dt.date, now: dt.datetime) -> int:
             "plans": run.plans.join(run.starts.select(F.col("plan_id").alias("id")), "id", "left_semi"),
         }
 
-    return int(state.once(f"trips-{today.isoformat()}", work))
+    return int(state.once(f"trips-{today.isoformat()}-{now:%H%M%S}", work))
