@@ -107,7 +107,7 @@ view(
     """
     select *, lag(longitude) over vehicle_order as last_longitude, lag(latitude) over vehicle_order as last_latitude
     from near_streets
-    window vehicle_order as (partition by vehicle_id order by movement_time, stop_order, stop_summary_id)
+    window vehicle_order as (partition by vehicle_id order by movement_time, stop_order, stop_summary_id, ping_id, trip_summary_id)
     """,
 )
 view(

@@ -25,11 +25,15 @@ def bin_trips(fleet) -> DataFrame:
 
 
 def fix_expected(fleet) -> DataFrame:
-    """Trips said to be complete (expected = actual) whose planned stops number otherwise: trip_id, expected."""
+    """Trips said to be complete (expected = actual) whose planned stops number otherwise: trip_id, expected.
+
+    A stop counts once per summary of its own and per complete summary of its trip with the same coverage.
+    """
     complete = (
         fleet.trip_summaries.where("expected_coverage = actual_coverage")
-        .select("trip_id", "expected_coverage")
         .join(bin_trips(fleet), "trip_id", "left_semi")
+        .groupBy("trip_id", "expected_coverage")
+        .agg(F.count(F.lit(1)).alias("trip_rows"))
     )
     off_plan = F.coalesce(F.col("status_lookup").isin(STATUS_OF_CASE[3], STATUS_OF_CASE[4]), F.lit(False))
     # One pass over the summaries of a stop serves both the count and the exclusion.
@@ -41,27 +45,32 @@ def fix_expected(fleet) -> DataFrame:
     stops = fleet.stops.select(F.col("id").alias("stop_id"), "trip_id").join(
         complete.select("trip_id"), "trip_id", "left_semi"
     )
-    counted = stops.join(per_stop, "stop_id").groupBy("trip_id").agg(F.sum("summaries").alias("expected"))
+    counted = stops.join(per_stop, "stop_id").groupBy("trip_id").agg(F.sum("summaries").alias("stop_rows"))
     return (
-        complete.join(counted, "trip_id").where("expected <> expected_coverage").select("trip_id", "expected").distinct()
+        complete.join(counted, "trip_id")
+        .withColumn("expected", F.col("stop_rows") * F.col("trip_rows"))
+        .where("expected <> expected_coverage")
+        .groupBy("trip_id")
+        .agg(F.max("expected").alias("expected"))
     )
 
 
 def fix_actual(fleet) -> DataFrame:
-    """Lifted planned stops of every bin trip: trip_id, actual."""
+    """Lifted planned stops of every bin trip, once per summary of the trip: trip_id, actual."""
     counts = (
         (F.col("bin_status") == BIN_LIFTED)
         & ((F.col("status_lookup") == STATUS_OF_CASE[1]) | (F.col("completion_type") == MANUAL_COMPLETION))
         & (F.col("stop_order") >= 1)
     )
-    return (
+    per_trip = (
         fleet.stops.select(F.col("id").alias("stop_id"), "trip_id", "stop_order")
         .join(bin_trips(fleet), "trip_id", "left_semi")
         .join(fleet.stop_summaries.select("stop_id", "bin_status", "status_lookup", "completion_type"), "stop_id")
         .groupBy("trip_id")
-        .agg(F.count_if(counts).alias("actual"))
-        .join(fleet.trip_summaries.select("trip_id"), "trip_id", "left_semi")
+        .agg(F.count_if(counts).alias("stop_rows"))
     )
+    summaries = fleet.trip_summaries.groupBy("trip_id").agg(F.count(F.lit(1)).alias("trip_rows"))
+    return per_trip.join(summaries, "trip_id").select("trip_id", (F.col("stop_rows") * F.col("trip_rows")).alias("actual"))
 
 
 def fix_percentage(fleet) -> DataFrame:

@@ -107,11 +107,10 @@ def ping_segments(locations: DataFrame) -> DataFrame:
     """Add the position of the vehicle's ping before: last_longitude, last_latitude (null on its first).
 
     The ping before may lie on another street or trip. Pings at the same moment
-    are taken by street order, then stop summary.
+    are taken by street order, then stop summary, ping and trip summary, so the order is total.
     """
-    segments = previous_row(
-        locations, "vehicle_id", "movement_time", ["stop_order", "stop_summary_id"], ["longitude", "latitude"]
-    )
+    order = ["stop_order", "stop_summary_id", "ping_id", "trip_summary_id"]
+    segments = previous_row(locations, "vehicle_id", "movement_time", order, ["longitude", "latitude"])
     return segments.withColumns(
         {"last_longitude": F.col("previous.longitude"), "last_latitude": F.col("previous.latitude")}
     ).drop("previous")
@@ -173,7 +172,7 @@ def driven_streets(locations: DataFrame, rules: SweepRules = CURRENT) -> DataFra
     The flags look at one ping only, so they are set before the shuffle of the
     lag and the raw inputs do not travel.
     """
-    columns = ("vehicle_id", "company_id", "movement_time", "longitude", "latitude", *STREET_KEYS)
+    columns = ("ping_id", "trip_summary_id", "vehicle_id", "company_id", "movement_time", "longitude", "latitude", *STREET_KEYS)
     flagged = validity_flags(locations, rules).select(*columns, "gps_on", "water_on", "brush_on", "valid")
     return street_totals(segment_metres(ping_segments(flagged)))
 
