@@ -176,7 +176,7 @@ class RuleEnsemble:
 
 
 def fit(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, seed: int = 3) -> RuleEnsemble:
-    """Rules by trees, weights by lasso. With rows of one label only (or none) the score is constant."""
+    """Rules by trees, weights by lasso. With rows of one label only, with none or too few the score is constant."""
     if not len(y) or y.min() == y.max():
         return RuleEnsemble([], 0.0 if not len(y) else 20.0 * (2 * int(y[0]) - 1))
     random = np.random.default_rng(seed)
@@ -186,6 +186,8 @@ def fit(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, seed: int = 3) -> R
     found: set[Rule] = set()
     for _ in range(TREES):
         found |= tree_rules(x, y.astype(float), edges, binned, random)
+    if not found:  # too few rows for any split
+        return RuleEnsemble([], float(np.log(y.mean() / (1 - y.mean()))))
     rules = sorted(found, key=lambda rule: rule.bounds)
     hold = np.stack([rule.holds(x) for rule in rules], axis=1)
     # Of rules that hold for the same rows the first stays.
