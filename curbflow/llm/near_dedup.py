@@ -6,10 +6,12 @@ batch and the pair is dropped as soon as the posterior probability of enough
 similarity falls below ``MISS``; survivors are confirmed on their full sets.
 
 Only the links that join components matter, so candidates of a band bucket are
-not all paired: first every member meets one hub of the bucket, then the
-members still apart from the bucket's largest component meet all members they
-aren't joined with. That reaches the components of all candidate links and
-makes few pairs within large groups of copies.
+not all paired. First every member meets the hubs of some of its buckets and is
+held against the likeliest. Then what is still apart from the largest component
+of a bucket meets the members of other components: in small buckets as pairs,
+in large ones block by block within a task, which gives out links only. That
+reaches the components of all candidate links, and the rows between tasks grow
+with the documents, not with the square of a group.
 """
 
 from __future__ import annotations
@@ -25,8 +27,10 @@ from curbflow.session import cut_lineage
 
 SHINGLE = 5
 BANDS, ROWS = 48, 5
-# Bands whose buckets are looked at first; most members find a link there.
-FIRST_BANDS = 8
+# Bands whose hubs a member is held against; most members find a link there.
+HUB_BANDS = 12
+# Members up to which a bucket's pairs are listed; those of larger ones are compared in blocks of BLOCK members.
+SMALL, BLOCK = 32, 256
 # A pair is linked if SHARE[1] * |intersection| >= SHARE[0] * |union|.
 SHARE = (75, 100)
 # Slots compared at a time, and the posterior probability of a link below which a pair is dropped.
@@ -94,7 +98,9 @@ class Shingler:
 
 
 def signer(bands: int = BANDS, rows: int = ROWS):
-    """A function from a set to (keys of its bands, signature of 16 bits a slot)."""
+    """A function from a set to (keys of its bands, signature of 8 bits a slot).
+
+    Slots that differ are equal in 8 bits now and then; that keeps a few pairs longer and drops none."""
     factors = random_odd(bands * rows, 4)[:, None]
     weights = random_odd(bands * rows, 5).reshape(bands, rows)
     salt = random_odd(bands, 6)
@@ -105,7 +111,7 @@ def signer(bands: int = BANDS, rows: int = ROWS):
             np.minimum(least, (factors * members[None, at : at + 512]).min(axis=1), out=least)
         slots = mixed(least)
         keys = mixed((slots.reshape(bands, rows) * weights).sum(axis=1) + salt)
-        return keys.view(np.int64), (slots >> U(48)).astype("<u2")
+        return keys.view(np.int64), (slots >> U(56)).astype(np.uint8)
 
     return sign
 
@@ -126,7 +132,7 @@ def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
 
         def work(batch: pa.RecordBatch) -> dict:
             sets = shingler(batch)
-            signed = [sign(s) if len(s) else (np.zeros(0, np.int64), np.zeros(0, "<u2")) for s in sets]
+            signed = [sign(s) if len(s) else (np.zeros(0, np.int64), np.zeros(0, np.uint8)) for s in sets]
             return {
                 "doc_id": batch.column("doc_id"), "n_shingles": [len(s) for s in sets],
                 # Two sums over the set name it: equal sets have equal names, others practically never.
@@ -149,63 +155,123 @@ def free(df: DataFrame, *names: str) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """Rows (node, component) for every node of the rows (u, v) that isn't the smallest of its component.
 
-    Alternating large-star and small-star steps; each is an aggregate and a join."""
+    Alternating large-star and small-star steps, each an aggregate and a join, until every node has one edge, to a
+    node that has none."""
     edges = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
-    state = None
     while True:
         edges = cut_lineage(edges)
-        n, code = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if (n, code) == state:
+        ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+        ends = ends.unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        if ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up + down > 1").isEmpty():
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        state = (n, code)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(free(least, "u"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(free(least, "u"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(free(least, "u"), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def agreeing(x: np.ndarray, y: np.ndarray, rows: np.ndarray, cols: np.ndarray, bounds) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of pairs (rows of x, rows of y) those that no batch of their signatures speaks against, with their equal slots."""
+    equal, done = np.zeros(len(rows), int), 0
+    for slots, enough in bounds:
+        equal = equal + (x[rows, done:slots] == y[cols, done:slots]).sum(axis=1)
+        going = equal >= enough
+        rows, cols, equal, done = rows[going], cols[going], equal[going], slots
+    return rows, cols, equal
+
+
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sorted sets are similar enough for a link."""
+    low, high = SHARE
+    if high * min(len(x), len(y)) < low * max(len(x), len(y)):
+        return False
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return high * common >= low * (len(x) + len(y) - common)
+
+
+def unpacked(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
+
+
 def likely(pairs: DataFrame, signed: DataFrame) -> DataFrame:
-    """Of pairs (a, b) those that no batch of their signatures speaks against."""
+    """Of pairs (a, b) those that no batch of their signatures speaks against, with the number of equal slots."""
     bounds = least_matches(BANDS * ROWS, SHARE[0] / SHARE[1])
 
     def build():
         def work(batch: pa.RecordBatch) -> dict:
-            sides = [np.frombuffer(b"".join(batch.column(n).to_pylist()), "<u2").reshape(-1, BANDS * ROWS) for n in ("sig_a", "sig_b")]
-            left, equal, done = np.arange(batch.num_rows), np.zeros(batch.num_rows, int), 0
-            for slots, enough in bounds:
-                equal = equal + (sides[0][left, done:slots] == sides[1][left, done:slots]).sum(axis=1)
-                going = equal >= enough
-                left, equal, done = left[going], equal[going], slots
-            return {n: batch.column(n).take(pa.array(left)) for n in ("a", "b")}
+            every = np.arange(batch.num_rows)
+            left, _, equal = agreeing(unpacked(batch.column("sig_a")), unpacked(batch.column("sig_b")), every, every, bounds)
+            return {n: batch.column(n).take(pa.array(left)) for n in ("a", "b")} | {"equal": equal}
 
         return work
 
     side = lambda n: signed.select(F.col("rep").alias(n), F.col("signature").alias(f"sig_{n}"))
-    return map_arrow(pairs.join(side("a"), "a").join(side("b"), "b"), build, "a long, b long", "sig_a")
+    return map_arrow(pairs.join(side("a"), "a").join(side("b"), "b"), build, "a long, b long, equal int", "sig_a")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Of pairs (a, b) those whose full sets are similar enough, as links (u, v)."""
-    low, high = SHARE
 
     def build():
         def work(batch: pa.RecordBatch) -> dict:
-            found = []
-            for i, (x, y) in enumerate(zip(batch.column("set_a"), batch.column("set_b"))):
-                x, y = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
-                if high * min(len(x), len(y)) < low * max(len(x), len(y)):
-                    continue
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                if high * common >= low * (len(x) + len(y) - common):
-                    found.append(i)
+            sides = zip(batch.column("set_a"), batch.column("set_b"))
+            found = [i for i, (x, y) in enumerate(sides) if similar(np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U))]
             return {u: batch.column(n).take(pa.array(found, pa.int64())) for u, n in (("u", "a"), ("v", "b"))}
 
         return work
 
     side = lambda n: sets.select(F.col("rep").alias(n), F.col("members").alias(f"set_{n}"))
-    return map_arrow(pairs.join(side("a"), "a").join(side("b"), "b"), build, "u long, v long", "set_a")
+    return map_arrow(pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b"), build, "u long, v long", "set_a")
+
+
+def links_of_cell(few: pa.Table, many: pa.Table, bounds) -> pa.Table:
+    """Links between the members of two blocks that are in different components; one a member of ``few`` and component."""
+    x, y = unpacked(few["signature"]), unpacked(many["signature"])
+    ids, others = few["rep"].to_numpy(), many["rep"].to_numpy()
+    home, main = few["component"].to_numpy(), many["component"].to_numpy()
+    sets = [[np.frombuffer(v.as_buffer(), U) for v in side["members"]] for side in (few, many)]
+    found: dict[tuple[int, int], tuple[int, int]] = {}
+    for i in range(len(x)):  # one member against a block
+        near = np.flatnonzero((main != home[i]) & ((x[i, :BATCH] == y[:, :BATCH]).sum(axis=1) >= bounds[0][1]))
+        _, cols, equal = agreeing(x, y, np.full(len(near), i), near, bounds)
+        for j in cols[np.argsort(-equal, kind="stable")].tolist():
+            if (i, main[j]) not in found and similar(sets[0][i], sets[1][j]):
+                found[i, main[j]] = int(ids[i]), int(others[j])
+    return pa.table({"u": pa.array([u for u, _ in found.values()], pa.int64()), "v": pa.array([v for _, v in found.values()], pa.int64())})
+
+
+def links_in_clusters(placed: DataFrame, signed: DataFrame, whole: DataFrame) -> DataFrame:
+    """Links (u, v) between components within large buckets; ``placed`` has (key, rep, component).
+
+    Buckets with common members form a cluster, so that a pair is compared once however many buckets it shares.
+    Members outside a cluster's largest component meet all members, in cells of a block of either."""
+    bounds = least_matches(BANDS * ROWS, SHARE[0] / SHARE[1])
+    first = cut_lineage(placed.groupBy("key").agg(F.min("rep").alias("least")))
+    star = placed.join(free(first, "key"), "key").select(F.col("rep").alias("u"), F.col("least").alias("v"))
+    cluster = components(star).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+    rows = placed.select("rep", "component").distinct().join(cluster, "rep", "left").withColumn("cluster", F.coalesce("cluster", "rep"))
+    rows = cut_lineage(rows)
+    parts = rows.groupBy("cluster", "component").agg(F.count("*").alias("n"))
+    sizes = parts.groupBy("cluster").agg(F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("all"))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    sizes = cut_lineage(
+        sizes.where(F.col("all") > F.col("most.n"))
+        .select("cluster", F.col("most.component").alias("main"), blocks(F.col("all") - F.col("most.n")).alias("few"), blocks(F.col("all")).alias("many"))
+    )
+    held = rows.join(free(sizes, "cluster"), "cluster").join(signed, "rep").join(whole, "rep")
+    part = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["cluster", "at_few", "at_many", "rep", "component", "signature", "members"]
+    few = held.where("component <> main").withColumn("at_few", part("few")).withColumn("at_many", each("many")).select(*columns)
+    many = held.withColumn("at_many", part("many")).withColumn("at_few", each("few")).select(*columns)
+    few, many, cell = few.toDF(*columns), many.toDF(*columns), columns[:3]  # columns of their own, though of one source
+
+    def compare(x: pa.Table, y: pa.Table) -> pa.Table:
+        return links_of_cell(x, y, bounds)
+
+    return few.groupBy(*cell).cogroup(many.groupBy(*cell)).applyInArrow(compare, "u long, v long")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -238,12 +304,11 @@ def linked(docs: DataFrame, rows: DataFrame) -> DataFrame:
     signed = cut_lineage(reps.select("rep", "signature").join(within, "rep", "left_semi").dropDuplicates(["rep"]))
     whole = cut_lineage(full_sets(docs, signed.select("rep")))
 
-    def pair(x: str, y: str) -> list:
-        return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
-
-    def joined(links: DataFrame, pairs: DataFrame) -> DataFrame:
-        survivors = likely(pairs.where("a <> b").distinct(), signed)
-        return components(links.unionByName(confirmed(survivors, whole)))
+    def tried(links: DataFrame, pairs: DataFrame) -> DataFrame:
+        """Components after each rep in ``pairs`` (rep, hub) is held against its likeliest hub."""
+        known = likely(pairs.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct(), signed)
+        best = known.groupBy("a").agg(F.max(F.struct("equal", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
+        return components(links.unionByName(confirmed(best, whole)))
 
     def of_component(rows: DataFrame, at: DataFrame) -> DataFrame:
         """Add the component of each member."""
@@ -253,23 +318,22 @@ def linked(docs: DataFrame, rows: DataFrame) -> DataFrame:
     def stars(at: DataFrame) -> DataFrame:
         return at.select(F.col("node").alias("u"), F.col("component").alias("v"))
 
-    none = same.limit(0)
-    at = joined(none, members.where(F.col("band") < FIRST_BANDS).select(*pair("rep", "hub")))
-    # Hubs of all other buckets, for members that aren't joined with theirs.
-    apart = of_component(members.where(F.col("band") >= FIRST_BANDS), at)
-    hubs = at.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
-    apart = apart.join(hubs, "hub", "left").where(F.col("component") != F.coalesce("hub_component", "hub"))
-    at = joined(stars(at), apart.select(*pair("rep", "hub")))
-    # What is still apart from the largest component of its bucket meets every member of another component.
+    at = tried(same.limit(0), members.where(F.col("band") < HUB_BANDS))
+    # What is still apart from the largest component of its bucket meets the members of other components.
     placed = cut_lineage(of_component(members.select("key", "rep"), at))
     parts = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
-    main = parts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts")).where("parts > 1")
-    main = cut_lineage(main.select("key", F.col("most.component").alias("main")))
-    split = placed.join(free(main, "key"), "key")
-    few = split.where("component <> main").select("key", F.col("rep").alias("other"), F.col("component").alias("other_component"))
-    meet = split.join(free(few, "key"), "key").where("component <> other_component").select(*pair("rep", "other"))
-    at = joined(stars(at), meet)
-    return components(stars(at).unionByName(same))
+    main = parts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("all")).where("all > most.n")
+    main = cut_lineage(main.select("key", F.col("most.component").alias("main"), "all"))
+    split = cut_lineage(placed.join(free(main, "key"), "key"))
+    small = split.where(F.col("all") <= SMALL)
+    few = small.where("component <> main").select("key", F.col("rep").alias("other"), F.col("component").alias("other_component"))
+    meet = small.join(free(few, "key"), "key").where("component <> other_component")
+    meet = meet.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
+    links = stars(at).unionByName(same).unionByName(confirmed(likely(meet, signed), whole))
+    large = split.where(F.col("all") > SMALL).select("key", "rep", "component")
+    if not large.isEmpty():
+        links = links.unionByName(links_in_clusters(large, signed, whole))
+    return components(links)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
