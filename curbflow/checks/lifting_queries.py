@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from curbflow.checks import sql_lifting
 from curbflow.checks.registry import query, r_sql, rounded
+from curbflow.checks.sql_views import view
 from curbflow.plans import lifting, matching
 
 MATCH = matching.MATCH
@@ -153,12 +154,19 @@ for _case in (3, 4):
 
 @query(
     "stop_insert_missing",
-    """select id as stop_id, trip_id from stops s
-    where tag is not null and not exists (select 1 from stop_summaries x where x.stop_id = s.id)""",
+    f"""select a.trip_id, a.tag_key, 2 as bin_status, 12 + a.case_no as status_lookup, a.created_date as last_completion,
+        a.vehicle_id, {r_sql("bin_longitude", "bin_latitude")}
+    from added_stops a where not exists (
+        select 1 from stops s join stop_summaries x on x.stop_id = s.id
+        where s.trip_id = a.trip_id and upper(rtrim(s.tag)) = a.tag_key)""",
 )
 def stop_insert_missing(batch):
-    staged = batch.fleet.stops.where("tag is not null").select(F.col("id").alias("stop_id"), "trip_id")
-    return lifting.missing_summaries(staged, batch.fleet.stop_summaries)
+    """The staged summaries of off-plan stops whose stop has none."""
+    staged = lifting.off_plan_summaries(batch.added_stops, batch.fleet.stop_summaries.schema["id"].dataType)
+    rows = lifting.missing_summaries(staged, batch.fleet.stop_summaries)
+    return rows.join(batch.added_stops.select(F.col("id").alias("stop_id"), "trip_id", "tag_key"), "stop_id").select(
+        "trip_id", "tag_key", "bin_status", "status_lookup", "last_completion", "vehicle_id", *rounded("bin_longitude", "bin_latitude")
+    )
 
 
 # ---- unplanned tags ----------------------------------------------------------
@@ -255,17 +263,24 @@ def lift_outside_scope_events(batch):
     return events.select(*EVENT, *rounded("longitude", "latitude"))
 
 
-@query(
-    "tag_location_violations",
-    f"""select l.id as ping_id, l.tag_key, l.vehicle_id, b.id as bin_id, l.movement_time,
-        {r_sql("l.longitude", "l.latitude").replace("as l.", "as ")}
+view(
+    "new_violations",
+    """
+    select l.id as ping_id, l.tag_key, l.vehicle_id, b.id as bin_id, l.movement_time, l.longitude, l.latitude
     from left_6 l join tag_references r on upper(rtrim(r.tag)) = l.tag_key
     join bins b on upper(rtrim(b.tag)) = l.tag_key
     where 2 * 6371000 * asin(sqrt(
             pow(sin(radians(l.latitude - r.latitude) / 2), 2)
             + cos(radians(l.latitude)) * cos(radians(r.latitude))
                 * pow(sin(radians(l.longitude - r.longitude) / 2), 2))) > 5
-        and l.tag_key not in (select upper(rtrim(tag)) from tag_violations)""",
+        and l.tag_key not in (select upper(rtrim(tag)) from tag_violations)
+    """,
+)
+
+
+@query(
+    "tag_location_violations",
+    f"""select ping_id, tag_key, vehicle_id, bin_id, movement_time, {r_sql("longitude", "latitude")} from new_violations""",
 )
 def tag_location_violations(batch):
     found = lifting.tag_location_violations(

@@ -151,22 +151,29 @@ def plan_active_trips(batch):
 
 @query(
     "trip_status_advance",
-    """select id, case when status = 1 and start_trip <= timestamp '2024-01-10 10:30:00' then 3 else status end as status
-    from trips""",
+    """select plan_id, start_trip, end_trip,
+        case when status = 1 and start_trip <= timestamp '2024-01-10 10:30:00' then 3 else status end as status
+    from (select plan_id, start_trip, end_trip, status from trips
+        union all select plan_id, start_trip, end_trip, 1 from made_trips)""",
 )
 def trip_status_advance(batch):
-    return trip_creation.advance_status(batch.fleet.trips, NOW).select("id", "status")
+    """Stored trips and those the run creates."""
+    return _run(batch).all_trips.select("plan_id", "start_trip", "end_trip", "status")
 
 
 @query(
     "crew_assign",
-    """select t.id as trip_id, c.crew_id from trips t join crew_plans c on c.plan_id = t.plan_id
+    """select t.plan_id, t.start_trip, c.crew_id from trips t join crew_plans c on c.plan_id = t.plan_id
     where not t.is_deleted and not exists (select 1 from crew_trips x
-        where x.trip_id = t.id and x.crew_id = c.crew_id and not x.is_deleted)""",
+        where x.trip_id = t.id and x.crew_id = c.crew_id and not x.is_deleted)
+    union all
+    select t.plan_id, t.start_trip, c.crew_id from made_trips t join crew_plans c on c.plan_id = t.plan_id""",
 )
 def crew_assign(batch):
-    fleet = batch.fleet
-    return trip_creation.crew_assignments(fleet.trips, fleet.crew_plans, fleet.crew_trips)
+    """Crews of stored trips and of those the run creates."""
+    run = _run(batch)
+    trips = run.all_trips.select(F.col("id").alias("trip_id"), "plan_id", "start_trip")
+    return run.crews.join(trips, "trip_id").select("plan_id", "start_trip", "crew_id")
 
 
 @query(
@@ -178,3 +185,28 @@ def crew_assign(batch):
 def trip_tables_append(batch):
     origin = F.when(F.col("reference_code").isNotNull(), "new").otherwise("stored").alias("origin")
     return _run(batch).all_trips.select("plan_id", "start_trip", "end_trip", origin)
+
+
+STOP = ("tag", "stop_order", "street_weight", "street_length", "geometry_id")
+
+
+@query(
+    "trip_stops_append",
+    f"""select {", ".join(STOP)}, 'stored' as origin from stops
+    union all select {", ".join(STOP)}, 'new' from made_stops""",
+)
+def trip_stops_append(batch):
+    stored = batch.fleet.stops.select(*STOP, F.lit("stored").alias("origin"))
+    return stored.unionByName(_run(batch).stops.select(*STOP, F.lit("new").alias("origin")))
+
+
+@query(
+    "trip_summaries_append",
+    """select cast(expected_coverage as double) as expected_coverage, actual_coverage, completion_pct, status, 'stored' as origin
+    from trip_summaries
+    union all select cast(p.expected_coverage as double), 0, 0, 5, 'new' from made_trips t join due_plans p on p.id = t.plan_id""",
+)
+def trip_summaries_append(batch):
+    columns = (F.col("expected_coverage").cast("double").alias("expected_coverage"), "actual_coverage", "completion_pct", "status")
+    stored = batch.fleet.trip_summaries.select(*columns, F.lit("stored").alias("origin"))
+    return stored.unionByName(_run(batch).summaries.select(*columns, F.lit("new").alias("origin")))

@@ -8,7 +8,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from curbflow.plans import sweeping
+from curbflow.plans import repair, sweeping
 from curbflow.plans.sweep_rules import CURRENT, LEGACY
 
 A, B = (39.232216, 21.429121), (39.233500, 21.429935)
@@ -16,7 +16,7 @@ C, D = (39.235649, 21.431947), (39.236209, 21.432402)
 START, END = dt.datetime(2026, 4, 19, 2), dt.datetime(2026, 4, 19, 6)
 
 LOCATION = (
-    "vehicle_id string, company_id string, movement_time timestamp_ntz, longitude double, latitude double, "
+    "ping_id int, trip_summary_id string, vehicle_id string, company_id string, movement_time timestamp_ntz, longitude double, latitude double, "
     "input1 int, input2 int, input3 int, input4 int, speed int, ignition boolean, trip_id string, "
     "stop_summary_id string, vehicle_type int, company_type int, stop_order int, street_length double, "
     "street_weight double, total_distance double"
@@ -25,7 +25,7 @@ LOCATION = (
 
 def sweep(spark, points, *, inputs=(0, 5, 5, 0), speed=15, ignition=True, kind=1, company=1, old=0.0, rules=LEGACY):
     rows = [
-        ("v", "c", START + dt.timedelta(minutes=i), x, y, *inputs, speed, ignition, "t", "s", kind, company, 1, 1500.0, 65.0, old)
+        (i, "ts", "v", "c", START + dt.timedelta(minutes=i), x, y, *inputs, speed, ignition, "t", "s", kind, company, 1, 1500.0, 65.0, old)
         for i, (x, y) in enumerate(points)
     ]
     result = sweeping.swept_streets(spark.createDataFrame(rows, LOCATION), rules).collect()
@@ -139,6 +139,36 @@ def test_trip_mean(spark, stops, expected):
     assert row.valid_metres == 12
 
 
+def test_order_of_the_input_does_not_matter(spark):
+    # Several pings of a vehicle at one moment on one street.
+    spots = [A, B, C, D, A, C]
+    rows = [
+        (i, "ts", "v", "c", START + dt.timedelta(minutes=i // 3), x, y, 0, 5, 5, 0, 15, True, "t", "s", 1, 1, 1, 1500.0, 65.0, 0.0)
+        for i, (x, y) in enumerate(spots)
+    ]
+    metres = {
+        round(sweeping.swept_streets(spark.createDataFrame(shuffled, LOCATION).repartition(n), LEGACY).first().valid_metres, 6)
+        for n, shuffled in ((1, rows), (1, rows[::-1]), (4, rows[3:] + rows[:3]))
+    }
+    assert len(metres) == 1
+
+
+def test_repair_counts_once_per_summary_of_the_trip(spark):
+    """One bin trip with two summaries and two lifted stops: expected and actual are 4."""
+    frame = spark.createDataFrame
+    fleet = SimpleNamespace(
+        services=frame([(1, 1)], "id int, kind_id int"),
+        service_geometry=frame([(1, 1)], "kind_id int, geometry_type int"),
+        plans=frame([(1, 1)], "id int, service_id int"),
+        trips=frame([(1, 1)], "id int, plan_id int"),
+        trip_summaries=frame([(1, 1, 2, 2.0), (2, 1, 2, 2.0)], "id int, trip_id int, expected_coverage int, actual_coverage double"),
+        stops=frame([(1, 1, 1), (2, 1, 2)], "id int, trip_id int, stop_order int"),
+        stop_summaries=frame([(1, 2, 13, 1), (2, 2, 13, 1)], "stop_id int, bin_status int, status_lookup int, completion_type int"),
+    )
+    assert [tuple(r) for r in repair.fix_expected(fleet).collect()] == [(1, 4)]
+    assert [tuple(r) for r in repair.fix_actual(fleet).collect()] == [(1, 4)]
+
+
 @pytest.mark.parametrize(
     ("moment", "inside"),
     [(START - dt.timedelta(seconds=1), False), (START, True), (END - dt.timedelta(seconds=1), True), (END, False)],
@@ -154,7 +184,7 @@ def test_window(spark, moment, inside):
 
 def test_first_ping_has_no_segment_but_starts_the_trip(spark):
     row = (START, "v", "c")
-    points = [(row[1], row[2], START, *A, 0, 5, 5, 0, 15, True, "t", "s", 1, 1, 1, 1500.0, 65.0, 0.0)]
+    points = [(1, "ts", row[1], row[2], START, *A, 0, 5, 5, 0, 15, True, "t", "s", 1, 1, 1, 1500.0, 65.0, 0.0)]
     totals = sweeping.driven_streets(spark.createDataFrame(points, LOCATION), LEGACY)
     assert totals.first().first_ping == START
     assert sweeping.street_distances(totals).count() == 0
