@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import textwrap
 
 import numpy as np
 import pytest
@@ -95,6 +96,26 @@ def test_license_winner_is_that_of_all_templates():
         assert diffs[scanner.winner(block)["license"]] == min(diffs.values()), name
 
 
+@pytest.mark.parametrize("mark", ["", "# ", " * "])
+def test_wrapped_licenses_are_told(mark):
+    scanner = license_scan.Scanner()
+    for name in ("MIT notice", "GPL-3.0 notice", "Apache-2.0 notice"):
+        lines = textwrap.wrap(license_scan.TEMPLATES[name], 68)
+        text = "Some prose.\n\n" + "\n".join(mark + line for line in lines) + "\n\nMore prose."
+        (row,) = scanner.scan(text)
+        assert (row["license"], row["confirmed"], row["differences"]) == (name, True, []), name
+        assert text[row["start"] : row["end"]].split()[-1] == lines[-1].split()[-1]
+
+
+def test_all_licenses_of_a_stretch_are_told():
+    scanner = license_scan.Scanner()
+    told = lambda text: [(r["license"], r["confirmed"]) for r in scanner.scan(text)]
+    assert told("Released under the MIT License. Licensed under CC BY 4.0.") == [("MIT", True), ("CC-BY-4.0", True)]
+    names = ["CC-BY-SA-4.0", "MIT", "GPL-3.0 notice", "MPL-2.0", "MIT notice", "MIT", "Proprietary"]
+    assert told(" ".join(license_scan.TEMPLATES[name] for name in names)) == [(name, True) for name in names]
+    assert told("Licensed under CC BY 4.0.\n" * 500) == [("CC-BY-4.0", True)] * 500
+
+
 def test_licenses_of_odd_rows(spark):
     assert license_scan.licenses(odd_docs(spark)).count() == license_scan.licenses(no_docs(spark)).count() == 0
     twice = odd_docs(spark, [(1, "Licensed under CC BY-NC 4.0."), (1, "Licensed under CC BY-NC 4.0."), (None, "MIT License?")])
