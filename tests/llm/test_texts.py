@@ -116,6 +116,32 @@ def test_all_licenses_of_a_stretch_are_told():
     assert told("Licensed under CC BY 4.0.\n" * 500) == [("CC-BY-4.0", True)] * 500
 
 
+def test_only_the_wording_of_a_license_is_confirmed():
+    scanner = license_scan.Scanner()
+    told = lambda text: [(r["license"], r["confirmed"]) for r in scanner.scan(text)]
+    for name in ("GPL-1.0", "AGPL-3.0", "LGPL-2.1", "GPL-3.0-or-later", "MPL-1.1", "AGPL-3.0 notice", "GPL-2.0 notice"):
+        assert told(license_scan.TEMPLATES[name]) == [(name, True)]
+    work = "This work is licensed under the GNU General Public License, version"
+    for text in (f"{work} 4.", "Licensed under CC BY 3.0.", "Licensed under the Apache License, Version 1.0.", work.replace("GNU", "XYZ") + " 2."):
+        assert told(text) and not any(confirmed for _, confirmed in told(text)), text
+    assert told("This file is licensed under the GNU General Public License, version 2.") == [("GPL-2.0", True)]
+    no_fee = license_scan.TEMPLATES["MIT notice"].replace("free of charge", "for a fee")
+    assert told(no_fee) == [("MIT notice", False)]
+    assert ("MIT notice", True) not in told(license_scan.TEMPLATES["MIT notice"].split("THE SOFTWARE IS PROVIDED")[0])
+
+
+@pytest.mark.parametrize("mark", ["", "# "])
+def test_whole_licenses_are_told(mark):
+    scanner = license_scan.Scanner()
+    for name in ("BSD-2-Clause text", "BSD-3-Clause text", "ISC text", "MPL-2.0 text", "GPL-3 text"):
+        text = license_scan.WHOLE[name]
+        found = scanner.scan("Some prose.\n\n" + "".join(mark + line for line in text.splitlines(True)))
+        assert [(r["license"], r["differences"]) for r in found if r["confirmed"]] == [(name, [])]
+    three = license_scan.WHOLE["BSD-3-Clause text"].replace("the copyright holder nor", "the University nor").replace("Redistributions", "1. Redistributions", 1)
+    assert [(r["license"], r["confirmed"]) for r in scanner.scan(three)] == [("BSD-3-Clause text", True)]
+    assert not any(r["confirmed"] for r in scanner.scan(three.replace("without specific", "with or without")))
+
+
 def test_licenses_of_odd_rows(spark):
     assert license_scan.licenses(odd_docs(spark)).count() == license_scan.licenses(no_docs(spark)).count() == 0
     twice = odd_docs(spark, [(1, "Licensed under CC BY-NC 4.0."), (1, "Licensed under CC BY-NC 4.0."), (None, "MIT License?")])
