@@ -1,6 +1,7 @@
 """Near-duplicates by MinHash with sequential Bayesian verification.
 
-Documents with the same set of shingles are one representative. Bands of the
+Documents with the same set of shingles are one set with a number; a document with
+several texts has several sets, which are linked. Bands of the
 MinHash signature name candidates; a candidate's signature is compared batch by
 batch and the pair is dropped as soon as the posterior probability of enough
 similarity falls below ``MISS``; survivors are confirmed on their full sets.
@@ -126,6 +127,12 @@ def least_matches(slots: int, similarity: float, batch: int = BATCH, miss: float
     return out
 
 
+def names(sets: list[np.ndarray]) -> dict[str, np.ndarray]:
+    """Two sums over a set name it: equal sets have equal names, others practically never."""
+    salts = {"name_1": U(0), "name_2": U(0x5851F42D4C957F2D)}
+    return {name: np.array([mixed(s ^ salt).sum() for s in sets], U).view(np.int64) for name, salt in salts.items()}
+
+
 def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
     def build():
         shingler, sign = Shingler(), signer()
@@ -135,9 +142,7 @@ def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
             signed = [sign(s) if len(s) else (np.zeros(0, np.int64), np.zeros(0, np.uint8)) for s in sets]
             return {
                 "doc_id": batch.column("doc_id"), "n_shingles": [len(s) for s in sets],
-                # Two sums over the set name it: equal sets have equal names, others practically never.
-                "name_1": np.array([mixed(s).sum() for s in sets], U).view(np.int64),
-                "name_2": np.array([mixed(s ^ U(0x5851F42D4C957F2D)).sum() for s in sets], U).view(np.int64),
+                **names(sets),
                 "bands": [keys for keys, _ in signed], "signature": [s.tobytes() for _, s in signed],
             }
 
@@ -275,40 +280,54 @@ def links_in_clusters(placed: DataFrame, signed: DataFrame, whole: DataFrame) ->
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows (rep, members) for the representatives in ``wanted``, from their texts."""
+    """Rows (rep, members) for the sets in ``wanted`` (rep, first, name_1, name_2), from the text of the first document that has that set."""
 
     def build():
         shingler = Shingler()
-        return lambda batch: {"rep": batch.column("doc_id"), "members": [s.tobytes() for s in shingler(batch)]}
 
-    chosen = docs.join(sent_if_small(wanted), docs.doc_id == wanted.rep).select("doc_id", "text")
+        def work(batch: pa.RecordBatch) -> dict:
+            sets = shingler(batch)
+            own = [found == batch.column(name).to_numpy() for name, found in names(sets).items()]
+            at = np.flatnonzero(own[0] & own[1])
+            return {"rep": batch.column("rep").take(pa.array(at)), "members": [sets[i].tobytes() for i in at.tolist()]}
+
+        return work
+
+    chosen = docs.join(sent_if_small(wanted), docs.doc_id == wanted["first"]).select("rep", "name_1", "name_2", "text")
     return map_arrow(chosen, build, "rep long, members binary").dropDuplicates(["rep"])
 
 
+def shared_ids(named: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (u, v) between the sets of each doc_id that has several."""
+    name = F.struct("name_1", "name_2")
+    several = cut_lineage(named.groupBy("doc_id").agg(F.min(name).alias("a"), F.max(name).alias("b")).where("a <> b").select("doc_id"))
+    held = named.join(several, "doc_id").distinct().join(sets.select("name_1", "name_2", "rep"), ["name_1", "name_2"]).select("doc_id", "rep")
+    return held.join(held.groupBy("doc_id").agg(F.min("rep").alias("v")), "doc_id").select(F.col("rep").alias("u"), "v")
+
+
 def linked(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """Rows (node, component) of the documents that don't have the smallest doc_id of their component."""
-    sets = rows.where("n_shingles > 0 and doc_id is not null").groupBy("name_1", "name_2").agg(F.min("doc_id").alias("rep"))
     named = rows.where("n_shingles > 0 and doc_id is not null").select("doc_id", "name_1", "name_2")
-    sets = cut_lineage(sets)
-    same = cut_lineage(
-        named.join(free(sets, "name_1"), ["name_1", "name_2"]).where("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
-    )
-    first = rows.join(sets.select(F.col("rep").alias("doc_id"), "name_1", "name_2"), ["doc_id", "name_1", "name_2"], "left_semi")
-    reps = first.select(F.col("doc_id").alias("rep"), "bands", "signature")
+    sets = named.groupBy("name_1", "name_2").agg(F.min("doc_id").alias("first"))
+    # Numbered where it is written, so that all that follows sees the same numbers.
+    sets = cut_lineage(sets.withColumn("rep", F.monotonically_increasing_id()))
+    reps = rows.join(sets.withColumnRenamed("first", "doc_id"), ["doc_id", "name_1", "name_2"])
+    reps = reps.select("rep", F.col("doc_id").alias("first"), "name_1", "name_2", "bands", "signature")
     keyed = reps.select("rep", F.posexplode("bands").alias("band", "key"))
     # The hub of a bucket: the least member after each is mixed with the key, so that buckets of one group have different hubs.
     buckets = cut_lineage(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min(F.col("rep").bitwiseXOR(F.col("key"))).alias("code")).where("n > 1").drop("n"))
     members = keyed.join(free(buckets, "key"), "key").select("key", "band", "rep", F.col("code").bitwiseXOR(F.col("key")).alias("hub"))
     members = cut_lineage(members)
     within = members.select("rep").distinct()
-    signed = cut_lineage(reps.select("rep", "signature").join(within, "rep", "left_semi").dropDuplicates(["rep"]))
-    whole = cut_lineage(full_sets(docs, signed.select("rep")))
+    signed = cut_lineage(reps.drop("bands").join(within, "rep", "left_semi").dropDuplicates(["rep"]))
+    whole = cut_lineage(full_sets(docs, signed.drop("signature")))
+    signed = signed.select("rep", "signature")
 
-    def tried(links: DataFrame, pairs: DataFrame) -> DataFrame:
+    def tried(pairs: DataFrame) -> DataFrame:
         """Components after each rep in ``pairs`` (rep, hub) is held against its likeliest hub."""
         known = likely(pairs.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct(), signed)
         best = known.groupBy("a").agg(F.max(F.struct("equal", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
-        return components(links.unionByName(confirmed(best, whole)))
+        return components(confirmed(best, whole))
 
     def of_component(rows: DataFrame, at: DataFrame) -> DataFrame:
         """Add the component of each member."""
@@ -318,7 +337,7 @@ def linked(docs: DataFrame, rows: DataFrame) -> DataFrame:
     def stars(at: DataFrame) -> DataFrame:
         return at.select(F.col("node").alias("u"), F.col("component").alias("v"))
 
-    at = tried(same.limit(0), members.where(F.col("band") < HUB_BANDS))
+    at = tried(members.where(F.col("band") < HUB_BANDS))
     # What is still apart from the largest component of its bucket meets the members of other components.
     placed = cut_lineage(of_component(members.select("key", "rep"), at))
     parts = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
@@ -329,11 +348,15 @@ def linked(docs: DataFrame, rows: DataFrame) -> DataFrame:
     few = small.where("component <> main").select("key", F.col("rep").alias("other"), F.col("component").alias("other_component"))
     meet = small.join(free(few, "key"), "key").where("component <> other_component")
     meet = meet.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
-    links = stars(at).unionByName(same).unionByName(confirmed(likely(meet, signed), whole))
+    links = stars(at).unionByName(shared_ids(named, sets)).unionByName(confirmed(likely(meet, signed), whole))
     large = split.where(F.col("all") > SMALL).select("key", "rep", "component")
     if not large.isEmpty():
         links = links.unionByName(links_in_clusters(large, signed, whole))
-    return components(links)
+    placed = cut_lineage(of_component(sets, components(links)))
+    least = placed.groupBy("component").agg(F.min("first").alias("least"))
+    placed = placed.join(free(least, "component"), "component").select("name_1", "name_2", "least")
+    ids = named.join(free(placed, "name_1"), ["name_1", "name_2"]).where("doc_id <> least")
+    return ids.select(F.col("doc_id").alias("node"), F.col("least").alias("component")).distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -195,6 +195,20 @@ def test_near_duplicates_are_those_of_all_pairs(spark, monkeypatch, small):
     assert {r.n_shingles for r in rows if r.doc_id in (2, 3, 4)} == {0}
 
 
+def test_near_duplicates_of_each_text_of_a_shared_id(spark):
+    choose = random.Random(8)
+    texts, near = [], lambda text: " ".join(["other", *text.split()[1:]])
+    for n in range(0, 400, 20):
+        a, b, c = (" ".join(f"s{choose.randrange(9000)}" for _ in range(60)) for _ in range(3))
+        texts += [(n + 5, a), (n + 5, b), (n + 5, c), (n + 5, b), (n + 7, near(a)), (n + 8, near(b)), (n + 3, near(c)), (n + 9, c), (n + 9, None)]
+        texts += [(n + 11, " ".join(c.split()[::-1]))]
+    choose.shuffle(texts)
+    rows = near_dedup.near_duplicates(odd_docs(spark, texts)).collect()
+    want = components_by_brute_force(texts)
+    assert len(rows) == len(texts) and {r.doc_id: r.component_id for r in rows} == want
+    assert all(want[n + k] == n + 3 for n in range(0, 400, 20) for k in (3, 5, 7, 8, 9))
+
+
 LONG_TEXT = ODD_TEXTS[8][1]
 
 
