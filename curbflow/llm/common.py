@@ -88,13 +88,27 @@ def beside_rows(docs: DataFrame, build: Callable[[], Callable[[pa.RecordBatch],
     return map_arrow(held, build, schema, keep=True).drop("text")
 
 
-# Rows up to which a settled side of a join is sent to all tasks; larger sides are shuffled.
-SENT_ROWS = 500_000
+# Bytes up to which a settled side of a join is sent to all tasks; larger sides are shuffled.
+SENT_BYTES = 16 << 20
+
+
+def table_bytes(df: DataFrame) -> int:
+    """About the bytes of a settled frame's rows, texts and arrays by their length."""
+
+    def size(field: T.StructField) -> Column:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.octet_length(column)
+        if isinstance(field.dataType, T.ArrayType):
+            return F.greatest(F.size(column), F.lit(0)) * 16
+        return F.lit(16)
+
+    return df.agg(F.sum(sum((F.coalesce(size(field), F.lit(0)).cast("long") for field in df.schema.fields), F.lit(16)))).first()[0] or 0
 
 
 def sent_if_small(df: DataFrame) -> DataFrame:
-    """Broadcast a settled frame if it has few rows."""
-    return F.broadcast(df) if df.count() <= SENT_ROWS else df
+    """Broadcast a settled frame if it has few bytes."""
+    return F.broadcast(df) if table_bytes(df) <= SENT_BYTES else df
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_label: tuple[int, int], learn) -> DataFrame:

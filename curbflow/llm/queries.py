@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbflow.llm import ann_search, decontamination, language_id, license_scan, near_dedup, packing, quality_rules, token_counts, toxicity, warc_fixity
+from curbflow.llm import (
+    ann_search, byte_bpe, centroid_clusters, decontamination, language_id, license_scan, near_dedup, packing, quality_rules, token_counts, toxicity,
+    vector_codes, warc_fixity,
+)
 from curbflow.llm.common import table
 
 
@@ -50,6 +53,18 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_documents(table(spark, folder, "documents"), packing.word_vocabulary())
 
 
+def op11_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return centroid_clusters.clusters(table(spark, folder, "embeddings"))
+
+
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.codes(table(spark, folder, "embeddings"))
+
+
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return byte_bpe.encoded_documents(table(spark, folder, "documents"), byte_bpe.multilingual_ranks())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_license_scan": op2_license_scan,
@@ -61,8 +76,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_near_dedup": op9_near_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op6_token_counts": op6_token_counts,
+    "op11_centroid_clusters": op11_centroid_clusters,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 ORACLES: dict[str, str] = {
     "op3_warc_fixity": warc_fixity.ORACLE,
     "op7_decontamination": decontamination.ORACLE,
+    "op11_centroid_clusters": centroid_clusters.ORACLE,
+    "op12_vector_codes": vector_codes.ORACLE,
 }

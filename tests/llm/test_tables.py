@@ -22,7 +22,7 @@ from curbflow.llm.queries import ORACLES, QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_queries_match_their_sql(spark, name):
     db = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "embeddings"):
         db.execute(f"create view {t} as select * from '{SF_DIR}/{t}.parquet'")
     ours, theirs = QUERIES[name](spark, SF_DIR).toPandas(), db.execute(ORACLES[name]).df()
     columns = sorted(ours.columns)
