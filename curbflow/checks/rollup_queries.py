@@ -95,13 +95,15 @@ def full_rollup(batch):
 
 LOG_COLUMNS = (
     "plan_id", "service_id", "contract_id", "group_id", "company_id", "created_date", "created_by", "modified_by",
+    "modified_date", "group_type", "contract_type_id", "contract_type",
 )
 LOG_PCT = ("plan_pct", "service_pct", "group_pct", "contract_pct")
 
 
 @query(
     "service_log_seed",
-    """select g.contract_id, g.group_id, c.company_id, date '2024-01-30' as created_date
+    """select g.contract_id, g.group_id, c.company_id, date '2024-01-30' as created_date, 0 as group_type,
+        ct.id as contract_type_id, 0 as contract_type, 0 as service_pct, 0 as group_pct, 0 as contract_pct
     from contract_groups g join contracts c on c.id = g.contract_id
     join services s on s.contract_id = g.contract_id and s.group_id = g.group_id
     join contract_types ct on ct.id = c.contract_type_id
@@ -110,7 +112,9 @@ LOG_PCT = ("plan_pct", "service_pct", "group_pct", "contract_pct")
 )
 def service_log_seed(batch):
     rows = service_log.seed_rows(batch.fleet.service_log, batch.fleet, LOG_DAY, LOG_NOW)
-    return rows.select("contract_id", "group_id", "company_id", "created_date")
+    types = ("group_type", "contract_type_id", "contract_type")
+    percentages = (F.col(name).cast("int").alias(name) for name in LOG_PCT[1:])
+    return rows.select("contract_id", "group_id", "company_id", "created_date", *types, *percentages)
 
 
 def _merged_log(batch) -> DataFrame:

@@ -75,11 +75,13 @@ view(
 view(
     "log_sources",
     """
-    select plan_id, service_id, contract_id, group_id, company_id, min(seen_by) as seen_by
+    select plan_id, service_id, contract_id, group_id, company_id, group_type, contract_type_id, min(seen_by) as seen_by
     from (
-        select distinct plan_id, service_id, contract_id, group_id, company_id, 'lifting' as seen_by from lift_contexts
+        select distinct plan_id, service_id, contract_id, group_id, company_id, group_type, contract_type_id,
+            'lifting' as seen_by from lift_contexts
         union all
-        select plan_id, service_id, contract_id, group_id, company_id, 'sweeping' as seen_by from near_streets
+        select plan_id, service_id, contract_id, group_id, company_id, group_type, contract_type_id,
+            'sweeping' as seen_by from near_streets
         qualify row_number() over (partition by plan_id
             order by service_id, contract_id, group_id, company_id) = 1
     ) group by all
@@ -89,13 +91,15 @@ view(
     "log_merged",
     """
     select l.plan_id, l.service_id, l.contract_id, l.group_id, l.company_id, l.created_date, l.created_by,
-        coalesce(s.seen_by, l.modified_by) as modified_by, l.plan_pct, l.service_pct, l.group_pct, l.contract_pct
+        coalesce(s.seen_by, l.modified_by) as modified_by,
+        case when s.seen_by is null then l.modified_date else timestamp '2024-01-31 00:30:00' end as modified_date,
+        l.group_type, l.contract_type_id, l.contract_type, l.plan_pct, l.service_pct, l.group_pct, l.contract_pct
     from service_log l left join log_sources s on s.plan_id = l.plan_id and s.service_id = l.service_id
         and s.contract_id = l.contract_id and s.group_id = l.group_id and s.company_id = l.company_id
         and l.created_date = date '2024-01-30'
     union all
     select s.plan_id, s.service_id, s.contract_id, s.group_id, s.company_id, date '2024-01-30', s.seen_by, null,
-        null, null, null, null
+        null, s.group_type, s.contract_type_id, 0, null, null, null, null
     from log_sources s where not exists (
         select 1 from service_log l where s.plan_id = l.plan_id and s.service_id = l.service_id
             and s.contract_id = l.contract_id and s.group_id = l.group_id and s.company_id = l.company_id
@@ -116,19 +120,30 @@ view(
 view(
     "expected_fixes",
     """
-    select ts.trip_id, count(*) as expected
-    from trip_summaries ts join stops s on s.trip_id = ts.trip_id join stop_summaries ss on ss.stop_id = s.id
-    where ts.expected_coverage = ts.actual_coverage and ts.trip_id in (select trip_id from bin_service_trips)
-        and s.id not in (select stop_id from stop_summaries where status_lookup in (15, 16))
-    group by ts.trip_id, ts.expected_coverage having count(*) <> ts.expected_coverage
+    with planned as (
+        select trip_id, sum(own) as rows_planned from (
+            select s.trip_id, s.id, count(*) as own from stops s join stop_summaries ss on ss.stop_id = s.id
+            group by s.trip_id, s.id having count(*) filter (where ss.status_lookup in (15, 16)) = 0) per_stop
+        group by trip_id),
+    said as (
+        select trip_id, expected_coverage, count(*) as said_by, bool_or(expected_coverage = actual_coverage) as complete
+        from trip_summaries group by trip_id, expected_coverage)
+    select said.trip_id, cast(max(rows_planned * said_by) as bigint) as expected
+    from said join planned on planned.trip_id = said.trip_id
+    where rows_planned * said_by <> expected_coverage and said.trip_id in (select trip_id from said where complete)
+        and said.trip_id in (select trip_id from bin_service_trips)
+    group by said.trip_id
     """,
 )
 view(
     "actual_fixes",
     """
-    select s.trip_id, count(*) filter (
-        where ss.bin_status = 2 and (ss.status_lookup = 13 or ss.completion_type = 2) and s.stop_order > 0) as actual
-    from stops s join stop_summaries ss on ss.stop_id = s.id join trip_summaries ts on ts.trip_id = s.trip_id
-    where s.trip_id in (select trip_id from bin_service_trips) group by s.trip_id
+    with lifted as (
+        select s.trip_id, sum(case when ss.bin_status = 2 and s.stop_order > 0
+            and (ss.status_lookup = 13 or ss.completion_type = 2) then 1 else 0 end) as stops_lifted
+        from stop_summaries ss join stops s on s.id = ss.stop_id group by s.trip_id),
+    rows_of as (select trip_id, count(*) as n from trip_summaries group by trip_id)
+    select trip_id, cast(stops_lifted * n as bigint) as actual from lifted join rows_of using (trip_id)
+    where trip_id in (select trip_id from bin_service_trips)
     """,
 )

@@ -71,6 +71,13 @@ view(
 
 # ---- sweeping ----------------------------------------------------------------
 
+view(
+    "street_pieces",
+    """
+    select id, x0 as ax, y0 as ay, xm - x0 as dx, ym - y0 as dy from streets where geo_type = 2
+    union all select id, xm, ym, x1 - xm, y1 - ym from streets where geo_type = 2
+    """,
+)
 view(
     "near_streets",
     """
@@ -80,9 +87,7 @@ view(
         pl.contract_id, sv.group_id, sv.group_type, c.contract_type_id, v.company_id,
         vt.type as vehicle_type, co.type as company_type, pl.active_trips, pl.completion_pct as plan_old_pct,
         s.stop_order, s.street_length, s.street_weight, ss.total_distance,
-        sqrt(
-            pow(p.longitude - greatest(st.x0, least(st.x1, p.longitude)), 2) + pow(p.latitude - st.y0, 2)
-        ) as distance
+        st.distance
     from sweep_pings p
     join vehicle_plans vp on vp.vehicle_id = p.vehicle_id
     join plans pl on pl.id = vp.plan_id
@@ -96,10 +101,12 @@ view(
     join companies co on co.id = v.company_id
     join trip_summaries ts on ts.trip_id = t.id
     join stops s on s.trip_id = t.id
-    join streets st on st.id = s.geometry_id and st.geo_type = 2
     join stop_summaries ss on ss.stop_id = s.id
-    where pow(p.longitude - greatest(st.x0, least(st.x1, p.longitude)), 2) + pow(p.latitude - st.y0, 2)
-        <= 0.0002e0 * 0.0002e0
+    join lateral (
+        select min(sqrt(pow(p.longitude - ax - share * dx, 2) + pow(p.latitude - ay - share * dy, 2))) as distance
+        from (select *, greatest(0, least(1, ((p.longitude - ax) * dx + (p.latitude - ay) * dy) / (dx * dx + dy * dy))) as share
+            from street_pieces where street_pieces.id = s.geometry_id) along
+    ) st on st.distance <= 0.0002e0
     """,
 )
 view(

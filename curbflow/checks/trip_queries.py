@@ -187,17 +187,17 @@ def trip_tables_append(batch):
     return _run(batch).all_trips.select("plan_id", "start_trip", "end_trip", origin)
 
 
-STOP = ("tag", "stop_order", "street_weight", "street_length", "geometry_id")
+STORED_STOP = ("tag", "stop_order", "street_weight", "street_length", "geometry_id")
 
 
 @query(
     "trip_stops_append",
-    f"""select {", ".join(STOP)}, 'stored' as origin from stops
-    union all select {", ".join(STOP)}, 'new' from made_stops""",
+    f"""select {", ".join(STORED_STOP)}, 'stored' as origin from stops
+    union all select {", ".join(STORED_STOP)}, 'new' from made_stops""",
 )
 def trip_stops_append(batch):
-    stored = batch.fleet.stops.select(*STOP, F.lit("stored").alias("origin"))
-    return stored.unionByName(_run(batch).stops.select(*STOP, F.lit("new").alias("origin")))
+    stored = batch.fleet.stops.select(*STORED_STOP, F.lit("stored").alias("origin"))
+    return stored.unionByName(_run(batch).stops.select(*STORED_STOP, F.lit("new").alias("origin")))
 
 
 @query(

@@ -17,7 +17,7 @@ def time_slice(moment: Column, width_seconds: int) -> Column:
     """
     since = moment - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     seconds = (
-        F.extract(F.lit("DAY"), since) * 86400
+        F.extract(F.lit("DAY"), since).cast("bigint") * 86400
         + F.extract(F.lit("HOUR"), since) * 3600
         + F.extract(F.lit("MINUTE"), since) * 60
         + F.extract(F.lit("SECOND"), since)

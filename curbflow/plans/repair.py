@@ -25,12 +25,15 @@ def bin_trips(fleet) -> DataFrame:
 
 
 def fix_expected(fleet) -> DataFrame:
-    """Trips said to be complete (expected = actual) whose planned stops number otherwise: trip_id, expected.
+    """Trips with a complete summary (expected = actual) of which some summary expects another number than the planned stops: trip_id, expected.
 
-    A stop counts once per summary of its own and per complete summary of its trip with the same coverage.
+    All summaries of such a trip are looked at, the others too. For each value expected by some of them a stop counts
+    once per summary of its own and per summary of its trip with that value. Of several values that differ from
+    their count the greatest count is kept.
     """
-    complete = (
-        fleet.trip_summaries.where("expected_coverage = actual_coverage")
+    complete = fleet.trip_summaries.where("expected_coverage = actual_coverage").select("trip_id")
+    expecting = (
+        fleet.trip_summaries.join(complete, "trip_id", "left_semi")
         .join(bin_trips(fleet), "trip_id", "left_semi")
         .groupBy("trip_id", "expected_coverage")
         .agg(F.count(F.lit(1)).alias("trip_rows"))
@@ -43,11 +46,11 @@ def fix_expected(fleet) -> DataFrame:
         .where("not off_plan")
     )
     stops = fleet.stops.select(F.col("id").alias("stop_id"), "trip_id").join(
-        complete.select("trip_id"), "trip_id", "left_semi"
+        expecting.select("trip_id"), "trip_id", "left_semi"
     )
     counted = stops.join(per_stop, "stop_id").groupBy("trip_id").agg(F.sum("summaries").alias("stop_rows"))
     return (
-        complete.join(counted, "trip_id")
+        expecting.join(counted, "trip_id")
         .withColumn("expected", F.col("stop_rows") * F.col("trip_rows"))
         .where("expected <> expected_coverage")
         .groupBy("trip_id")

@@ -11,6 +11,10 @@ from curbflow.functions.time import date_lit, timestamp_lit
 from curbflow.operators import first_per
 
 LOG_KEYS = ("plan_id", "service_id", "contract_id", "group_id", "company_id")
+# What a plan's row holds beside its keys.
+LOG_VALUES = ("group_type", "contract_type_id")
+# Fixed value: group type of a seeded row and contract type of every new row.
+NO_TYPE = 0
 
 
 def seed_rows(log: DataFrame, fleet, day: dt.date, now: dt.datetime) -> DataFrame:
@@ -35,6 +39,7 @@ def seed_rows(log: DataFrame, fleet, day: dt.date, now: dt.datetime) -> DataFram
             "contract_id", "group_id", "company_id",
             date_lit(day).alias("created_date"), timestamp_lit(now).alias("logged_at"),
             F.lit("seed").alias("created_by"),
+            F.lit(NO_TYPE).alias("group_type"), "contract_type_id", F.lit(NO_TYPE).alias("contract_type"),
             zero.alias("service_pct"), zero.alias("group_pct"), zero.alias("contract_pct"),
         )
     )
@@ -44,7 +49,7 @@ def plan_rows(lift_contexts: DataFrame, locations: DataFrame) -> DataFrame:
     """Log keys of the plans seen: one row per plan and service kind, lifting first where all keys agree."""
 
     def of(df: DataFrame, label: str, rank: int) -> DataFrame:
-        keys = df.groupBy("plan_id").agg(F.min(F.struct(*LOG_KEYS[1:])).alias("k"))
+        keys = df.groupBy("plan_id").agg(F.min(F.struct(*LOG_KEYS[1:], *LOG_VALUES)).alias("k"))
         return keys.select("plan_id", "k.*", F.lit(label).alias("seen_by"), F.lit(rank).alias("_rank"))
 
     both = of(lift_contexts, "lifting", 0).unionByName(of(locations, "sweeping", 1))
@@ -60,12 +65,15 @@ def upsert(log: DataFrame, rows: DataFrame, day: dt.date, now: dt.datetime) -> D
     marks = rows.select(*LOG_KEYS, "seen_by")
     marked = (
         log.join(marks, list(LOG_KEYS), "left")
+        .withColumn("modified_date", F.when(today & F.col("seen_by").isNotNull(), timestamp_lit(now)).otherwise(F.col("modified_date")))
         .withColumn("modified_by", F.when(today, F.coalesce("seen_by", "modified_by")).otherwise(F.col("modified_by")))
         .drop("seen_by")
     )
     added = rows.join(log.where(today).select(*LOG_KEYS), list(LOG_KEYS), "left_anti").select(
         derived_key(log.schema["id"].dataType, date_lit(day), *LOG_KEYS).alias("id"),
         *LOG_KEYS,
+        *LOG_VALUES,
+        F.lit(NO_TYPE).alias("contract_type"),
         date_lit(day).alias("created_date"),
         timestamp_lit(now).alias("logged_at"),
         F.col("seen_by").alias("created_by"),

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from curbflow.functions.geo import haversine_metres
 from curbflow.functions.numeric import at_most_hundred, ratio
 from curbflow.functions.time import time_slice
-from curbflow.operators import near_lines, previous_row
-from curbflow.operators.nearby import line_cells
+from curbflow.operators import covering, near_lines, previous_row
+from curbflow.operators.nearby import cells_of_line, line_cells
 from curbflow.plans.sweep_rules import CURRENT, SweepRules
+from curbflow.session import cut_lineage
 
 # Degrees from a street that still count as on it, geometry and trip codes.
 STREET_TOLERANCE_DEGREES = 0.0002
@@ -26,11 +27,10 @@ STREET_KEYS = (
 )
 
 
-def running_streets(fleet, active: DataFrame, tolerance: float = STREET_TOLERANCE_DEGREES) -> DataFrame:
-    """Streets of running trips, one row per vehicle, stop, slice of time and grid cell.
+def running_trips(fleet, active: DataFrame) -> DataFrame:
+    """Running trips of vehicles that were out in them: one row per trip, vehicle and trip summary.
 
-    ``active`` has the (vehicle_id, slice) pairs with pings. Trips are cut down
-    to them first: a batch covers hours, the trip table years.
+    ``active`` has the (vehicle_id, out_at) pairs with pings, out_at the start of a slice of time.
     """
     plans = (
         fleet.plans.select(F.col("id").alias("plan_id"), "service_id", F.col("contract_id").alias("contract_id"),
@@ -58,49 +58,74 @@ def running_streets(fleet, active: DataFrame, tolerance: float = STREET_TOLERANC
         .join(fleet.companies.select(F.col("id").alias("company_id"), F.col("type").alias("company_type")), "company_id")
         .drop("vehicle_type_id")
     )
-    slices = F.sequence(
-        time_slice(F.col("start_trip"), TRIP_SLICE_SECONDS), time_slice(F.col("end_trip"), TRIP_SLICE_SECONDS)
-    )
-    trips = (
+    windows = (
         fleet.trips.where(~F.col("is_deleted") & (F.col("status") == RUNNING_TRIP))
         .select(F.col("id").alias("trip_id"), "plan_id", "start_trip", "end_trip")
         .where("start_trip < end_trip")
-        .withColumn("slice", F.explode(slices))
         .join(fleet.vehicle_plans.select("plan_id", "vehicle_id"), "plan_id")
-        .join(active, ["vehicle_id", "slice"], "left_semi")
+    )
+    # A slice that a trip touches lies in the trip's slices, both ends included.
+    from_ = slice_start(F.col("start_trip"))
+    touched = windows.withColumn("first_slice", from_).select("trip_id", "vehicle_id", "first_slice", "end_trip")
+    out = covering(active, touched, "vehicle_id", "out_at", "first_slice", "end_trip", TRIP_SLICE_SECONDS, closed_end=True)
+    return (
+        windows.join(out.select("trip_id", "vehicle_id").distinct(), ["trip_id", "vehicle_id"], "left_semi")
         .join(vehicles, "vehicle_id")
         .join(plans, "plan_id")
         .join(fleet.trip_summaries.select("trip_id", F.col("id").alias("trip_summary_id")), "trip_id")
     )
+
+
+def slice_start(moment: Column) -> Column:
+    """The start of the slice of time that holds a moment."""
+    seconds = time_slice(moment, TRIP_SLICE_SECONDS) * TRIP_SLICE_SECONDS
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+
+
+def streets_of_trips(fleet, trips: DataFrame, tolerance: float = STREET_TOLERANCE_DEGREES) -> DataFrame:
+    """Streets of the given trips, one row per stop summary and grid cell.
+
+    Only streets that these trips sweep are put on the grid. Cells stored with the streets are taken as they are.
+    """
     stops = (
         fleet.stops.where(F.col("geometry_id").isNotNull())
+        .join(trips.select("trip_id").distinct(), "trip_id", "left_semi")
         .select("trip_id", F.col("id").alias("stop_id"), "geometry_id", "stop_order", "street_length", "street_weight")
         .join(
             fleet.stop_summaries.select(F.col("id").alias("stop_summary_id"), "stop_id", "total_distance"), "stop_id"
         )
         .drop("stop_id")
     )
-    lines = fleet.streets.where(F.col("geo_type") == STREET_GEOMETRY).select(F.col("id").alias("geometry_id"), "line")
-    cells = line_cells(lines, "geometry_id", "line", tolerance)
-    return trips.join(stops, "trip_id").join(cells, "geometry_id").drop("geometry_id")
+    stops = cut_lineage(stops)
+    lines = fleet.streets.where(F.col("geo_type") == STREET_GEOMETRY).withColumnRenamed("id", "geometry_id")
+    lines = lines.join(stops.select("geometry_id").distinct(), "geometry_id", "left_semi")
+    stored = "cells" if "cells" in lines.columns and tolerance == STREET_TOLERANCE_DEGREES else None
+    return stops.join(line_cells(lines, "geometry_id", "line", tolerance, stored), "geometry_id").drop("geometry_id")
+
+
+def with_cells(streets: DataFrame) -> DataFrame:
+    """Streets with their grid cells beside them; to be stored whenever a street is added or changed."""
+    cells = F.when(F.col("geo_type") == STREET_GEOMETRY, cells_of_line(F.col("line"), STREET_TOLERANCE_DEGREES))
+    return streets.withColumn("cells", cells)
 
 
 def street_proximity(pings: DataFrame, fleet, tolerance: float = STREET_TOLERANCE_DEGREES) -> DataFrame:
     """Untagged pings on a street of a trip their vehicle's plan runs at that moment, [start, end).
 
-    The pings are shuffled once, on (vehicle, slice of time, grid cell); a busy
-    vehicle spreads over its slices and cells. Besides, two of their columns are
-    read to learn which vehicles were out when.
+    Pings meet the windows of running trips first, which are few beside them, and then the streets of their trip in one
+    join on (trip, cell); a busy trip spreads over its cells. Besides, two columns of the pings are read to learn which
+    vehicles were out when.
     """
     placed = pings.select(
         F.col("id").alias("ping_id"), "vehicle_id", "movement_time", "longitude", "latitude",
         "input1", "input2", "input3", "input4", "speed", "ignition",
-    ).withColumn("slice", time_slice(F.col("movement_time"), TRIP_SLICE_SECONDS))
-    active = placed.select("vehicle_id", "slice").distinct()
-    streets = running_streets(fleet, active, tolerance)
-    near = near_lines(placed, streets, ["vehicle_id", "slice"], "longitude", "latitude", tolerance)
-    in_trip = (F.col("movement_time") >= F.col("start_trip")) & (F.col("movement_time") < F.col("end_trip"))
-    return near.where(in_trip).drop("slice", "start_trip", "end_trip")
+    )
+    active = placed.select("vehicle_id", slice_start(F.col("movement_time")).alias("out_at")).distinct()
+    trips = cut_lineage(running_trips(fleet, active))
+    in_trip = covering(placed, trips, "vehicle_id", "movement_time", "start_trip", "end_trip", TRIP_SLICE_SECONDS)
+    streets = streets_of_trips(fleet, trips, tolerance)
+    near = near_lines(in_trip, streets, ["trip_id"], "longitude", "latitude", tolerance)
+    return near.drop("start_trip", "end_trip")
 
 
 def ping_segments(locations: DataFrame) -> DataFrame:
@@ -251,11 +276,14 @@ def plan_context(fleet) -> DataFrame:
 
 
 def seen_plans(totals: DataFrame, fleet) -> DataFrame:
-    """Plans with a ping on one of their streets: plan, service, contract, group, company ids."""
+    """Plans with a ping on one of their streets: plan, service, contract, group, company ids, group and contract type."""
     trips = totals.groupBy("trip_id").agg(F.min("company_id").alias("company_id"))
-    return trips.join(fleet.trips.select(F.col("id").alias("trip_id"), "plan_id"), "trip_id").join(
-        plan_context(fleet), "plan_id"
-    )
+    types = (
+        fleet.services.select(F.col("id").alias("service_id"), "group_type", F.col("contract_id").alias("owner_id"))
+        .join(fleet.contracts.select(F.col("id").alias("owner_id"), "contract_type_id"), "owner_id").drop("owner_id")
+    )
+    plans = trips.join(fleet.trips.select(F.col("id").alias("trip_id"), "plan_id"), "trip_id").join(plan_context(fleet), "plan_id")
+    return plans.join(types, "service_id")
 
 
 def sweep_trip_state(trip_summaries: DataFrame, trips: DataFrame, totals: DataFrame) -> DataFrame:

@@ -103,7 +103,11 @@ TABLES = {
             cast(id % 7 as double) as actual_coverage, cast(id % 90 as double) as completion_pct,
             case when id % 3 = 0 then start_trip + interval '10' minute end as actual_start,
             case when id % 11 = 0 then null else (id % 100) * 1.5e0 end as waste_weight, 5 as status
-        from {trips}""",
+        from {trips}
+        union all
+        select id * 10 + 7 as id, id as trip_id, 3 + id % 4 as expected_coverage, cast(id % 5 as double) as actual_coverage,
+            0e0 as completion_pct, cast(null as {ts}) as actual_start, 2e0 as waste_weight, 5 as status
+        from {trips} where id % 13 = 4""",
     "plans": """
         select user_id as id, user_id % 20 as service_id, user_id % 20 % 5 % 2 as contract_id,
             case when user_id % 9 = 0 then cast('2023-11-05 22:00:00' as {ts})
@@ -211,7 +215,10 @@ TABLES = {
         select 1000000000000 + user_id as id, cast(null as string) as tag, 2 as geo_type,
             concat('ST-', cast(user_id as string)) as reference_code,
             39.2e0 + (user_id % 10) * 0.01e0 as x0, 21.4e0 + (user_id % 7) * 0.01e0 as y0,
-            39.2e0 + (user_id % 10) * 0.01e0 + 0.005e0 as x1, 21.4e0 + (user_id % 7) * 0.01e0 as y1,
+            39.2e0 + (user_id % 10) * 0.01e0 + 0.0025e0 as xm,
+            21.4e0 + (user_id % 7) * 0.01e0 + case user_id % 6 when 1 then 0.0003e0 when 2 then 0.0015e0 else 0e0 end as ym,
+            39.2e0 + (user_id % 10) * 0.01e0 + 0.005e0 as x1,
+            21.4e0 + (user_id % 7) * 0.01e0 + case user_id % 6 when 1 then 0.0006e0 else 0e0 end as y1,
             cast(null as double) as longitude, cast(null as double) as latitude, false as is_deleted,
             cast('2023-10-01 00:00:00' as {ts}) as created_date, cast(null as {ts}) as modified_date,
             cast(null as string) as modified_by
@@ -219,7 +226,7 @@ TABLES = {
         union all
         select event_id as id, concat('TAG', cast(event_id as string)) as tag, 1 as geo_type,
             concat('BN-', cast(event_id as string)) as reference_code,
-            cast(null as double) as x0, cast(null as double) as y0,
+            cast(null as double) as x0, cast(null as double) as y0, cast(null as double) as xm, cast(null as double) as ym,
             cast(null as double) as x1, cast(null as double) as y1,
             39.2e0 as longitude, 21.4e0 as latitude, event_id % 43 = 0 as is_deleted,
             cast('2023-10-01 00:00:00' as {ts}) + (event_id % 9) * interval '1' hour as created_date,
@@ -238,7 +245,8 @@ TABLES = {
     "service_log": """
         select id * 10 as id, id as plan_id, service_id, contract_id, service_id % 5 as group_id,
             contract_id + 1 as company_id, cast('2024-01-30' as date) as created_date, cast('2024-01-30 01:00:00' as {ts}) as logged_at,
-            'seed' as created_by, cast(null as string) as modified_by,
+            'seed' as created_by, cast(null as string) as modified_by, cast(null as {ts}) as modified_date,
+            cast(null as int) as group_type, cast(null as bigint) as contract_type_id, 0 as contract_type,
             cast(null as double) as plan_pct, cast(null as double) as service_pct, 0e0 as group_pct, 0e0 as contract_pct
         from {plans} where id % 6 = 0 and id % 5 in (0, 2)
         union all
@@ -246,13 +254,15 @@ TABLES = {
             cast(null as bigint) as service_id, contract_id, group_id, contract_id + 1 as company_id, cast('2024-01-30' as date) as created_date,
             case when group_id % 4 = 0 then cast('2024-01-29 01:00:00' as {ts})
                 else cast('2024-01-30 01:00:00' as {ts}) end as logged_at, 'seed' as created_by,
-            cast(null as string) as modified_by, cast(null as double) as plan_pct, 0e0 as service_pct,
+            cast(null as string) as modified_by, cast(null as {ts}) as modified_date,
+            cast(null as int) as group_type, cast(null as bigint) as contract_type_id, 0 as contract_type, cast(null as double) as plan_pct, 0e0 as service_pct,
             0e0 as group_pct, 0e0 as contract_pct
         from {contract_groups} where group_id % 2 = 0
         union all
         select id * 10 + 1 as id, id as plan_id, service_id, contract_id, service_id % 5 as group_id,
             contract_id + 1 as company_id, cast('2024-01-29' as date) as created_date, cast('2024-01-29 01:00:00' as {ts}) as logged_at,
-            'seed' as created_by, cast(null as string) as modified_by,
+            'seed' as created_by, cast(null as string) as modified_by, cast(null as {ts}) as modified_date,
+            cast(null as int) as group_type, cast(null as bigint) as contract_type_id, 0 as contract_type,
             7e0 as plan_pct, 8e0 as service_pct, 9e0 as group_pct, 10e0 as contract_pct
         from {plans} where id % 4 = 0""",
 }
@@ -294,11 +304,10 @@ class DerivedFleet:
 
 
 def with_lines(streets: DataFrame) -> DataFrame:
-    """Street geometry as an array of points: both ends and the middle."""
-    point = lambda x, y: F.struct(x.alias("lon"), y.alias("lat"))
-    x0, y0, x1, y1 = (F.col(name) for name in ("x0", "y0", "x1", "y1"))
-    line = F.array(point(x0, y0), point((x0 + x1) / 2, (y0 + y1) / 2), point(x1, y1))
-    return streets.withColumn("line", F.when(F.col("geo_type") == 2, line)).drop("x0", "y0", "x1", "y1")
+    """Street geometry as an array of points: both ends and one between, which lies beside the straight line for some."""
+    ends = ("0", "m", "1")
+    line = F.array(*(F.struct(F.col(f"x{end}").alias("lon"), F.col(f"y{end}").alias("lat")) for end in ends))
+    return streets.withColumn("line", F.when(F.col("geo_type") == 2, line)).drop(*(f"{axis}{end}" for axis in "xy" for end in ends))
 
 
 def duckdb_ctes(names: list[str]) -> list[tuple[str, str]]:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from curbflow.functions import geo, text, time
 from curbflow.operators import consecutive_numbers, covering, first_per, last_before, near_lines, previous_row
-from curbflow.operators.nearby import line_cells
+from curbflow.operators.intervals import time_blocks
+from curbflow.operators.nearby import cells_of_line, line_cells
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -79,6 +80,32 @@ def test_covering(spark, closed):
     assert got == want
 
 
+def test_time_blocks_cover_an_interval_once(spark):
+    rng = random.Random(9)
+    spans = [(0, 0), (0, 3), (0, 4), (-5, 5), (1, 5), (3, 3), (-70, -1), (4, 19), (15, 16), (0, 63), (0, 64)]
+    spans += [(a, a + rng.choice([0, 1, 7, 30, 500])) for a in (rng.randrange(-2000, 2000) for _ in range(200))]
+    df = spark.createDataFrame(spans, "first long, last long")
+    for r in df.select("first", "last", time_blocks(F.col("first"), F.col("last")).alias("blocks")).collect():
+        covered = sorted(s for b in r.blocks for s in range(b.block * 4**b.level, (b.block + 1) * 4**b.level))
+        assert covered == list(range(r.first, r.last + 1))
+        assert r.last - r.first >= 4 or {b.level for b in r.blocks} == {0}
+    ages = spark.range(1).select(time_blocks(F.lit(118_000), F.lit(17_500_000)).alias("b")).first().b
+    assert len(ages) <= 80 and sum(4**b.level for b in ages) == 17_500_000 - 118_000 + 1
+
+
+def test_covering_with_a_trip_of_ages(spark):
+    """An interval up to the year 9999 among usual ones, a hot key, and ends out of order or missing."""
+    asks = moments(400, 14) + [(900, "hot", dt.datetime(8123, 4, 5)), (901, "hot", dt.datetime(1969, 12, 31, 23)), (902, "k1", None)]
+    spans = [(1000 + i, key, at, at + dt.timedelta(hours=random.Random(i).choice([1, 30, 900]))) for i, key, at in moments(60, 15)]
+    spans += [(2000, "hot", dt.datetime(2024, 1, 2), dt.datetime(9999, 12, 31)), (2001, "hot", dt.datetime(1960, 1, 1), dt.datetime(1990, 1, 1))]
+    spans += [(2002, "hot", dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 4)), (2003, "hot", None, dt.datetime(2024, 1, 4))]
+    left = spark.createDataFrame(asks, "ask long, key string, t timestamp_ntz")
+    right = spark.createDataFrame(spans, "span long, key string, s timestamp_ntz, e timestamp_ntz")
+    got = sorted((r.ask, r.span) for r in covering(left, right, "key", "t", "s", "e").collect())
+    assert got == sorted((i, n) for i, key, at in asks for n, k, s, e in spans if at and s and k == key and s <= at < e)
+    assert {n for _, n in got} >= {2000, 2001}
+
+
 def piece_distance(px, py, a, b):
     dx, dy = b[0] - a[0], b[1] - a[1]
     long = dx * dx + dy * dy
@@ -111,6 +138,23 @@ def test_near_lines(spark):
     assert all(got[k] == pytest.approx(want[k], abs=1e-12) for k in want)
 
 
+def test_a_stray_vertex_has_tens_of_cells(spark):
+    near = 0.0002
+    lines = [(0, [(39.2, 21.4), (39.2005, 21.4)]), (1, [(39.2, 21.4), (0.0, 0.0), (39.2005, 21.4)]), (2, [(39.2, 21.4), (39.25, 21.43)])]
+    line_df = spark.createDataFrame(lines, "line_id long, line array<struct<lon: double, lat: double>>")
+    sizes = {r.line_id: r.n for r in line_cells(line_df, "line_id", "line", near).groupBy("line_id").agg(F.count("*").alias("n")).collect()}
+    assert sizes[1] < 60 and sizes[2] < 60 and sizes[0] < 10
+    points = [(0, 39.2001, 21.40001), (1, 19.6, 10.7), (2, 39.225, 21.415), (3, 39.2003, 21.5)]
+    point_df = spark.createDataFrame(points, "point long, lon double, lat double")
+    got = {(r.point, r.line_id) for r in near_lines(point_df, line_cells(line_df, "line_id", "line", near), [], "lon", "lat", near).collect()}
+    want = {(i, n) for i, x, y in points for n, path in lines if min(piece_distance(x, y, a, b) for a, b in zip(path, path[1:])) <= near}
+    assert got == want and len(got) >= 4
+    # Cells stored with the line are those worked out from it.
+    stored = line_df.withColumn("cells", cells_of_line(F.col("line"), near)).withColumn("cells", F.when(F.col("line_id") != 2, F.col("cells")))
+    rows = lambda df: sorted((r.line_id, r.level, r.cx, r.cy, sorted(r.pieces)) for r in df.collect())
+    assert rows(line_cells(stored, "line_id", "line", near, "cells")) == rows(line_cells(line_df, "line_id", "line", near))
+
+
 def test_first_per_limits_before_the_shuffle(spark):
     df = spark.createDataFrame(moments(500, 7), "id long, key string, at timestamp_ntz").repartition(4)
     first = first_per(df, ["key"], [F.col("at"), F.col("id")])
