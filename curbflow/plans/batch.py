@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 from curbflow.functions.numeric import at_most_hundred
 from curbflow.functions.text import tag_key
 from curbflow.plans import lifting, matching, rollup, service_log, sweeping
+from curbflow.plans.history import History
 from curbflow.plans.sweep_rules import CURRENT, SweepRules
 from curbflow.session import cut_lineage
 from curbflow.sources.pings import lift_reads, new_tag_references, sweep_reads
@@ -37,13 +38,15 @@ class Batch:
     """``fleet`` has the tables as attributes, ``pings`` among them.
 
     ``now`` dates the changes. Without it the frames are those of each step on
-    the tables as given, which is what the single queries compare.
+    the tables as given, which is what the single queries compare. ``history``
+    stands for trips that ended before its clock; all pings must be later.
     """
 
-    def __init__(self, fleet, choices: Choices = Choices(), now: dt.datetime | None = None):
+    def __init__(self, fleet, choices: Choices = Choices(), now: dt.datetime | None = None, history: History | None = None):
         self.fleet = fleet
         self.choices = choices
         self.now = now
+        self.history = history
 
     # ---- lifting ----
 
@@ -53,11 +56,25 @@ class Batch:
 
     @cached_property
     def hits(self) -> DataFrame:
-        return cut_lineage(matching.tag_hits(self.lifts, self.fleet.stops, self.fleet.trips))
+        find = matching.tag_hits if self.history is None else self.history.hits
+        return cut_lineage(find(self.lifts, self.fleet.stops, self.fleet.trips))
+
+    @cached_property
+    def matched_trips(self) -> DataFrame:
+        """The trips that reads are matched to."""
+        return self.fleet.trips if self.history is None else cut_lineage(self.history.trips(self.fleet.trips))
+
+    def trip_days(self) -> list[dt.date]:
+        """Days of the trips that ended before the batch and that its reads may be matched to."""
+        ends = self.hits.select("end_trip")
+        asked = self.lifts.select("vehicle_id").distinct()
+        ends = ends.unionByName(self.matched_trips.join(asked, "vehicle_id", "left_semi").select("end_trip"))
+        days = ends.where("end_trip is not null").select(F.to_date("end_trip").alias("day")).distinct()
+        return [row["day"] for row in days.collect()]
 
     @cached_property
     def cases(self) -> DataFrame:
-        return matching.match_lifts(self.lifts, self.hits, self.fleet.trips, self.fleet.stop_summaries)
+        return matching.match_lifts(self.lifts, self.hits, self.matched_trips, self.fleet.stop_summaries)
 
     @cached_property
     def matches(self) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -19,6 +20,7 @@ from curbflow.functions.time import (
     weekday_index_of,
 )
 from curbflow.operators import consecutive_numbers
+from curbflow.plans.history import since
 from curbflow.session import cut_lineage
 
 # Starts kept per weekly plan, trip and summary states, defaults of new rows, text format.
@@ -105,8 +107,41 @@ def trips_to_create(starts: DataFrame, existing: DataFrame) -> DataFrame:
     return starts.join(existing.select("plan_id", "start_trip"), ["plan_id", "start_trip"], "left_anti")
 
 
-def build_trips(to_create: DataFrame, due: DataFrame, fleet, now: dt.datetime) -> DataFrame:
-    """New trips: end on the next day if the plan ends before it starts, main driver and vehicle, running number."""
+@dataclass
+class Kept:
+    """What trip creation keeps from run to run, so that no run counts or joins all trips.
+
+    ``made`` trips exist; ``started`` (plan_id, started) counts the trips of each plan that started up to ``as_of``. Crews
+    are assigned to new trips and to ``crew_trips``: trips that changed, or whose plan's crews or whose crews did, since the last run.
+    """
+
+    as_of: dt.datetime
+    made: int
+    started: DataFrame
+    crew_trips: DataFrame
+
+
+def started_trips_of_plans(trips: DataFrame, now: dt.datetime, after: dt.datetime | None = None) -> DataFrame:
+    """(plan_id, started): trips of each plan that started by ``now``, of those that started after ``after`` if it is given."""
+    start = F.col("start_trip")
+    rows = trips.where(start <= timestamp_lit(now))
+    if after is not None:
+        # A trip ends after it starts, so trips stored under earlier days did not start later.
+        rows = since(rows, after).where(start > timestamp_lit(after))
+    return rows.groupBy("plan_id").agg(F.count(F.lit(1)).alias("started"))
+
+
+def counts_forward(kept: Kept, trips: DataFrame, now: dt.datetime) -> DataFrame:
+    """Counts of the plans with trips that started since the kept counts were taken, brought up to ``now``."""
+    new = started_trips_of_plans(trips, now, kept.as_of)
+    before = kept.started.join(new.select("plan_id"), "plan_id", "left_semi").select("plan_id", "started")
+    return new.unionByName(before).groupBy("plan_id").agg(F.sum("started").alias("started"))
+
+
+def build_trips(to_create: DataFrame, due: DataFrame, fleet, now: dt.datetime, made: int | None = None) -> DataFrame:
+    """New trips: end on the next day if the plan ends before it starts, main driver and vehicle, running number.
+
+    ``made`` is the number of trips there are; without it they are counted."""
     plans = due.select(F.col("id").alias("plan_id"), "start_date", "end_date")
 
     def main(table: DataFrame, column: str) -> DataFrame:
@@ -121,7 +156,7 @@ def build_trips(to_create: DataFrame, due: DataFrame, fleet, now: dt.datetime) -
         .select("plan_id", "start_trip", on_day(end_day, F.col("end_date")).alias("end_trip"), "driver_id", "vehicle_id")
     )
     numbered = consecutive_numbers(
-        rows, ["plan_id", "start_trip", "driver_id", "vehicle_id"], "number", start=fleet.trips.count() + 1
+        rows, ["plan_id", "start_trip", "driver_id", "vehicle_id"], "number", start=(fleet.trips.count() if made is None else made) + 1
     )
     month = F.concat(F.year("start_trip").cast("string"), F.month("start_trip").cast("string"))
     return numbered.select(
@@ -236,13 +271,14 @@ def new_trips_report(to_create: DataFrame, plans: DataFrame, monthly: bool) -> D
     return to_create.join(columns, "plan_id").orderBy("created_date", "plan_id", "start_trip")
 
 
-def active_trips(plans: DataFrame, starts: DataFrame, trips: DataFrame, now: dt.datetime) -> DataFrame:
+def active_trips(plans: DataFrame, starts: DataFrame, trips: DataFrame, now: dt.datetime, kept: Kept | None = None) -> DataFrame:
     """Plans with a start take the number of their trips that have started; the others keep theirs."""
-    started = (
-        trips.where(F.col("start_trip") <= timestamp_lit(now))
-        .groupBy(F.col("plan_id").alias("id"))
-        .agg(F.count(F.lit(1)).cast("int").alias("_started"))
-    )
+    if kept is None:
+        counts = started_trips_of_plans(trips, now)
+    else:
+        forward = counts_forward(kept, trips, now)
+        counts = kept.started.select("plan_id", "started").join(forward, "plan_id", "left_anti").unionByName(forward)
+    started = counts.select(F.col("plan_id").alias("id"), F.col("started").cast("int").alias("_started"))
     planned = starts.select(F.col("plan_id").alias("id")).distinct().withColumn("_planned", F.lit(True))
     value = F.when(F.col("_planned"), F.coalesce("_started", F.lit(0))).otherwise(F.col("active_trips"))
     return (
@@ -272,8 +308,8 @@ def crew_assignments(trips: DataFrame, crew_plans: DataFrame, crew_trips: DataFr
 class TripRun:
     """All frames of one run for ``today``; the shared ones are settled."""
 
-    def __init__(self, fleet, today: dt.date, now: dt.datetime):
-        self.fleet, self.today, self.now = fleet, today, now
+    def __init__(self, fleet, today: dt.date, now: dt.datetime, kept: Kept | None = None):
+        self.fleet, self.today, self.now, self.kept = fleet, today, now, kept
 
     @cached_property
     def due(self) -> DataFrame:
@@ -297,7 +333,8 @@ class TripRun:
 
     @cached_property
     def trips(self) -> DataFrame:
-        return cut_lineage(build_trips(self.to_create, self.due, self.fleet, self.now))
+        made = None if self.kept is None else self.kept.made
+        return cut_lineage(build_trips(self.to_create, self.due, self.fleet, self.now, made))
 
     @cached_property
     def summaries(self) -> DataFrame:
@@ -324,8 +361,12 @@ class TripRun:
 
     @cached_property
     def plans(self) -> DataFrame:
-        return active_trips(self.fleet.plans, self.starts, self.all_trips, self.now)
+        return active_trips(self.fleet.plans, self.starts, self.all_trips, self.now, self.kept)
 
     @cached_property
     def crews(self) -> DataFrame:
-        return crew_assignments(self.all_trips, self.fleet.crew_plans, self.fleet.crew_trips)
+        if self.kept is None:
+            return crew_assignments(self.all_trips, self.fleet.crew_plans, self.fleet.crew_trips)
+        columns = ["id", "plan_id", "is_deleted"]
+        trips = self.kept.crew_trips.select(*columns).unionByName(self.trips.select(*columns)).dropDuplicates(["id"])
+        return crew_assignments(trips, self.fleet.crew_plans, self.fleet.crew_trips)
