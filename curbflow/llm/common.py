@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.pandas.types import to_arrow_schema
 
 import curbflow
+from curbflow.session import ensure_checkpoint_dir
 
 # Code of this package travels with the job: executors need no copy of it.
 cloudpickle.register_pickle_by_value(curbflow)
@@ -83,9 +85,36 @@ def map_arrow(
 
 
 def beside_rows(docs: DataFrame, build: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str, text: str = "text") -> DataFrame:
-    """Column row, a struct of all columns of ``docs``, and the columns of ``schema``, which no name in ``docs`` can clash with."""
-    held = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"), F.col(text).cast("string").alias("text"))
-    return map_arrow(held, build, schema, keep=True).drop("text")
+    """Column row, a struct of all columns of ``docs``, and the columns of ``schema``, which no name in ``docs`` can clash with.
+
+    The work gets a batch with the column text, which is taken out of the struct in the task, so that it travels once."""
+    made = T._parse_datatype_string(schema)
+    held = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"))
+    struct = T.StructType([*held.schema.fields, *made.fields])
+    arrow, place = to_arrow_schema(struct), docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = build()
+        for batch in batches:
+            texts = pc.struct_field(batch.column("row"), [place]).cast(pa.string())
+            for part in slices(iter([pa.RecordBatch.from_arrays([batch.column("row"), texts], ["row", "text"])])):
+                out = work(part)
+                values = [part.column("row"), *(out[f.name] for f in made)]
+                yield pa.RecordBatch.from_arrays(
+                    [v.cast(f.type) if isinstance(v, (pa.Array, pa.ChunkedArray)) else pa.array(v, f.type) for f, v in zip(arrow, values)],
+                    schema=arrow,
+                )
+
+    return held.mapInArrow(run, struct)
+
+
+def blank_parts(batch: pa.RecordBatch, column: str = "text") -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The texts of a batch cut at blanks: the distinct parts, the place among them of each part in order, and where each
+    text's parts start (one more entry than texts). Whatever never reaches over a blank can be worked out once a distinct part."""
+    parts = pc.split_pattern(pc.fill_null(batch.column(column), ""), " ")
+    coded = pc.dictionary_encode(parts.flatten())
+    offsets = parts.offsets.to_numpy().astype(np.int64)
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False), offsets - offsets[0]
 
 
 # Bytes up to which a settled side of a join is sent to all tasks; larger sides are shuffled.
@@ -106,6 +135,16 @@ def table_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(sum((F.coalesce(size(field), F.lit(0)).cast("long") for field in df.schema.fields), F.lit(16)))).first()[0] or 0
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Rows written as a table in the folder for checkpoints, which all executors share, and read again.
+
+    Cuts lineage like a checkpoint, and takes less room: columns are compressed, and only those asked for are read."""
+    ensure_checkpoint_dir(df.sparkSession)
+    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def sent_if_small(df: DataFrame) -> DataFrame:
     """Broadcast a settled frame if it has few bytes."""
     return F.broadcast(df) if table_bytes(df) <= SENT_BYTES else df
