@@ -40,6 +40,8 @@ PREFIX = "stat_"
 # Labelled rows the model is fitted on: label 0 and label 1.
 ROWS_PER_LABEL = (6000, 12000)
 TREES, DEPTH, BINS = 60, 3, 32
+# Of the root of the rows that a tree sees: rows that a node must have to be split, and each of its sides.
+NODE, SIDE = 0.42, 0.16
 THRESHOLD = 0.3
 
 
@@ -112,11 +114,13 @@ class Rule:
 def tree_rules(x: np.ndarray, y: np.ndarray, edges: list[np.ndarray], binned: np.ndarray, random: np.random.Generator) -> set[Rule]:
     """The paths of one tree on half of the rows, each split over some of the statistics."""
     found: set[Rule] = set()
+    seen = max(1, len(y) // 2)
+    node, side = max(4, round(NODE * seen**0.5)), max(2, round(SIDE * seen**0.5))
 
     def split(rows: np.ndarray, bounds: dict[int, tuple[float, float]], depth: int) -> None:
         if bounds:
             found.add(Rule(tuple(sorted((k, low, high) for k, (low, high) in bounds.items()))))
-        if depth == DEPTH or len(rows) < 40 or y[rows].min() == y[rows].max():
+        if depth == DEPTH or len(rows) < node or y[rows].min() == y[rows].max():
             return
         best = (1e-4, -1, 0)
         for k in random.choice(x.shape[1], max(1, x.shape[1] // 2), replace=False):
@@ -127,7 +131,7 @@ def tree_rules(x: np.ndarray, y: np.ndarray, edges: list[np.ndarray], binned: np
             total, positive = len(rows), y[rows].sum()
             with np.errstate(divide="ignore", invalid="ignore"):
                 gain = ones**2 / n + (positive - ones) ** 2 / (total - n) - positive**2 / total
-            gain[(n < 15) | (total - n < 15)] = 0
+            gain[(n < side) | (total - n < side)] = 0
             at = int(np.nanargmax(gain))
             if gain[at] / total > best[0]:
                 best = (gain[at] / total, int(k), at)
@@ -139,7 +143,7 @@ def tree_rules(x: np.ndarray, y: np.ndarray, edges: list[np.ndarray], binned: np
         split(rows[below], bounds | {k: (low, edge)}, depth + 1)
         split(rows[~below], bounds | {k: (edge, high)}, depth + 1)
 
-    split(random.choice(len(y), max(1, len(y) // 2), replace=False), {}, 0)
+    split(random.choice(len(y), seen, replace=False), {}, 0)
     return found
 
 
