@@ -10,9 +10,12 @@ Only the links that join components matter, so candidates of a band bucket are
 not all paired. First every member meets the hubs of some of its buckets and is
 held against the likeliest. Then what is still apart from the largest component
 of a bucket meets the members of other components: in small buckets as pairs,
-in large ones block by block within a task, which gives out links only. That
-reaches the components of all candidate links, and the rows between tasks grow
-with the documents, not with the square of a group.
+in large ones block by block within a task. There the signatures go first, in
+large blocks; they name the members of smaller blocks that may be linked, and
+only their sets follow. That reaches the components of all candidate links.
+
+A group of n members of which m are still apart sends each signature once per
+BLOCK of the other side, n * m / BLOCK rows; the comparisons are n * m.
 """
 
 from __future__ import annotations
@@ -23,15 +26,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from curbflow.llm.common import bytes_of, keyed_texts, map_arrow, sent_if_small
-from curbflow.session import cut_lineage
+from curbflow.llm.common import SENT_BYTES, bytes_of, keyed_texts, map_arrow, sent_if_small, table_bytes, written
 
 SHINGLE = 5
 BANDS, ROWS = 48, 5
 # Bands whose hubs a member is held against; most members find a link there.
 HUB_BANDS = 12
-# Members up to which a bucket's pairs are listed; those of larger ones are compared in blocks of BLOCK members.
-SMALL, BLOCK = 32, 256
+# Members up to which a bucket's pairs are listed; signatures of larger ones are compared in blocks of BLOCK members,
+# and sets in blocks of SETS members.
+SMALL, BLOCK, SETS = 32, 2048, 256
+# Pairs with one hub that are confirmed by one task.
+STAR = 512
+# Files that a small table is written to.
+FEW_FILES = 8
 # A pair is linked if SHARE[1] * |intersection| >= SHARE[0] * |union|.
 SHARE = (75, 100)
 # Slots compared at a time, and the posterior probability of a link below which a pair is dropped.
@@ -133,6 +140,11 @@ def names(sets: list[np.ndarray]) -> dict[str, np.ndarray]:
     return {name: np.array([mixed(s ^ salt).sum() for s in sets], U).view(np.int64) for name, salt in salts.items()}
 
 
+def versions(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Key, text and a hash that tells the texts of one key apart."""
+    return keyed_texts(docs, key, text).withColumn("version", F.xxhash64("text"))
+
+
 def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
     def build():
         shingler, sign = Shingler(), signer()
@@ -141,15 +153,15 @@ def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
             sets = shingler(batch)
             signed = [sign(s) if len(s) else (np.zeros(0, np.int64), np.zeros(0, np.uint8)) for s in sets]
             return {
-                "doc_id": batch.column("doc_id"), "n_shingles": [len(s) for s in sets],
+                "doc_id": batch.column("doc_id"), "version": batch.column("version"), "n_shingles": [len(s) for s in sets],
                 **names(sets),
                 "bands": [keys for keys, _ in signed], "signature": [s.tobytes() for _, s in signed],
             }
 
         return work
 
-    schema = "doc_id long, n_shingles long, name_1 long, name_2 long, bands array<bigint>, signature binary"
-    return map_arrow(keyed_texts(docs, key, text), build, schema)
+    schema = "doc_id long, version long, n_shingles long, name_1 long, name_2 long, bands array<bigint>, signature binary"
+    return map_arrow(versions(docs, key, text), build, schema)
 
 
 def free(df: DataFrame, *names: str) -> DataFrame:
@@ -161,19 +173,24 @@ def components(links: DataFrame) -> DataFrame:
     """Rows (node, component) for every node of the rows (u, v) that isn't the smallest of its component.
 
     Alternating large-star and small-star steps, each an aggregate and a join, until every node has one edge, to a
-    node that has none."""
+    node that has none. The aggregate has a row a node, however many edges meet there; it is sent to all tasks if there
+    are few edges, and is dealt out apart from the edges if not, so that Spark can split a node of many edges."""
     edges = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
+    few = False
     while True:
-        edges = cut_lineage(edges)
+        # A list of edges doesn't grow from step to step, so one that was small goes to few files.
+        edges = written(edges.coalesce(FEW_FILES) if few else edges)
         ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
         ends = ends.unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
         if ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up + down > 1").isEmpty():
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        few = table_bytes(edges) <= SENT_BYTES // 2
+        sent = lambda least: F.broadcast(least) if few else free(least, "u")
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(free(least, "u"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.join(sent(least), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(free(least, "u"), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.join(sent(least), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
@@ -217,18 +234,40 @@ def likely(pairs: DataFrame, signed: DataFrame) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of pairs (a, b) those whose full sets are similar enough, as links (u, v)."""
+    """Of pairs (a, b) those whose full sets are similar enough, as links (u, v).
 
-    def build():
-        def work(batch: pa.RecordBatch) -> dict:
-            sides = zip(batch.column("set_a"), batch.column("set_b"))
-            found = [i for i, (x, y) in enumerate(sides) if similar(np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U))]
-            return {u: batch.column(n).take(pa.array(found, pa.int64())) for u, n in (("u", "a"), ("v", "b"))}
+    The set of ``a`` travels with its pair, that of ``b`` once for every STAR of its pairs."""
+    stars = free(pairs.groupBy("b").agg(F.ceil(F.count("*") / STAR).cast("int").alias("blocks")), "b")
+    own = sets.select(F.col("rep").alias("a"), F.col("members").alias("set_a"))
+    left = pairs.select("a", "b").join(stars, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int").alias("block")).join(own, "a")
+    right = stars.join(sets, F.col("b") == F.col("rep")).select("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "members")
 
-        return work
+    def compare(few: pa.Table, one: pa.Table) -> pa.Table:
+        hub = np.frombuffer(one["members"][0].as_buffer(), U) if few.num_rows else None
+        found = [i for i, x in enumerate(few["set_a"]) if similar(np.frombuffer(x.as_buffer(), U), hub)]
+        return few.select(["a", "b"]).take(pa.array(found, pa.int64())).rename_columns(["u", "v"])
 
-    side = lambda n: sets.select(F.col("rep").alias(n), F.col("members").alias(f"set_{n}"))
-    return map_arrow(pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b"), build, "u long, v long", "set_a")
+    return left.groupBy("b", "block").cogroup(right.groupBy("b", "block")).applyInArrow(compare, "u long, v long")
+
+
+def may_be_linked(few: pa.Table, many: pa.Table, bounds) -> pa.Table:
+    """Members of two blocks, by the smaller block they are in, that their signatures don't speak against linking."""
+    x, y = unpacked(few["signature"]), unpacked(many["signature"])
+    home, main = few["component"].to_numpy(), many["component"].to_numpy()
+    first, second = few["sets"].to_numpy(), many["sets"].to_numpy()
+    first_y = np.ascontiguousarray(y[:, :BATCH])
+    found: set[tuple[int, int, bool, int]] = set()
+    ids, others = few["rep"].to_numpy(), many["rep"].to_numpy()
+    for i in range(len(x)):  # one member against a block
+        near = np.flatnonzero((main != home[i]) & ((x[i, :BATCH] == first_y).sum(axis=1) >= bounds[0][1]))
+        _, cols, _ = agreeing(x, y, np.full(len(near), i), near, bounds)
+        for j in cols.tolist():
+            found.add((int(first[i]), int(second[j]), True, int(ids[i])))
+            found.add((int(first[i]), int(second[j]), False, int(others[j])))
+    rows = list(zip(*found)) or [(), (), (), ()]
+    names = (("sets_few", pa.int32()), ("sets_many", pa.int32()), ("is_few", pa.bool_()), ("rep", pa.int64()))
+    cluster = few["cluster"][0].as_py() if found else 0
+    return pa.table({"cluster": pa.array([cluster] * len(found), pa.int64())} | {n: pa.array(v, t) for (n, t), v in zip(names, rows)})
 
 
 def links_of_cell(few: pa.Table, many: pa.Table, bounds) -> pa.Table:
@@ -253,25 +292,35 @@ def links_in_clusters(placed: DataFrame, signed: DataFrame, whole: DataFrame) ->
     Buckets with common members form a cluster, so that a pair is compared once however many buckets it shares.
     Members outside a cluster's largest component meet all members, in cells of a block of either."""
     bounds = least_matches(BANDS * ROWS, SHARE[0] / SHARE[1])
-    first = cut_lineage(placed.groupBy("key").agg(F.min("rep").alias("least")))
+    first = placed.groupBy("key").agg(F.min("rep").alias("least"))
     star = placed.join(free(first, "key"), "key").select(F.col("rep").alias("u"), F.col("least").alias("v"))
     cluster = components(star).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
     rows = placed.select("rep", "component").distinct().join(cluster, "rep", "left").withColumn("cluster", F.coalesce("cluster", "rep"))
-    rows = cut_lineage(rows)
+    rows = written(rows)
     parts = rows.groupBy("cluster", "component").agg(F.count("*").alias("n"))
     sizes = parts.groupBy("cluster").agg(F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("all"))
-    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
-    sizes = cut_lineage(
-        sizes.where(F.col("all") > F.col("most.n"))
-        .select("cluster", F.col("most.component").alias("main"), blocks(F.col("all") - F.col("most.n")).alias("few"), blocks(F.col("all")).alias("many"))
-    )
-    held = rows.join(free(sizes, "cluster"), "cluster").join(signed, "rep").join(whole, "rep")
-    part = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+    blocks = lambda n, size: F.ceil(n / size).cast("int")
+    apart = F.col("all") - F.col("most.n")
+    sizes = (
+        sizes.where(F.col("all") > F.col("most.n")).select(
+            "cluster", F.col("most.component").alias("main"), blocks(apart, BLOCK).alias("few"), blocks(F.col("all"), BLOCK).alias("many"),
+            blocks(apart, SETS).alias("few_sets"), blocks(F.col("all"), SETS).alias("many_sets"),
+        )
+    )
+    held = written(rows.join(free(sizes, "cluster"), "cluster").join(signed, "rep"))
+    part = lambda n, salt: F.pmod(F.xxhash64("rep", F.lit(salt)), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    columns = ["cluster", "at_few", "at_many", "rep", "component", "signature", "members"]
-    few = held.where("component <> main").withColumn("at_few", part("few")).withColumn("at_many", each("many")).select(*columns)
-    many = held.withColumn("at_many", part("many")).withColumn("at_few", each("few")).select(*columns)
-    few, many, cell = few.toDF(*columns), many.toDF(*columns), columns[:3]  # columns of their own, though of one source
+    columns = ["cluster", "at_few", "at_many", "sets", "rep", "component", "signature"]
+    few = held.where("component <> main").withColumn("sets", part("few_sets", 2)).withColumn("at_few", part("few", 1)).withColumn("at_many", each("many"))
+    many = held.withColumn("sets", part("many_sets", 2)).withColumn("at_many", part("many", 1)).withColumn("at_few", each("few"))
+    few, many, cell = few.select(*columns).toDF(*columns), many.select(*columns).toDF(*columns), columns[:3]  # columns of their own, though of one source
+    involved = few.groupBy(*cell).cogroup(many.groupBy(*cell)).applyInArrow(
+        lambda x, y: may_be_linked(x, y, bounds), "cluster long, sets_few int, sets_many int, is_few boolean, rep long"
+    )
+    involved = written(involved.distinct())
+    with_sets = involved.join(held.select("rep", "component", "signature"), "rep").join(whole, "rep")
+    cell, columns = ["cluster", "sets_few", "sets_many"], ["cluster", "sets_few", "sets_many", "rep", "component", "signature", "members"]
+    few, many = (with_sets.where(side).select(*columns).toDF(*columns) for side in ("is_few", "not is_few"))
 
     def compare(x: pa.Table, y: pa.Table) -> pa.Table:
         return links_of_cell(x, y, bounds)
@@ -280,7 +329,7 @@ def links_in_clusters(placed: DataFrame, signed: DataFrame, whole: DataFrame) ->
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows (rep, members) for the sets in ``wanted`` (rep, first, name_1, name_2), from the text of the first document that has that set."""
+    """Rows (rep, members) for the sets in ``wanted`` (rep, first, first_version, name_1, name_2), from the first text that has that set."""
 
     def build():
         shingler = Shingler()
@@ -293,34 +342,39 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
         return work
 
-    chosen = docs.join(sent_if_small(wanted), docs.doc_id == wanted["first"]).select("rep", "name_1", "name_2", "text")
+    here = (docs.doc_id == wanted["first"]) & (docs.version == wanted["first_version"])
+    chosen = docs.join(sent_if_small(wanted), here).select("rep", "name_1", "name_2", "text")
     return map_arrow(chosen, build, "rep long, members binary").dropDuplicates(["rep"])
 
 
 def shared_ids(named: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (u, v) between the sets of each doc_id that has several."""
     name = F.struct("name_1", "name_2")
-    several = cut_lineage(named.groupBy("doc_id").agg(F.min(name).alias("a"), F.max(name).alias("b")).where("a <> b").select("doc_id"))
+    several = written(named.groupBy("doc_id").agg(F.min(name).alias("a"), F.max(name).alias("b")).where("a <> b").select("doc_id"))
     held = named.join(several, "doc_id").distinct().join(sets.select("name_1", "name_2", "rep"), ["name_1", "name_2"]).select("doc_id", "rep")
     return held.join(held.groupBy("doc_id").agg(F.min("rep").alias("v")), "doc_id").select(F.col("rep").alias("u"), "v")
 
 
-def linked(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Rows (node, component) of the documents that don't have the smallest doc_id of their component."""
-    named = rows.where("n_shingles > 0 and doc_id is not null").select("doc_id", "name_1", "name_2")
-    sets = named.groupBy("name_1", "name_2").agg(F.min("doc_id").alias("first"))
+def linked(docs: DataFrame, rows: DataFrame, by_text: bool = False) -> DataFrame:
+    """Rows (name_1, name_2, least): the sets, and the first (doc_id, version) of their component.
+
+    The sets of one doc_id are linked, unless ``by_text``."""
+    named = rows.where("n_shingles > 0 and doc_id is not null").select("doc_id", "version", "name_1", "name_2")
+    sets = named.groupBy("name_1", "name_2").agg(F.min(F.struct("doc_id", "version")).alias("first"))
     # Numbered where it is written, so that all that follows sees the same numbers.
-    sets = cut_lineage(sets.withColumn("rep", F.monotonically_increasing_id()))
-    reps = rows.join(sets.withColumnRenamed("first", "doc_id"), ["doc_id", "name_1", "name_2"])
-    reps = reps.select("rep", F.col("doc_id").alias("first"), "name_1", "name_2", "bands", "signature")
+    sets = written(sets.select("name_1", "name_2", "first.*").toDF("name_1", "name_2", "first", "first_version").withColumn("rep", F.monotonically_increasing_id()))
+    named = named.drop("version")
+    at_first = sets.withColumnsRenamed({"first": "doc_id", "first_version": "version"})
+    reps = rows.join(at_first, ["doc_id", "version", "name_1", "name_2"])
+    reps = reps.select("rep", F.col("doc_id").alias("first"), F.col("version").alias("first_version"), "name_1", "name_2", "bands", "signature")
     keyed = reps.select("rep", F.posexplode("bands").alias("band", "key"))
     # The hub of a bucket: the least member after each is mixed with the key, so that buckets of one group have different hubs.
-    buckets = cut_lineage(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min(F.col("rep").bitwiseXOR(F.col("key"))).alias("code")).where("n > 1").drop("n"))
+    buckets = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min(F.col("rep").bitwiseXOR(F.col("key"))).alias("code")).where("n > 1").drop("n")
     members = keyed.join(free(buckets, "key"), "key").select("key", "band", "rep", F.col("code").bitwiseXOR(F.col("key")).alias("hub"))
-    members = cut_lineage(members)
+    members = written(members)
     within = members.select("rep").distinct()
-    signed = cut_lineage(reps.drop("bands").join(within, "rep", "left_semi").dropDuplicates(["rep"]))
-    whole = cut_lineage(full_sets(docs, signed.drop("signature")))
+    signed = written(reps.drop("bands").join(within, "rep", "left_semi").dropDuplicates(["rep"]))
+    whole = written(full_sets(docs, signed.drop("signature")))
     signed = signed.select("rep", "signature")
 
     def tried(pairs: DataFrame) -> DataFrame:
@@ -339,24 +393,24 @@ def linked(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
     at = tried(members.where(F.col("band") < HUB_BANDS))
     # What is still apart from the largest component of its bucket meets the members of other components.
-    placed = cut_lineage(of_component(members.select("key", "rep"), at))
+    placed = written(of_component(members.select("key", "rep"), at))
     parts = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
     main = parts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("all")).where("all > most.n")
-    main = cut_lineage(main.select("key", F.col("most.component").alias("main"), "all"))
-    split = cut_lineage(placed.join(free(main, "key"), "key"))
+    main = main.select("key", F.col("most.component").alias("main"), "all")
+    split = written(placed.join(free(main, "key"), "key"))
     small = split.where(F.col("all") <= SMALL)
     few = small.where("component <> main").select("key", F.col("rep").alias("other"), F.col("component").alias("other_component"))
     meet = small.join(free(few, "key"), "key").where("component <> other_component")
     meet = meet.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
-    links = stars(at).unionByName(shared_ids(named, sets)).unionByName(confirmed(likely(meet, signed), whole))
+    links = stars(at).unionByName(confirmed(likely(meet, signed), whole))
+    if not by_text:
+        links = links.unionByName(shared_ids(named, sets))
     large = split.where(F.col("all") > SMALL).select("key", "rep", "component")
     if not large.isEmpty():
         links = links.unionByName(links_in_clusters(large, signed, whole))
-    placed = cut_lineage(of_component(sets, components(links)))
-    least = placed.groupBy("component").agg(F.min("first").alias("least"))
-    placed = placed.join(free(least, "component"), "component").select("name_1", "name_2", "least")
-    ids = named.join(free(placed, "name_1"), ["name_1", "name_2"]).where("doc_id <> least")
-    return ids.select(F.col("doc_id").alias("node"), F.col("least").alias("component")).distinct()
+    placed = written(of_component(sets, components(links)))
+    least = placed.groupBy("component").agg(F.min(F.struct(F.col("first").alias("doc_id"), F.col("first_version").alias("version"))).alias("least"))
+    return placed.join(free(least, "component"), "component").select("name_1", "name_2", "least")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -367,8 +421,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     texts have an empty set and no links. Rows that share a doc_id are one document with the links of each; a row
     without doc_id has no links, no component and is kept. Empty tables give no rows. Other columns are ignored.
     """
-    rows = cut_lineage(signatures(docs, key, text))
-    found = linked(keyed_texts(docs, key, text), rows)
+    rows = written(signatures(docs, key, text))
+    placed = linked(versions(docs, key, text), rows)
+    named = rows.where("n_shingles > 0 and doc_id is not null").select("doc_id", "name_1", "name_2")
+    ids = named.join(free(placed, "name_1"), ["name_1", "name_2"]).where("doc_id <> least.doc_id")
+    found = ids.select(F.col("doc_id").alias("node"), F.col("least.doc_id").alias("component")).distinct()
     out = rows.select("doc_id", "n_shingles").join(found, F.col("doc_id") == F.col("node"), "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+def other_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Distinct rows (doc_id, version) of the texts that are near-duplicates of an earlier one: of each component all but the
+    text with the smallest doc_id (of several, the smallest version, a hash of the text). Texts of one doc_id are linked
+    only if they are near-duplicates. Null, empty and wordless texts and rows without doc_id are never among them."""
+    rows = written(signatures(docs, key, text))
+    placed = linked(versions(docs, key, text), rows, by_text=True)
+    named = rows.where("n_shingles > 0 and doc_id is not null").select("doc_id", "version", "name_1", "name_2")
+    ids = named.join(free(placed, "name_1"), ["name_1", "name_2"])
+    return ids.where((F.col("doc_id") != F.col("least.doc_id")) | (F.col("version") != F.col("least.version"))).select("doc_id", "version").distinct()

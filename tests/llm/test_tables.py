@@ -139,6 +139,20 @@ def test_neighbours_of_clustered_vectors(spark):
     assert all((g.sort_values("rank").score.diff().dropna() <= 0).all() for _, g in found.groupby("query_id"))
 
 
+def test_queries_left_short_are_filled_up(spark, monkeypatch):
+    """With a test that abandons nearly everything each query still has its 20 nearest."""
+    monkeypatch.setattr(ann_search, "DOUBT", -3.0)
+    random_ = np.random.default_rng(3)
+    x = random_.normal(size=(400, 48)).astype(np.float32)
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    found = ann_search.neighbours(vectors).toPandas()
+    assert (found.groupby("query_id").size() == 20).all() and found.query_id.nunique() == 20
+    score = x.astype(float) @ x.T.astype(float)
+    np.fill_diagonal(score, -np.inf)
+    got = {q: g.sort_values("rank").vec_id.tolist() for q, g in found.groupby("query_id")}
+    assert np.mean([len(set(got[q]) & set(np.argsort(-score[q])[:20])) / 20 for q in got]) >= 0.9
+
+
 def test_neighbours_of_few_vectors(spark):
     few = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(5)], "vec_id long, embedding array<float>")
     rows = ann_search.neighbours(few).orderBy("rank").collect()
@@ -175,6 +189,8 @@ def test_near_duplicates_are_those_of_all_pairs(spark, monkeypatch, small):
     """With buckets listed as pairs, and with nearly all compared in blocks."""
     monkeypatch.setattr(near_dedup, "SMALL", small)
     monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    monkeypatch.setattr(near_dedup, "SETS", 4)
+    monkeypatch.setattr(near_dedup, "STAR", 3)
     choose = random.Random(6)
     texts, n = [t for t in ODD_TEXTS if t[1] is not LONG_TEXT], 200
     for _ in range(8):  # groups that grow by copying any member with some words changed
@@ -209,6 +225,23 @@ def test_near_duplicates_of_each_text_of_a_shared_id(spark):
     assert all(want[n + k] == n + 3 for n in range(0, 400, 20) for k in (3, 5, 7, 8, 9))
 
 
+def test_a_shared_passage_links_only_what_is_similar(spark, monkeypatch):
+    """A large group shares half of its words and is mostly not linked; some are near copies of others in it."""
+    monkeypatch.setattr(near_dedup, "SMALL", 4)
+    monkeypatch.setattr(near_dedup, "BLOCK", 32)
+    monkeypatch.setattr(near_dedup, "SETS", 8)
+    choose = random.Random(12)
+    passage = [f"p{i}" for i in range(60)]
+    texts = [(n, passage + [f"q{choose.randrange(10**6)}" for _ in range(choose.choice((25, 30, 60)))]) for n in range(150)]
+    texts += [(n + 500, [*words[:-2], "end"]) for n, words in texts[::10]]
+    texts = [(n, " ".join(words)) for n, words in texts] + [(n + 1000, " ".join(words)) for n, words in texts[:80:2]]
+    rows = near_dedup.near_duplicates(odd_docs(spark, texts)).collect()
+    assert {r.doc_id: r.component_id for r in rows} == components_by_brute_force(texts)
+    # By text: ids play no part but to choose which one stays.
+    gone = {(r.doc_id, r.version) for r in near_dedup.other_texts(odd_docs(spark, texts)).collect()}
+    assert {i for i, _ in gone} == {r.doc_id for r in rows if not r.kept}
+
+
 LONG_TEXT = ODD_TEXTS[8][1]
 
 
@@ -269,6 +302,47 @@ def test_plans_use_every_piece_and_few_sequences():
     assert packing.packing_plan(np.zeros(8, int), 7) == []
 
 
+def test_pieces_of_one_length_are_dealt_to_many_buckets(spark):
+    """Nearly all pieces have one length, and most rows are equal, keys and all."""
+    texts = [(None if i % 2 else 7, "same words here") for i in range(900)] + [(i, "other words " * (i % 9)) for i in range(60)]
+    pieces = packing.token_pieces(odd_docs(spark, texts).repartition(4), packing.word_vocabulary(), 16)
+    rows = packing.pack(pieces, 16, per_bucket=50).collect()
+    assert len(rows) == pieces.count()
+    assert sorted((r.doc_id or -1, r.piece, r.length) for r in rows) == sorted((r.doc_id or -1, r.piece, r.length) for r in pieces.collect())
+    assert check_places(rows, 16) <= 1.02 * sum(r.length for r in rows) / 16 + 1
+
+
+def test_plans_of_few_pieces_are_as_short_as_can_be():
+    """Against the best of all ways to put the pieces together."""
+    random_ = np.random.default_rng(11)
+
+    def fewest(lengths, capacity):
+        best = [len(lengths)]
+
+        def put(i, gaps):
+            if len(gaps) >= best[0]:
+                return
+            if i == len(lengths):
+                best[0] = len(gaps)
+                return
+            for g in {gap for gap in gaps if gap >= lengths[i]}:
+                rest = list(gaps)
+                rest[rest.index(g)] -= lengths[i]
+                put(i + 1, rest)
+            put(i + 1, [*gaps, capacity - lengths[i]])
+
+        put(0, [])
+        return best[0]
+
+    over = 0
+    for _ in range(60):
+        lengths = sorted(random_.integers(1, 11, random_.integers(1, 9)).tolist(), reverse=True)
+        plan = packing.packing_plan(np.bincount(lengths, minlength=11), 10)
+        over += sum(times for _, times in plan) - fewest(lengths, 10)
+        assert sum(times for _, times in plan) <= fewest(lengths, 10) + 1
+    assert over <= 4
+
+
 # ---- pipeline ----
 
 
@@ -302,4 +376,4 @@ def test_stages_bear_odd_rows(spark):
         assert stage(spark, docs, SF_DIR).count() >= 0
         assert stage(spark, no_docs(spark), SF_DIR).count() == 0
     once = corpus_pipeline.one_of_each(spark, docs, SF_DIR)
-    assert once.where("doc_id = 1").count() == 1 and once.where("doc_id is null").count() == 2
+    assert once.where("doc_id = 1").count() == 2 and once.where("doc_id is null").count() == 2
