@@ -9,11 +9,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from curbflow.llm import decontamination, language_id, near_dedup, packing, quality_rules
-from curbflow.llm.common import sent_if_small, table
-from curbflow.session import cut_lineage, ensure_checkpoint_dir
+from curbflow.llm.common import sent_if_small, table, written
+from curbflow.session import ensure_checkpoint_dir
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -28,26 +28,31 @@ def known_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
     return language_id.known_rows(docs, model)
 
 
+def same_text() -> Column:
+    """Whether a row has the doc_id and the text of a row (_id, _version)."""
+    return F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_version"))
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near-duplicates, that with the smallest id; of repeated rows of one id one."""
-    found = near_dedup.near_duplicates(docs)
-    gone = sent_if_small(cut_lineage(found.where("not kept").select("doc_id").distinct()))
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    repeated = cut_lineage(left.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    """One text of each group of near-duplicates, that with the smallest doc_id; of rows with one doc_id and text one.
+
+    Other texts under the doc_id of a near-duplicate stay. Rows without doc_id and texts without words stay as they are."""
+    gone = near_dedup.other_texts(docs)
+    left = docs.join(sent_if_small(written(gone.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version")))), same_text(), "left_anti")
+    repeated = left.where("doc_id is not null").groupBy("doc_id", F.xxhash64("text").alias("_version")).count().where("count > 1")
+    repeated = written(repeated.select(F.col("doc_id").alias("_id"), "_version"))
     if repeated.isEmpty():
         return left
-    repeated = sent_if_small(repeated)
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))
-    first = left.join(repeated, "doc_id", "left_semi").withColumn("_place", place).where("_place = 1").select(*docs.columns)
-    return left.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(first)
+    # Of equal rows the first stays; a group of them goes to its task as one row a map task.
+    several = left.join(sent_if_small(repeated), same_text(), "left_semi").dropDuplicates(["doc_id", "text"])
+    return left.join(sent_if_small(repeated), same_text(), "left_anti").unionByName(several)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that aren't contaminated by benchmark items."""
     found = decontamination.judged(docs, table(spark, folder, "benchmark")).where("contaminated")
-    gone = sent_if_small(cut_lineage(found.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version")).distinct()))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_version"))
-    return docs.join(gone, same, "left_anti")
+    gone = sent_if_small(written(found.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version")).distinct()))
+    return docs.join(gone, same_text(), "left_anti")
 
 
 def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
