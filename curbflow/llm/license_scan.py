@@ -82,7 +82,9 @@ WHOLE = {f"{path.stem} text": path.read_text() for path in sorted((Path(__file__
 CUE = r"licen[cs]e|copyright|all rights reserved|redistribut|warrant(?:y|ies)|merchantab|permission|public domain|creative commons|\bCC BY|spdx"
 # A sentence may go on over line ends, not over blank lines.
 SENTENCE = re.compile(r"(?:[^\n]|\n(?![^\S\n]*\n))+?(?:[.!?:;](?=\s)|(?=\n[^\S\n]*\n)|$)")
-WORD = re.compile(r"[\w.\-/+]*\w")
+# A run of word characters and marks up to its last word character. It starts where a run does and gives nothing back, so that
+# a long run of marks is read once.
+WORD = re.compile(r"(?<![\w.\-/+])[.\-/+]*+\w(?:[.\-/+]*+\w)*+")
 LEVEL = 6
 # Share of a template's words that may differ.
 MOST_DIFFERENT = 0.25
@@ -242,46 +244,57 @@ class Scanner:
         return len(steps) <= MOST_DIFFERENT * len(self.words[name]) and all(n <= FIELD_WORDS for n in held.values())
 
     def winner(self, block: str) -> dict:
-        """The template with the smallest share of words that differ from the block, of equal ones that with the best
-        reduction; its reduction and differences. All templates are tried that can be better, but none of over twice the
-        block's words, most of which are missing, unless all are as long."""
-        own, best, least = words(block), None, None
+        """Of the templates, most reduction of the block's size first, the first one whose wording is confirmed; the first
+        one of all if none is. Its reduction and differences."""
+        own, best = words(block), None
         bag = Counter(own)
-        short = [n for n in self.words if len(self.words[n]) <= 2 * len(own)]
-        for reduction, name in self.reductions(block, short or list(self.words)):
-            n = len(self.words[name])
-            if best is not None and self.absent(name, bag) / n >= least:
+        for reduction, name in self.reductions(block, list(self.words)):
+            if best is not None and self.absent(name, bag) > MOST_DIFFERENT * len(self.words[name]):
                 continue
             one = nearest(own, self.words[name])
             gone, more = one.listed()
-            missing, added, diff = len(gone), len(more), gone + more
-            if best is None or (missing + added) / n < least:
-                least = (missing + added) / n
-                best = {
-                    "license": name, "reduction": reduction, "missing": missing, "added": added, "differences": diff,
-                    "confirmed": self.same(name, one.steps),
-                }
+            row = {
+                "license": name, "reduction": reduction, "missing": len(gone), "added": len(more), "differences": gone + more,
+                "confirmed": self.same(name, one.steps),
+            }
+            if row["confirmed"]:
+                return row
+            best = best or row
         return best
 
-    def fits(self, own: list[str], low: int, high: int) -> list[tuple[int, str, Fit]]:
-        """Fits with few differences of all templates among the words from ``low`` to ``high``, apart from each other for each template."""
-        found, part = [], own[low:high]
-        bag = Counter(part)
-        for name, template in self.words.items():
-            most = int(MOST_DIFFERENT * len(template))
-            if len(part) + most < len(template) or self.absent(name, bag) > most:
-                continue
-            row, taken = costs(template, part), np.zeros(len(part) + 1, bool)
-            # An end that costs one more than the end before only adds a word to its fit.
-            ends = np.flatnonzero((row <= most) & (row <= np.r_[row[:1], row[:-1]]))
-            for end in ends[np.argsort(row[ends], kind="stable")].tolist():
-                if end and not taken[end - 1]:
-                    one = fit(template, part, end, int(row[end]))
-                    if not taken[one.start : one.end].any():
-                        taken[one.start : one.end] = True
-                        found.append((len(template), name, Fit(low + one.start, low + one.end, one.steps)))
+    def fits(self, name: str, part: list[str], bag: Counter, low: int) -> list[Fit]:
+        """Fits of a template with few differences among the words ``part``, which start at ``low``, apart from each other, best first."""
+        template, found = self.words[name], []
+        most = int(MOST_DIFFERENT * len(template))
+        if len(part) + most < len(template) or self.absent(name, bag) > most:
+            return found
+        row, taken = costs(template, part), np.zeros(len(part) + 1, bool)
+        # An end that costs one more than the end before only adds a word to its fit.
+        ends = np.flatnonzero((row <= most) & (row <= np.r_[row[:1], row[:-1]]))
+        for end in ends[np.argsort(row[ends], kind="stable")].tolist():
+            if end and not taken[end - 1]:
+                one = fit(template, part, end, int(row[end]))
+                if not taken[one.start : one.end].any():
+                    taken[one.start : one.end] = True
+                    found.append(Fit(low + one.start, low + one.end, one.steps))
         return found
 
+    def best_fits(self, own: list[str], low: int, high: int, stretch: str) -> tuple[str, list[Fit], bool] | None:
+        """The template that wins a stretch of text, its fits there, and whether they are confirmed.
+
+        Templates are tried by how much they reduce the stretch's compressed size, most first. The first one with wording
+        that confirms it wins; if there is none, the first one with a fit of few differences; None if none has any."""
+        part, near = own[low:high], None
+        bag = Counter(part)
+        for _, name in self.reductions(stretch, [n for n in self.words if self.absent(n, bag) <= MOST_DIFFERENT * len(self.words[n])]):
+            found = self.fits(name, part, bag, low)
+            sure = [one for one in found if self.same(name, one.steps)]
+            if sure:
+                return name, sure, True
+            if found and near is None:
+                near = name, found, False
+        return near
+
     def replaced(self, one: Fit, n: int, own: list[str], spans: list[tuple[int, int]], text: str, taken: np.ndarray, low: int) -> Fit:
         """A fit with the words of its first and last sentence that stand where the template's first and last words are missing."""
         apart = re.compile(r"[.!?:;]\s|\n[^\S\n]*\n")
@@ -296,39 +309,38 @@ class Scanner:
         return wide
 
     def scan(self, text: str) -> list[dict]:
-        """Templates that stand in the text, the one that explains most words first; what it covers is taken out and the rest
-        is scanned again until none fits. What then still speaks of licensing is a row for each stretch, with its nearest template."""
+        """Templates that stand in the text. The winner of a stretch (see ``best_fits``) is taken out, and what is left on its
+        sides is scanned again until none fits. What then still speaks of licensing is a row for each block, with its winner."""
         spans = [(m.start(), m.end()) for m in WORD.finditer(text)]
         own, covered, rows = [text[start:end].lower() for start, end in spans], [], []
+        cue = re.compile(CUE, re.IGNORECASE)
         open_ = [(0, len(own))]
         while open_:
             low, high = open_.pop()
-            # Confirmed ones first; of those and of the others by words of the template less twice those that differ, most first.
-            ranked = sorted(self.fits(own, low, high), key=lambda f: (not self.same(f[1], f[2].steps), 2 * len(f[2].steps) - f[0], f[2].start, f[1]))
-            chosen: list[tuple[int, str, Fit]] = []
+            stretch = text[spans[low][0] : spans[high - 1][1]] if low < high else ""
+            won = self.best_fits(own, low, high, stretch) if cue.search(stretch) else None
+            if won is None:
+                continue
+            name, found, sure = won
             taken = np.zeros(high - low, bool)
-            for n, name, one in ranked:
-                if not taken[one.start - low : one.end - low].any():
-                    taken[one.start - low : one.end - low] = True
-                    chosen.append((n, name, one))
-            ends: list[tuple[int, int]] = []
-            for n, name, one in chosen:
-                sure = self.same(name, one.steps)
+            for one in found:
+                taken[one.start - low : one.end - low] = True
+            edges = []
+            for one in found:
                 if not sure:
-                    one = self.replaced(one, n, own, spans, text, taken, low)
+                    one = self.replaced(one, len(self.words[name]), own, spans, text, taken, low)
                 start, end = spans[one.start][0], spans[one.end - 1][1]
                 while end < len(text) and not text[end].isspace() and not text[end].isalnum():
                     end += 1
-                ends.append((one.start, one.end))
+                edges += [one.start, one.end]
                 gone, more = one.listed()
                 covered.append((start, end))
                 rows.append({
                     "start": start, "end": end, "license": name, "reduction": self.reduction(text[start:end], name), "missing": len(gone),
                     "added": len(more), "differences": gone + more, "confirmed": sure,
                 })
-            if len(ranked) > len(chosen):  # some overlapped what is now out; the rest may hold them still
-                edges = [low, *(edge for pair in sorted(ends) for edge in pair), high]
-                open_ += [(a, b) for a, b in zip(edges[::2], edges[1::2]) if a < b]
+            edges = [low, *sorted(edges), high]
+            open_ += [(a, b) for a, b in zip(edges[::2], edges[1::2]) if a < b]
         covered.sort()
         for low, high in zip([0, *(end for _, end in covered)], [*(start for start, _ in covered), len(text)]):
             for start, end in blocks(text[low:high]):

@@ -193,3 +193,119 @@ def test_toxicity_knows_misspellings():
     new = [" ".join(choose.choices(plain, k=60)) for _ in range(40)]
     clean, toxic, odd = score(new), score([t + " stupid idiot" for t in new]), score([t + " stupidd idiott" for t in new])
     assert (toxic > 0.5).mean() > 0.95 and (clean < 0.5).mean() > 0.95 and odd.mean() > clean.mean() + 0.2
+
+
+def test_license_scan_of_a_table_is_that_of_plain_ranking(spark):
+    """Templates ranked by how much they compress the text, the first whose words stand in it one after another."""
+    import zstandard
+
+    templates = {**license_scan.TEMPLATES, **{n: t for n, t in license_scan.WHOLE.items() if len(t) < 4000}}
+    around = ("Some words before it.\n\n", "\n\nAnd some more words after it, as ever.")
+    texts = [(i, around[0] + " ".join(t.split()) + around[1]) for i, t in enumerate(templates.values())]
+
+    def plain(text):
+        own = f" {' '.join(license_scan.words(text))} "
+        size = lambda d: len(zstandard.ZstdCompressor(level=license_scan.LEVEL, **d).compress(text.encode()))
+        given = {n: size({"dict_data": zstandard.ZstdCompressionDict(t.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)}) for n, t in templates.items()}
+        return next(n for n in sorted(templates, key=lambda n: (given[n], n)) if f" {' '.join(license_scan.words(templates[n]))} " in own)
+
+    rows = license_scan.licenses(odd_docs(spark, texts), templates).where("confirmed").collect()
+    found = {i: [r.license for r in rows if r.doc_id == i] for i, _ in texts}
+    for i, text in texts:
+        assert plain(text) in found[i], (list(templates)[i], found[i])
+
+
+def test_reduction_decides_among_confirmed_templates():
+    """Both templates stand in the text; the one that compresses it better wins, whatever their names and order."""
+    short, long = "Licensed under the Foo License.", "Licensed under the Foo License. No warranty of any kind is given with it."
+    text = f"Words before.\n\n{long}\n\nWords after."
+    for names in (("a", "b"), ("b", "a")):
+        (row,) = [r for r in license_scan.Scanner({names[0]: short, names[1]: long}).scan(text) if r["confirmed"]]
+        assert row["license"] == names[1]
+    scanner = license_scan.Scanner({"a": short, "b": long})
+    scanner.reductions = lambda block, templates: sorted(((0.0, n) for n in templates), key=lambda r: r[1])
+    assert scanner.scan(text)[0]["license"] == "a"
+
+
+def test_long_runs_of_marks_are_read_once():
+    import time
+
+    started = time.perf_counter()
+    assert license_scan.words("-" * 1_000_000 + " a--b " + "./" * 500_000) == ["a--b"]
+    assert license_scan.Scanner().scan("All rights reserved. " + "-" * 1_000_000)[0]["license"] == "Proprietary"
+    assert time.perf_counter() - started < 10
+
+
+def test_language_is_that_of_a_plain_back_off(spark):
+    docs = table(spark, SF_DIR, "documents").select("doc_id", "lang", "text")
+    model = language_id.train(docs.select("lang", "text"))
+    # Counts anew, in plain Python.
+    import regex
+    from collections import Counter
+
+    rows = [(r.lang, regex.findall(r"\p{L}+", r.text.lower())) for r in docs.where("lang is not null and text is not null").collect()]
+    words, grams = Counter(), Counter()
+    for lang, found in rows:
+        for word in found:
+            words[word, lang] += 1
+            marked = f"<{word}>"
+            for size in range(1, 6):
+                for at in range(len(marked) - size + 1):
+                    grams[marked[at : at + size], lang] += 1
+    languages = sorted({lang for lang, _ in rows})
+    total = lambda counts: Counter({k: sum(counts[k, lang] for lang in languages) for k in {k for k, _ in counts}})
+    known = {k for k, n in total(words).items() if n >= 2}, {k for k, n in total(grams).items() if n >= 3}
+    assert model.languages == languages and set(model.words) == known[0] and set(model.grams) == known[1]
+
+    def log(item, counts, group):
+        return [np.log((counts[item, lang] + 0.5) / (sum(counts[k, lang] for k in group) + 0.5 * len(group))) for lang in languages]
+
+    by_size = {n: [g for g in known[1] if len(g) == n] for n in range(1, 6)}
+    sums = {n: [sum(grams[g, lang] for g in group) for lang in languages] for n, group in by_size.items()}
+    word_sums = [sum(words[w, lang] for w in known[0]) for lang in languages]
+
+    def score(word):
+        if word in known[0]:
+            logs = np.array([np.log((words[word, lang] + 0.5) / (t + 0.5 * len(known[0]))) for lang, t in zip(languages, word_sums)])
+        else:
+            logs, marked, at = np.zeros(len(languages)), f"<{word}>", 0
+            while at < len(marked):
+                size = next((n for n in range(min(5, len(marked) - at), 0, -1) if marked[at : at + n] in known[1]), 1)
+                gram = marked[at : at + size]
+                if gram in known[1]:
+                    logs = logs + [np.log((grams[gram, lang] + 0.5) / (t + 0.5 * len(by_size[size]))) for lang, t in zip(languages, sums[size])]
+                at += size
+        return np.maximum(logs - logs.max(), language_id.WORST)
+
+    texts = [r for r in docs.limit(25).collect()] + [type("R", (), {"doc_id": -1 - i, "text": t}) for i, t in enumerate(("zzyx qu", "", "12 !!", "schxyz der unseenwörd"))]
+    found = {r.doc_id: r for r in language_id.identify(spark.createDataFrame([(r.doc_id, r.text) for r in texts], "doc_id long, text string"), model).collect()}
+    for r in texts:
+        own = regex.findall(r"\p{L}+", (r.text or "").lower())
+        if not own:
+            assert (found[r.doc_id].lang_pred, found[r.doc_id].score) == ("und", 0.0)
+            continue
+        logs = sum(score(w) for w in own) * min(1.0, language_id.EVIDENCE / len(own))
+        share = np.exp(logs - logs.max())
+        assert found[r.doc_id].lang_pred == languages[int(share.argmax())]
+        assert found[r.doc_id].score == pytest.approx(share.max() / share.sum(), abs=1e-4)
+
+
+def test_remembered_scores_start_anew_and_change_nothing():
+    model = language_id.LanguageModel.of_counts(["de", "en"], {"the": [0, 9], "der": [9, 0]}, {"sch": [5, 0], "ing": [0, 5], "s": [3, 3], "i": [3, 3]})
+    texts = [f"the word{i} der schs{i} ing" for i in range(300)] + ["der der", None, ""]
+    import pyarrow as pa
+
+    batches = [pa.RecordBatch.from_pydict({"text": pa.array(texts[at : at + 50], pa.string())}) for at in range(0, len(texts), 50)]
+    small, large = model.batch_predictor(remembered=1000), model.batch_predictor()
+    for batch in batches:
+        (a, x), (b, y) = small(batch), large(batch)
+        assert a == b and np.allclose(x, y, atol=1e-6)
+
+
+@pytest.mark.parametrize("n", [68, 300])
+def test_quality_rules_of_a_small_sample(n):
+    random_ = np.random.default_rng(1)
+    x = random_.normal(size=(n, len(quality_rules.STATISTICS)))
+    y = (x[:, 3] > 0.8).astype(int)
+    model = quality_rules.fit(x, y)
+    assert model.rules and area(model.scores(x), y) > 0.9
