@@ -24,7 +24,8 @@ from curbflow.session import cut_lineage
 
 # Vectors that centroids, probes and bounds are fitted on, at most. Every vector is in the index.
 SAMPLE = 20_000
-MOST_LISTS = 1024
+# Lists grow with the root of the table up to so many, with so many sampled vectors a list at least.
+MOST_LISTS, SAMPLED_A_LIST = 1024, 16
 # Sampled vectors that a query's bound is taken from.
 SEEDS = 8192
 # Share of the sample's true neighbours that the probed lists must hold.
@@ -95,7 +96,7 @@ def centroids_of(x: np.ndarray, lists: int, rounds: int = 10, seed: int = 1) ->
 
 def fit(ids: np.ndarray, x: np.ndarray, total: int, longest: float, k: int, target: float = TARGET) -> Index:
     """Centroids, rotation and probes from sampled vectors; ``total`` is the number of all vectors."""
-    lists = int(np.clip(np.sqrt(total) / 2, 1, min(MOST_LISTS, max(1, len(x) // (4 * k)))))
+    lists = int(np.clip(np.sqrt(total) / 2, 1, min(MOST_LISTS, max(1, len(x) // SAMPLED_A_LIST))))
     turned = np.linalg.qr(np.random.default_rng(2).normal(size=(x.shape[1] + 1,) * 2))[0].astype(np.float32)
     index = Index(longest, turned, np.zeros((1, x.shape[1] + 1), np.float32), ids[:SEEDS], x[:SEEDS], np.zeros(0, int), lists, k)
     lifted = index.lifted(x)
@@ -213,6 +214,21 @@ def neighbours(vectors: DataFrame, every: int = 20, k: int = 20, key: str = "vec
     listed = cut_lineage(map_arrow(rows.select("*", blank), into_lists, "list int", "none", keep=True).drop("none"))
     asked = map_arrow(rows.where(F.col("vec_id") % every == 0).select("*", blank), into_probes, "floor double, lists array<int>", "none", keep=True)
     asked = cut_lineage(asked.select("vec_id", "embedding", "floor", "lists"))
+    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = lambda found: found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = cut_lineage(best(scored(index, listed, asked)))
+    # A candidate that was abandoned in error may leave a query short; such queries are held against every vector.
+    full = found.groupBy(F.col("query_id").alias("vec_id")).count().where(F.col("count") >= min(k, total - 1)).select("vec_id")
+    short = cut_lineage(asked.join(full, "vec_id", "left_anti"))
+    if total == 1 or short.isEmpty():
+        return found
+    every_list = F.sequence(F.lit(0), F.lit(len(index.centroids) - 1))
+    again = best(scored(index, listed, short.withColumns({"floor": F.lit(float("-inf")), "lists": every_list})))
+    return found.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").select(*again.columns).unionByName(again)
+
+
+def scored(index: Index, listed: DataFrame, asked: DataFrame) -> DataFrame:
+    """Rows (query_id, vec_id, score): the best of each cell of vectors for each query that probes its list."""
     # At most MOST_LISTS rows: how many shards a list is cut into, and its queries into how many blocks.
     sizes = listed.groupBy("list").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("shards"))
     calls = asked.select(F.explode("lists").alias("list")).groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
@@ -228,8 +244,6 @@ def neighbours(vectors: DataFrame, every: int = 20, k: int = 20, key: str = "vec
         .select("list", "shard", "block", "vec_id", "embedding", "floor")
     )
     cell = ["list", "shard", "block"]
-    found = stored.groupBy(*cell).cogroup(called.groupBy(*cell)).applyInArrow(
+    return stored.groupBy(*cell).cogroup(called.groupBy(*cell)).applyInArrow(
         lambda own, queries: best_of_cell(index, own, queries), "query_id long, vec_id long, score double"
     )
-    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
