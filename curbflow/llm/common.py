@@ -19,7 +19,7 @@ from curbflow.session import ensure_checkpoint_dir
 cloudpickle.register_pickle_by_value(curbflow)
 
 # Text bytes that a task holds unpacked at once; a longer single text comes alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

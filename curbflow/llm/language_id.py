@@ -35,7 +35,7 @@ EVIDENCE = 25
 WORST = -12.0
 UNKNOWN = "und"
 # Bytes of parts, and of words, whose scores a task remembers.
-REMEMBERED = 32 << 20
+REMEMBERED = 16 << 20
 
 
 class ScoreRows:
