@@ -31,6 +31,7 @@ class Choices:
     include_case_6: bool = False  # bins matched by case 6 alone move too
     mark_other_vehicle: bool = False  # cases 5 and 6 mark the stop
     keep_known_waste: bool = False  # an unknown waste weight counts as 0
+    carry_positions: bool = False  # the first ping of a vehicle has a segment from its last position in earlier batches
     rules: SweepRules = CURRENT
 
 
@@ -103,11 +104,13 @@ class Batch:
 
     @cached_property
     def locations(self) -> DataFrame:
-        return sweeping.street_proximity(sweep_reads(self.fleet.pings), self.fleet)
+        near = sweeping.street_proximity(sweep_reads(self.fleet.pings), self.fleet)
+        return cut_lineage(near) if self.choices.carry_positions else near
 
     @cached_property
     def totals(self) -> DataFrame:
-        return cut_lineage(sweeping.driven_streets(self.locations, self.choices.rules))
+        before = self.fleet.last_positions if self.choices.carry_positions else None
+        return cut_lineage(sweeping.driven_streets(self.locations, self.choices.rules, before))
 
     @cached_property
     def streets(self) -> DataFrame:
@@ -192,8 +195,9 @@ class Batch:
         Needs ``now``.
         """
         fleet, levels = self.fleet, self.levels
+        carried = {"last_positions": sweeping.last_positions(self.locations, fleet.last_positions)} if self.choices.carry_positions else {}
         stop_columns = [name for name in fleet.stops.columns if name in self.added_stops.columns]
-        return {
+        return carried | {
             "tag_references": new_tag_references(self.lifts, fleet.tag_references).drop("tag_key"),
             "bins": lifting.bin_last_completion(self.moved_bins, self.matches),
             "streets": self.changed_streets,

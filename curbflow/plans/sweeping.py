@@ -191,15 +191,36 @@ def street_completion(streets: DataFrame) -> DataFrame:
     )
 
 
-def driven_streets(locations: DataFrame, rules: SweepRules = CURRENT) -> DataFrame:
+# A vehicle's last position, as one batch leaves it for the next.
+LAST_POSITION = "vehicle_id bigint, movement_time timestamp_ntz, longitude double, latitude double"
+
+
+def driven_streets(locations: DataFrame, rules: SweepRules = CURRENT, before: DataFrame | None = None) -> DataFrame:
     """Locations to street totals. All later sweeping steps start from this frame, not from the pings.
 
     The flags look at one ping only, so they are set before the shuffle of the
-    lag and the raw inputs do not travel.
+    lag and the raw inputs do not travel. ``before`` has the last position of each vehicle in earlier batches; without
+    it a vehicle's first ping has no segment.
     """
     columns = ("ping_id", "trip_summary_id", "vehicle_id", "company_id", "movement_time", "longitude", "latitude", *STREET_KEYS)
     flagged = validity_flags(locations, rules).select(*columns, "gps_on", "water_on", "brush_on", "valid")
-    return street_totals(segment_metres(ping_segments(flagged)))
+    if before is None:
+        return street_totals(segment_metres(ping_segments(flagged)))
+    out = before.join(flagged.select("vehicle_id").distinct(), "vehicle_id", "left_semi")
+    carried = flagged.withColumn("carried", F.lit(False)).unionByName(out.withColumn("carried", F.lit(True)), allowMissingColumns=True)
+    return street_totals(segment_metres(ping_segments(carried)).where("not carried").drop("carried"))
+
+
+def last_positions(locations: DataFrame, before: DataFrame) -> DataFrame:
+    """The latest position of each vehicle with locations, in the order that segments are taken in."""
+    order = ["movement_time", "stop_order", "stop_summary_id", "ping_id", "trip_summary_id"]
+    last = F.max(F.struct(*order, "longitude", "latitude")).alias("last")
+    new = locations.groupBy("vehicle_id").agg(last).select("vehicle_id", "last.movement_time", "last.longitude", "last.latitude")
+    known = before.join(new.select("vehicle_id"), "vehicle_id", "left_semi").select(*new.columns)
+    # The new one wins where both are of one moment.
+    both = new.withColumn("new", F.lit(1)).unionByName(known.withColumn("new", F.lit(0)))
+    last = F.max(F.struct("movement_time", "new", "longitude", "latitude")).alias("last")
+    return both.groupBy("vehicle_id").agg(last).select("vehicle_id", "last.movement_time", "last.longitude", "last.latitude")
 
 
 def swept_streets(locations: DataFrame, rules: SweepRules = CURRENT) -> DataFrame:

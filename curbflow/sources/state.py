@@ -32,18 +32,23 @@ KEYS: dict[str, tuple[str, ...]] = {
     "bins": ("id",),
     "contract_groups": ("contract_id", "group_id"),
     "contracts": ("id",),
-    "creation_clock": ("id",),
-    "history_clock": ("id",),
-    "known_tags": ("tag_key",),
-    "plan_trip_counts": ("plan_id",),
     "plans": ("id",),
     "service_log": ("id",),
     "services": ("id",),
     "stop_summaries": ("id",),
     "streets": ("id",),
-    "tag_history": ("tag_key", "vehicle_id"),
     "trip_summaries": ("id",),
     "trips": ("id",),
+}
+
+# Tables that are kept from run to run only if they were started (see ``curbflow.streaming.ping_stream``).
+KEPT_KEYS: dict[str, tuple[str, ...]] = {
+    "creation_clock": ("id",),
+    "history_clock": ("id",),
+    "known_tags": ("tag_key",),
+    "last_positions": ("vehicle_id",),
+    "plan_trip_counts": ("plan_id",),
+    "tag_history": ("tag_key", "vehicle_id"),
     "vehicle_history": ("vehicle_id",),
 }
 
@@ -65,6 +70,11 @@ ADDED_COLUMNS: dict[str, dict[str, str]] = {
 }
 
 
+def keys_of(name: str) -> tuple[str, ...] | None:
+    """The key columns of a table whose rows change; None if its rows only grow."""
+    return KEYS.get(name) or KEPT_KEYS.get(name)
+
+
 class StateTables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
@@ -136,7 +146,7 @@ class StateTables:
 
     def _check_keys(self, name: str, stored: DataFrame) -> None:
         """Two rows of one key in a run would hide one another."""
-        keys = KEYS.get(name)
+        keys = keys_of(name)
         if keys is None:
             return
         twice = stored.groupBy(*keys).count().where("count > 1").take(1)
@@ -167,7 +177,7 @@ class StateTables:
             # No row changes its day, so the days are chosen before the latest change is, and other folders are not read.
             stored = stored.withColumn(TRIP_DAY, F.col(TRIP_DAY).cast("date"))
             stored = stored if days is None else stored.where(days)
-        keys = KEYS.get(name)
+        keys = keys_of(name)
         if keys is None:
             return stored.drop(ORDER)
         base_order = runs[0][0] if runs and runs[0][2] else 0
@@ -182,7 +192,7 @@ class StateTables:
         runs = [run for number, run, _ in self.runs(name) if number > order]
         stored = self.spark.read.parquet(f"{self.root}/{name}")
         changed = stored.where(F.col("run").isin(runs) & (F.col(ORDER) > order)).drop("run")
-        keys = KEYS.get(name)
+        keys = keys_of(name)
         return (changed if keys is None else first_per(changed, keys, [F.desc(ORDER)])).drop(ORDER)
 
     def last_order(self) -> int:

@@ -21,7 +21,7 @@ from pyspark.sql.types import (
 from curbflow.functions.time import timestamp_lit
 from curbflow.plans.batch import Batch, Choices
 from curbflow.plans.history import TRIP_DAY, History, by_vehicle, first_history
-from curbflow.plans.sweeping import with_cells
+from curbflow.plans.sweeping import LAST_POSITION, with_cells
 from curbflow.plans.trip_creation import Kept, TripRun, advance_status, counts_forward, started_trips_of_plans
 from curbflow.session import cut_lineage
 from curbflow.sources.state import StateTables, StoredFleet
@@ -90,6 +90,8 @@ def apply_batch(
 def batch_changes(state: StateTables, pings: DataFrame, now: dt.datetime, choices: Choices) -> dict[str, DataFrame]:
     """Rows that every table takes from a batch, the kept history among them if there is one."""
     fleet = StoredFleet(state, pings)
+    if choices.carry_positions and "last_positions" not in state.tables():
+        fleet.put("last_positions", state.spark.createDataFrame([], LAST_POSITION))
     all_trips, all_stops = fleet.trips, fleet.stops
     history = stored_history(state)
     first_ping = pings.agg(F.min("movement_time")).first()[0]

@@ -8,7 +8,8 @@ import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
-from curbflow.plans import matching
+from curbflow.plans import matching, sweeping
+from curbflow.plans.batch import Batch, Choices
 from curbflow.plans.history import History, by_tag, by_vehicle, first_history, tags_of
 from curbflow.plans.trip_creation import started_trips_of_plans
 from curbflow.session import cut_lineage
@@ -127,3 +128,34 @@ def test_creation_on_kept_counts_makes_the_same_trips(spark, tmp_path_factory):
     assert kept.read("crew_trips").where("crew_id = 777").count() > 0
     want = started_trips_of_plans(kept.read("trips"), clock["as_of"])
     assert as_rows(kept.read("plan_trip_counts"), *want.columns) == as_rows(want, *want.columns)
+
+
+def test_positions_carried_over_join_two_batches(spark):
+    """Two batches that carry positions drive as far as one; without, the segments over the border are lost."""
+    locations = cut_lineage(Batch(DerivedFleet(spark, SF_DIR)).locations)
+    border = locations.select(F.percentile_approx("movement_time", 0.5)).first()[0]
+    early = F.col("movement_time") <= F.lit(str(border)).cast("timestamp_ntz")
+    none = spark.createDataFrame([], sweeping.LAST_POSITION)
+    sums = lambda *frames: {
+        tuple(r)[:2]: round(r.m, 6)
+        for r in frames[0].unionByName(frames[-1]).groupBy("stop_summary_id", "vehicle_type").agg((F.sum("gps_metres") / (3 - len(frames))).alias("m")).collect()
+        if r.m
+    }
+    whole = sweeping.driven_streets(locations)
+    first = sweeping.driven_streets(locations.where(early), before=none)
+    kept = cut_lineage(sweeping.last_positions(locations.where(early), none))
+    second = sweeping.driven_streets(locations.where(~early), before=kept)
+    assert sums(first, second) == sums(whole)
+    assert sums(first, sweeping.driven_streets(locations.where(~early))) != sums(whole)
+    after = as_rows(sweeping.last_positions(locations.where(~early), kept).unionByName(kept.join(locations.where(~early).select("vehicle_id"), "vehicle_id", "left_anti")), "vehicle_id", "movement_time", "longitude", "latitude")
+    assert after == as_rows(sweeping.last_positions(locations, none), "vehicle_id", "movement_time", "longitude", "latitude")
+
+
+def test_the_stream_carries_positions_when_asked(spark, tmp_path):
+    fleet = DerivedFleet(spark, SF_DIR)
+    state = StateTables(spark, str(tmp_path / "state"))
+    first_fill(state, "load", {name: getattr(fleet, name) for name in TABLES if name not in SCRATCH})
+    for day in (3, 4):
+        pings = fleet.pings.where(f"to_date(movement_time) = date '2024-01-0{day}'")
+        assert apply_batch(state, pings, f"day-{day}", choices=Choices(carry_positions=True)) == 1
+    assert state.read("last_positions").count() > 0
