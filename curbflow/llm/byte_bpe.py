@@ -32,7 +32,7 @@ from curbflow.llm.common import keyed_texts
 
 # Words that are folded once, the most bytes of such a word, and about how many documents they are counted in.
 # All other words are folded where they stand; the choice changes the cost and no result.
-FREQUENT, FREQUENT_BYTES, COUNTED = 262_144, 32, 50_000
+FREQUENT, FREQUENT_BYTES, COUNTED = 65_536, 32, 50_000
 PART = 128
 # Small maps that a literal map is dealt out to.
 SLOTS = 1 << 16
