@@ -5,10 +5,10 @@ rank of every two neighbours in a literal map, joins all places of the lowest
 rank, and goes on until no two neighbours have a rank. Ids are the ranks of the
 pieces that are left; decoding puts the bytes of the ids' pieces together.
 
-The words that stand in most documents are folded once and travel as a literal
-map too; every other word is folded where it stands, so no word is a row between
-tasks. Both maps are lists of small maps, found by the crc32 of the key, since
-Spark searches a map from its first key on.
+The words that stand in most documents are folded once and travel as a map too,
+the value of a subquery; every other word is folded where it stands, so no word
+is a row between tasks. Both maps are lists of small maps, found by the crc32 of
+the key, since Spark searches a map from its first key on.
 
 Words of over ``2 * PART`` bytes are folded in parts of ``PART`` bytes and in
 zones over each border of two parts. Where a part and a zone have the same piece
@@ -28,14 +28,16 @@ from dataclasses import dataclass
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, functions as F
 
-from curbflow.llm.common import keyed_texts
+from curbflow.llm.common import keyed_texts, written
 
 # Words that are folded once, the most bytes of such a word, and about how many documents they are counted in.
 # All other words are folded where they stand; the choice changes the cost and no result.
 FREQUENT, FREQUENT_BYTES, COUNTED = 65_536, 32, 50_000
 PART = 128
-# Small maps that a literal map is dealt out to.
-SLOTS = 1 << 16
+# Small maps that a literal map is dealt out to, and that the map of frequent words is.
+SLOTS, WORD_SLOTS = 1 << 16, 1 << 16
+# The rank of two pieces that are none together.
+NONE = 2**31 - 1
 
 # Letters and numbers that the pattern's library knows and that Java 17 (Unicode 13) does not.
 NEWER_LETTERS = (
@@ -76,9 +78,9 @@ def literal_map(entries: dict[str, object], values: str) -> Column:
     return F.from_json(F.lit(json.dumps(slots, separators=(",", ":"))), f"array<map<string,{values}>>")
 
 
-def found(entries: Column, key: Column) -> Column:
+def found(entries: Column, key: Column, slots: int = SLOTS) -> Column:
     """The value of a key in a literal map; null if there is none."""
-    return F.element_at(F.get(entries, F.crc32(key) % SLOTS), key)
+    return F.element_at(F.get(entries, F.crc32(key) % slots), key)
 
 
 @dataclass
@@ -109,8 +111,35 @@ def tail(parts: Column) -> Column:
 
 
 def folded(parts: Column, known: Column) -> Column:
-    """The pieces of an array of bytes after all merges. Each step joins all neighbours of the lowest rank at once, which is
-    what joining them one by one from the left gives: a join makes no neighbours of a lower rank."""
+    """The pieces of an array of bytes after all merges. Each step joins the first two neighbours of the lowest rank."""
+    none = F.lit(NONE)
+    rank = lambda a, b: F.coalesce(found(known["ranks"], F.concat(a, b)), none)
+    # Rank j is that of pieces j - 1 and j together; NONE where the two are no piece, and at both ends.
+    state = lambda pieces, ranks: F.struct(pieces.alias("pieces"), ranks.alias("ranks"))
+
+    def step(s: Column, _: Column) -> Column:
+        pieces, ranks = s["pieces"], s["ranks"]
+
+        def join(best: Column) -> Column:
+            piece = F.get(known["pieces"], best)
+
+            def at(j: Column) -> Column:
+                # Slice and flatten copy whole arrays at once, where a lambda would be worked out for each piece.
+                around = lambda row, middle, after: F.flatten(F.array(F.slice(row, F.lit(1), j - 1), middle, F.slice(row, after, F.size(row))))
+                beside = F.array(rank(F.get(pieces, j - 2), piece), rank(piece, F.get(pieces, j + 1)))
+                return state(around(pieces, F.array(piece), j + 2), around(ranks, beside, j + 3))
+
+            return F.when(best == none, s).otherwise(let((F.array_position(ranks, best) - 1).cast("int"), at))
+
+        return let(F.array_min(ranks), join)
+
+    start = state(parts, F.concat(F.array(none), F.zip_with(parts, tail(parts), rank)))
+    return F.aggregate(F.sequence(F.lit(1), F.size(parts)), start, step)["pieces"]
+
+
+def folded_at_once(parts: Column, known: Column) -> Column:
+    """What ``folded`` gives. Each step joins all neighbours of the lowest rank at once, which is what joining them one by
+    one from the left gives: a join makes no neighbours of a lower rank. A step costs more, and long words need few."""
     stale = F.lit(-1)
     rank = lambda a, b: found(known["ranks"], F.concat(a, b))
     # Each piece with the rank that it has together with the next one; null where the two are no piece.
@@ -187,21 +216,32 @@ def word_ids(word: Column, known: Column, part: int = PART) -> Column:
     """The ids of a word."""
 
     def ids(parts: Column) -> Column:
-        short = folded(parts, known)
-        pieces = F.when(F.size(parts) > 2 * part, F.coalesce(stitched(parts, known, part), short)).otherwise(short)
+        longer = F.coalesce(stitched(parts, known, part), folded_at_once(parts, known))
+        pieces = F.when(F.size(parts) > 2 * part, longer).otherwise(folded(parts, known))
         return F.transform(pieces, lambda piece: found(known["ranks"], piece))
 
     return let(F.regexp_extract_all(F.hex(word), F.lit(".."), F.lit(0)), ids)
 
 
-def frequent_words(words: DataFrame, ranks: Ranks, most: int = FREQUENT, most_bytes: int = FREQUENT_BYTES, counted: int = COUNTED) -> dict[str, list[int]]:
-    """Ids of the words that stand in most of about ``counted`` rows of ``words`` (doc_id, words), at most ``most`` words of few bytes."""
+def frequent_words(words: DataFrame, ranks: Ranks, most: int = FREQUENT, most_bytes: int = FREQUENT_BYTES, counted: int = COUNTED) -> DataFrame:
+    """Rows (word, ids), settled, of the words that stand in most of about ``counted`` rows of ``words`` (doc_id, words), at most
+    ``most`` words of few bytes."""
     share = counted / max(counted, words.count())
     drawn = words.where(F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(1_000_000)) < int(share * 1_000_000))
     each = drawn.select(F.explode(F.array_distinct("words")).alias("word")).where(F.octet_length("word") <= most_bytes)
     often = each.groupBy("word").count().orderBy(F.desc("count"), "word").limit(most).select("word")
-    coded = often.repartition(64).select("word", let(ranks.literals(), lambda known: word_ids(F.col("word"), known)).alias("ids"))
-    return {row["word"]: row["ids"] for row in coded.collect()}
+    return written(often.repartition(24).select("word", let(ranks.literals(), lambda known: word_ids(F.col("word"), known)).alias("ids")))
+
+
+def settled_map(entries: DataFrame) -> Column:
+    """A literal map (see ``found``) of the rows (word, ids), which Spark puts in place of a subquery when the query starts.
+
+    It never goes through Python, and tasks read it as one block of bytes."""
+    slot = (F.crc32("word") % WORD_SLOTS).alias("slot")
+    dealt = entries.groupBy(slot).agg(F.collect_list("word").alias("words"), F.collect_list("ids").alias("ids"))
+    empty = entries.sparkSession.range(WORD_SLOTS).select(F.col("id").alias("slot"))
+    slots = empty.join(dealt, "slot", "left").agg(F.sort_array(F.collect_list(F.struct("slot", "words", "ids"))).alias("slots"))
+    return slots.select(F.transform("slots", lambda x: F.map_from_arrays(x["words"], x["ids"]))).scalar()
 
 
 def encode(docs: DataFrame, ranks: Ranks, key: str = "doc_id", text: str = "text", pattern: str = public_tokenizers.PATTERN, most: int = FREQUENT) -> DataFrame:
@@ -211,9 +251,10 @@ def encode(docs: DataFrame, ranks: Ranks, key: str = "doc_id", text: str = "text
     no rows. Texts and words may be of any length. Other columns are ignored, whatever their names.
     """
     words = keyed_texts(docs, key, text).select("doc_id", words_of(F.coalesce("text", F.lit("")), pattern).alias("words"))
-    frequent = literal_map(frequent_words(words, ranks, most), "array<int>")
-    known = F.struct(ranks.literals().alias("vocabulary"), frequent.alias("frequent"))
-    of_word = lambda at: lambda word: F.coalesce(found(at["frequent"], word), word_ids(word, at["vocabulary"]))
+    # Within a lambda Spark takes a column that stands for a subquery, and no subquery.
+    words = words.withColumn("frequent", settled_map(frequent_words(words, ranks, most)))
+    known = F.struct(ranks.literals().alias("vocabulary"), "frequent")
+    of_word = lambda at: lambda word: F.coalesce(found(at["frequent"], word, WORD_SLOTS), word_ids(word, at["vocabulary"]))
     return words.select("doc_id", let(known, lambda at: F.flatten(F.transform("words", of_word(at)))).alias("ids"))
 
 

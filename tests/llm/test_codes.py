@@ -229,3 +229,25 @@ def test_whole_table_round_trip(spark, ranks, library):
         ids = library.encode_ordinary(doc.text or "")
         assert rows[doc.doc_id].n_tokens == len(ids) and rows[doc.doc_id].ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert rows[doc.doc_id].decoded_sha256 == hashlib.sha256((doc.text or "").encode()).hexdigest()
+
+
+def test_one_join_a_step_gives_what_all_at_once_give(spark, ranks, library):
+    from pyspark.sql import functions as F
+
+    choose = random.Random(11)
+    texts = ["a", "aa", "aaa", "ababababa", "--------", *("".join(choose.choices("aeinrst", k=n)) for n in (2, 5, 9, 17, 40, 200))]
+    docs = spark.createDataFrame([(t,) for t in texts], "t string")
+    parts = F.regexp_extract_all(F.hex("t"), F.lit(".."), F.lit(0))
+    both = lambda k: F.struct(byte_bpe.folded(parts, k).alias("first"), byte_bpe.folded_at_once(parts, k).alias("all"))
+    for text, (row,) in zip(texts, docs.select(byte_bpe.let(ranks.literals(), both)).collect()):
+        assert list(row["first"]) == list(row["all"])
+        assert [ranks.by_bytes[bytes.fromhex(p)] for p in row["first"]] == library.encode_ordinary(text)
+
+
+def test_frequent_words_are_no_part_of_the_plan(spark, ranks):
+    """They are a subquery's value: no literal in Python or in the plan, and no column that every row would carry."""
+    docs = spark.createDataFrame([(1, "zeventy zeventy"), (2, "zeventy words")], "doc_id long, text string")
+    plan = byte_bpe.encode(docs, ranks)._jdf.queryExecution().optimizedPlan()
+    assert "zeventy" not in plan.toString().replace("zeventy zeventy", "").replace("zeventy words", "")
+    assert plan.toString().count("scalar-subquery") == 1 and len(plan.output().mkString(",").split(",")) == 2
+    assert not plan.children().head().output().mkString(",").count("frequent")
