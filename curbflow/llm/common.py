@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -62,6 +63,14 @@ def bytes_of(batch: pa.RecordBatch, column: str = "text") -> tuple[np.ndarray, n
     return flat, offsets - offsets[0]
 
 
+def give_back() -> None:
+    """Give freed memory back to the system. Workers wait for their next task, of any operator, and would keep what the last one freed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_arrow(
     df: DataFrame, build: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str, column: str = "text", keep: bool = False
 ) -> DataFrame:
@@ -73,6 +82,7 @@ def map_arrow(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = build()
+        part = out = values = None
         for part in slices(batches, column):
             out = work(part)
             values = [*part.columns, *(out[f.name] for f in made)] if keep else [out[f.name] for f in made]
@@ -80,6 +90,8 @@ def map_arrow(
                 [v.cast(f.type) if isinstance(v, (pa.Array, pa.ChunkedArray)) else pa.array(v, f.type) for f, v in zip(arrow, values)],
                 schema=arrow,
             )
+        del work, part, out, values
+        give_back()
 
     return df.mapInArrow(run, struct)
 
@@ -95,6 +107,7 @@ def beside_rows(docs: DataFrame, build: Callable[[], Callable[[pa.RecordBatch],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = build()
+        batch = texts = part = out = values = None
         for batch in batches:
             texts = pc.struct_field(batch.column("row"), [place]).cast(pa.string())
             for part in slices(iter([pa.RecordBatch.from_arrays([batch.column("row"), texts], ["row", "text"])])):
@@ -104,6 +117,8 @@ def beside_rows(docs: DataFrame, build: Callable[[], Callable[[pa.RecordBatch],
                     [v.cast(f.type) if isinstance(v, (pa.Array, pa.ChunkedArray)) else pa.array(v, f.type) for f, v in zip(arrow, values)],
                     schema=arrow,
                 )
+        del work, batch, texts, part, out, values
+        give_back()
 
     return held.mapInArrow(run, struct)
 

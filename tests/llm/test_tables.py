@@ -15,7 +15,7 @@ from tables import ODD_TEXTS, SF_DIR, no_docs, odd_docs
 from tokenizers import Tokenizer
 
 from curbflow.llm import ann_search, decontamination, near_dedup, packing, warc_fixity
-from curbflow.llm.common import table
+from curbflow.llm.common import give_back, table
 from curbflow.llm.queries import ORACLES, QUERIES
 
 
@@ -377,3 +377,17 @@ def test_stages_bear_odd_rows(spark):
         assert stage(spark, no_docs(spark), SF_DIR).count() == 0
     once = corpus_pipeline.one_of_each(spark, docs, SF_DIR)
     assert once.where("doc_id = 1").count() == 2 and once.where("doc_id is null").count() == 2
+
+
+def test_freed_memory_goes_back_to_the_system():
+    """A block that stays above freed ones keeps them in the process until they are given back."""
+    def resident() -> float:
+        with open("/proc/self/statm") as file:
+            return int(file.read().split()[1]) * 4096 / 1e6
+
+    blocks = [bytearray(b"x") * 100_000 for _ in range(2_000)]
+    last = blocks[-1]
+    del blocks
+    held = resident()
+    give_back()
+    assert last and held - resident() > 100
