@@ -1,14 +1,15 @@
 """Byte-level BPE encoding and decoding with Spark's higher-order functions.
 
-A word's bytes are an array of pieces (as hexadecimal text). A fold looks up the
-rank of every two neighbours in a literal map, joins all places of the lowest
-rank, and goes on until no two neighbours have a rank. Ids are the ranks of the
-pieces that are left; decoding puts the bytes of the ids' pieces together.
+A word is a text with one character for each of its pieces, at first for each byte;
+the character stands for the piece's rank. A fold finds the ranks of every two
+neighbours in a literal map, joins the first two of the lowest rank, and goes on
+until no two neighbours have a rank. Ids are the ranks of the pieces that are
+left; decoding puts the bytes of the ids' pieces together.
 
-The words that stand in most documents are folded once and travel as a map too,
-the value of a subquery; every other word is folded where it stands, so no word
-is a row between tasks. Both maps are lists of small maps, found by the crc32 of
-the key, since Spark searches a map from its first key on.
+The words that stand in most documents are folded once and travel as a map, the
+value of a subquery; every other word is folded where it stands, so no word is a
+row between tasks. Maps are lists of small ones, found by the crc32 of the key,
+since Spark searches a map from its first key on; those of the literal are texts.
 
 Words of over ``2 * PART`` bytes are folded in parts of ``PART`` bytes and in
 zones over each border of two parts. Where a part and a zone have the same piece
@@ -20,7 +21,6 @@ folded as a whole.
 from __future__ import annotations
 
 import base64
-import json
 import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -32,12 +32,13 @@ from curbflow.llm.common import keyed_texts, written
 
 # Words that are folded once, the most bytes of such a word, and about how many documents they are counted in.
 # All other words are folded where they stand; the choice changes the cost and no result.
-FREQUENT, FREQUENT_BYTES, COUNTED = 65_536, 32, 50_000
+FREQUENT, FREQUENT_BYTES, COUNTED = 131_072, 32, 50_000
 PART = 128
-# Small maps that a literal map is dealt out to, and that the map of frequent words is.
+# Slots that a literal map is dealt out to, and small maps that the map of frequent words is.
 SLOTS, WORD_SLOTS = 1 << 16, 1 << 16
-# The rank of two pieces that are none together.
-NONE = 2**31 - 1
+# The character of rank r is that of code FIRST + r, past the surrogates. Characters that stand for no piece: at both ends of a
+# word, between the entries of a slot, between slots, and the rank of two pieces that are none together, the greatest.
+FIRST, EDGE, ENTRY, SLOT, NONE = 16, "\x01", "\x02", "\x03", "\U0010ffff"
 
 # Letters and numbers that the pattern's library knows and that Java 17 (Unicode 13) does not.
 NEWER_LETTERS = (
@@ -70,17 +71,32 @@ def let(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), then), 1)
 
 
-def literal_map(entries: dict[str, object], values: str) -> Column:
-    """A list of small maps; see ``found``. Spark makes it a literal when it plans."""
-    slots: list[dict[str, object]] = [{} for _ in range(SLOTS)]
-    for key, value in entries.items():
-        slots[zlib.crc32(key.encode()) % SLOTS][key] = value
-    return F.from_json(F.lit(json.dumps(slots, separators=(",", ":"))), f"array<map<string,{values}>>")
+def char_of(rank: int) -> str:
+    """The character of a rank."""
+    return chr(FIRST + rank + (0x800 if FIRST + rank >= 0xD800 else 0))
 
 
-def found(entries: Column, key: Column, slots: int = SLOTS) -> Column:
-    """The value of a key in a literal map; null if there is none."""
-    return F.element_at(F.get(entries, F.crc32(key) % slots), key)
+def rank_of(char: Column) -> Column:
+    """The rank that a character stands for."""
+    return F.ascii(char) - F.when(char < F.lit("\ue000"), FIRST).otherwise(FIRST + 0x800)
+
+
+def literal_map(entries: dict[str, str]) -> Column:
+    """A list of texts, each with the entries of a slot; see ``rank_in``. Spark makes it a literal when it plans."""
+    slots = [ENTRY + NONE] * SLOTS
+    for key, char in entries.items():
+        slots[zlib.crc32(key.encode()) % SLOTS] += ENTRY + key + ENTRY + char
+    return F.split(F.lit(SLOT.join(slots)), SLOT)
+
+
+def slot_of(entries: Column, key: Column, slots: int = SLOTS) -> Column:
+    return F.get(entries, F.crc32(key.cast("binary")) % slots)
+
+
+def rank_in(entries: Column, pair: Column) -> Column:
+    """The character of the rank that two characters have together in a literal map; NONE if there is none."""
+    # What stands after the pair, or the whole slot; in both the character is the second.
+    return F.substring(F.call_function("substring_index", slot_of(entries, pair), pair, F.lit(-1)), 2, 1)
 
 
 @dataclass
@@ -95,99 +111,137 @@ class Ranks:
         with open(path, "rb") as file:
             return cls({base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, file)})
 
+    def joins(self) -> dict[str, str]:
+        """The character of every piece by those of any two pieces that it is together."""
+        by_bytes, found = self.by_bytes, {}
+        for piece, rank in by_bytes.items():
+            for cut in range(1, len(piece)):
+                left, right = by_bytes.get(piece[:cut]), by_bytes.get(piece[cut:])
+                if left is not None and right is not None:
+                    found[char_of(left) + char_of(right)] = char_of(rank)
+        return found
+
     def literals(self) -> Column:
-        """The map of ranks, and lists of each rank's bytes and of each id as 4 bytes, all as hexadecimal text."""
+        """The map of joins, the characters of bytes, and lists of each rank's bytes and of each id as 4 bytes, both as hexadecimal text."""
         pieces = [""] * (1 + max(self.by_bytes.values()))
         for piece, rank in self.by_bytes.items():
             pieces[rank] = piece.hex().upper()
         numbers = [rank.to_bytes(4, "little").hex() for rank in range(len(pieces))]
         texts = lambda values: F.split(F.lit(",".join(values)), ",")
-        ranks = literal_map({piece: rank for rank, piece in enumerate(pieces) if piece}, "int")
-        return F.struct(ranks.alias("ranks"), texts(pieces).alias("pieces"), texts(numbers).alias("numbers"))
+        of_bytes = "".join(char_of(self.by_bytes[bytes([b])]) for b in range(256))
+        return F.struct(
+            literal_map(self.joins()).alias("joins"), F.lit(of_bytes).alias("bytes"),
+            texts(pieces).alias("pieces"), texts(numbers).alias("numbers"),
+        )
+
+
+def text_of(word: Column, known: Column) -> Column:
+    """A character for each byte of a word or of other bytes."""
+    latin = F.lit("".join(map(chr, range(256))))
+    return F.call_function("translate", F.decode(word.cast("binary"), "ISO-8859-1"), latin, known["bytes"])
+
+
+def chars(text: Column) -> Column:
+    """All characters of a text."""
+    return let(text, lambda whole: F.slice(F.split(whole, ""), F.lit(1), F.length(whole)))
+
+
+def on_bytes(of_text: Callable[[Column], Column], parts: Column, known: Column) -> Column:
+    """The pieces that a function of texts finds, from an array of bytes; both as hexadecimal text."""
+    found = let(text_of(F.unhex(F.array_join(parts, "")), known), of_text)
+    return F.transform(chars(found), lambda char: F.get(known["pieces"], rank_of(char)))
 
 
 def tail(parts: Column) -> Column:
     return F.slice(parts, F.lit(2), F.size(parts))
 
 
-def folded(parts: Column, known: Column) -> Column:
-    """The pieces of an array of bytes after all merges. Each step joins the first two neighbours of the lowest rank."""
-    none = F.lit(NONE)
-    rank = lambda a, b: F.coalesce(found(known["ranks"], F.concat(a, b)), none)
-    # Rank j is that of pieces j - 1 and j together; NONE where the two are no piece, and at both ends.
-    state = lambda pieces, ranks: F.struct(pieces.alias("pieces"), ranks.alias("ranks"))
+def merged(text: Column, known: Column) -> Column:
+    """The text of a word after all merges. Each step joins the first two neighbours of the lowest rank."""
+    rank = lambda pair: rank_in(known["joins"], pair)
+    # Character j of ranks is that of characters j and j + 1 of text together; an edge has none with any.
+    state = lambda text, ranks: F.struct(text.alias("text"), ranks.alias("ranks"))
+    pair = lambda text, j: text.substr(j, F.lit(2))
 
     def step(s: Column, _: Column) -> Column:
-        pieces, ranks = s["pieces"], s["ranks"]
-
         def join(best: Column) -> Column:
-            piece = F.get(known["pieces"], best)
-
             def at(j: Column) -> Column:
-                # Slice and flatten copy whole arrays at once, where a lambda would be worked out for each piece.
-                around = lambda row, middle, after: F.flatten(F.array(F.slice(row, F.lit(1), j - 1), middle, F.slice(row, after, F.size(row))))
-                beside = F.array(rank(F.get(pieces, j - 2), piece), rank(piece, F.get(pieces, j + 1)))
-                return state(around(pieces, F.array(piece), j + 2), around(ranks, beside, j + 3))
+                # Overlay copies whole texts at once, where a lambda would be worked out for each piece.
+                beside = lambda text: F.concat(rank(pair(text, j - 1)), rank(pair(text, j)))
+                joined = lambda text: state(text, F.overlay(s["ranks"], beside(text), j - 1, F.lit(3)))
+                return let(F.overlay(s["text"], best, j, F.lit(2)), joined)
 
-            return F.when(best == none, s).otherwise(let((F.array_position(ranks, best) - 1).cast("int"), at))
+            return F.when(best == NONE, s).otherwise(let(F.instr(s["ranks"], best), at))
 
-        return let(F.array_min(ranks), join)
+        return let(F.array_min(F.split(s["ranks"], "")), join)
 
-    start = state(parts, F.concat(F.array(none), F.zip_with(parts, tail(parts), rank)))
-    return F.aggregate(F.sequence(F.lit(1), F.size(parts)), start, step)["pieces"]
+    def whole(text: Column) -> Column:
+        ranks = F.array_join(F.transform(F.sequence(F.lit(1), F.length(text) - 1), lambda j: rank(pair(text, j))), "")
+        return F.aggregate(F.sequence(F.lit(3), F.length(text)), state(text, ranks), step)["text"]
 
+    edged = let(F.concat(F.lit(EDGE), text, F.lit(EDGE)), whole)
+    return let(edged, lambda text: F.substr(text, F.lit(2), F.length(text) - 2))
 
-def folded_at_once(parts: Column, known: Column) -> Column:
-    """What ``folded`` gives. Each step joins all neighbours of the lowest rank at once, which is what joining them one by
+
+def folded(parts: Column, known: Column) -> Column:
+    """The pieces of an array of bytes after all merges; see ``merged``."""
+    return on_bytes(lambda text: merged(text, known), parts, known)
+
+
+def merged_at_once(text: Column, known: Column) -> Column:
+    """What ``merged`` gives. Each step joins all neighbours of the lowest rank at once, which is what joining them one by
     one from the left gives: a join makes no neighbours of a lower rank. A step costs more, and long words need few."""
-    stale = F.lit(-1)
-    rank = lambda a, b: found(known["ranks"], F.concat(a, b))
-    # Each piece with the rank that it has together with the next one; null where the two are no piece.
+    stale = F.lit(EDGE)
+    rank = lambda a, b: F.coalesce(rank_in(known["joins"], F.concat(a, b)), F.lit(NONE))
+    # Each piece with the rank that it has together with the next one.
     item = lambda piece, r: F.struct(piece.alias("piece"), r.alias("rank"))
     state = lambda items: F.struct(items.alias("items"), F.array_min(F.transform(items, lambda x: x["rank"])).alias("rank"))
-    none = F.lit(None).cast("struct<piece:string,rank:int>")
+    none = F.lit(None).cast("struct<piece:string,rank:string>")
 
     def step(s: Column, _: Column) -> Column:
         items, best = s["items"], s["rank"]
 
-        def join(piece: Column) -> Column:
-            half = F.shiftright(F.length(piece), 1)
-            hit = F.transform(items, lambda x: x["rank"] == best)
+        def join(marks: Column) -> Column:
             # Of overlapping places, which only twice the same piece has, every second counts, from the left.
-            marks = F.array_join(F.transform(items, lambda x: F.when(x["rank"] == best, "1").otherwise("0")), "")
-            apart = F.transform(F.split(F.regexp_replace(marks, "11", "10"), ""), lambda mark: mark == "1")
-            taken = F.when(F.left(piece, half) == F.right(piece, half), apart).otherwise(hit)
+            taken = F.transform(F.split(F.regexp_replace(marks, "11", "10"), ""), lambda mark: mark == "1")
             put = lambda at: F.filter(F.transform(items, lambda x, i: (
-                F.when(F.get(at, i), item(piece, stale)).when(F.get(at, i - 1), none).when(F.get(at, i + 1), item(x["piece"], stale)).otherwise(x)
+                F.when(F.get(at, i), item(best, stale)).when(F.get(at, i - 1), none).when(F.get(at, i + 1), item(x["piece"], stale)).otherwise(x)
             )), lambda x: x.isNotNull())
             ranked = lambda left: F.transform(left, lambda x, i: (
                 F.when(x["rank"] == stale, item(x["piece"], rank(x["piece"], F.get(left, i + 1)["piece"]))).otherwise(x)
             ))
             return let(let(let(taken, put), ranked), state)
 
-        return F.when(best.isNull(), s).otherwise(let(F.get(known["pieces"], best), join))
+        marks = F.array_join(F.transform(items, lambda x: F.when(x["rank"] == best, "1").otherwise("0")), "")
+        return F.when(F.coalesce(best, F.lit(NONE)) == NONE, s).otherwise(let(marks, join))
+
+    start = let(chars(text), lambda parts: F.zip_with(parts, tail(parts), lambda a, b: item(a, rank(a, b))))
+    items = F.aggregate(F.sequence(F.lit(1), F.length(text)), let(start, state), step)["items"]
+    return F.array_join(F.transform(items, lambda x: x["piece"]), "")
 
-    start = F.zip_with(parts, tail(parts), lambda a, b: item(a, rank(a, b)))
-    return F.transform(F.aggregate(F.sequence(F.lit(1), F.size(parts)), let(start, state), step)["items"], lambda x: x["piece"])
+
+def folded_at_once(parts: Column, known: Column) -> Column:
+    """What ``folded`` gives; see ``merged_at_once``."""
+    return on_bytes(lambda text: merged_at_once(text, known), parts, known)
 
 
-def spans(parts: Column, start: Column) -> Column:
+def spans(text: Column, start: Column, known: Column) -> Column:
     """Pieces with their places: an array of (start, end, piece)."""
     none = F.expr("cast(array() as array<struct<start:int,end:int,piece:string>>)")
 
     def step(state: Column, piece: Column) -> Column:
-        size = F.shiftright(F.length(piece), 1)
+        size = F.shiftright(F.length(F.get(known["pieces"], rank_of(piece))), 1)
         one = F.struct(state["at"].alias("start"), (state["at"] + size).alias("end"), piece.alias("piece"))
         return F.struct(F.concat(state["done"], F.array(one)).alias("done"), (state["at"] + size).alias("at"))
 
-    return F.aggregate(parts, F.struct(none.alias("done"), start.cast("int").alias("at")), step)["done"]
+    return F.aggregate(chars(text), F.struct(none.alias("done"), start.cast("int").alias("at")), step)["done"]
 
 
-def stitched(parts: Column, known: Column, part: int = PART) -> Column:
-    """What ``folded`` gives, from the folds of parts and of zones over their borders; null if some border has no common piece."""
-    count = F.ceil(F.size(parts) / part).cast("int")
+def merged_in_parts(text: Column, known: Column, part: int = PART) -> Column:
+    """What ``merged`` gives, from the folds of parts and of zones over their borders; null if some border has no common piece."""
+    count = F.ceil(F.length(text) / part).cast("int")
     piecewise = lambda first, last, shift: F.transform(
-        F.sequence(first, last), lambda k: let(k * part + shift, lambda at: spans(folded(F.slice(parts, at + 1, F.lit(part)), known), at))
+        F.sequence(first, last), lambda k: let(k * part + shift, lambda at: spans(merged(text.substr(at + 1, F.lit(part)), known), at, known))
     )
 
     def cut(sides: Column) -> Column:
@@ -195,7 +249,7 @@ def stitched(parts: Column, known: Column, part: int = PART) -> Column:
         # Where the zone after each part takes over, and where the next part does.
         over = F.zip_with(F.slice(own, F.lit(1), F.size(zones)), zones, lambda a, z: F.get(F.array_intersect(a, z), F.lit(0))["end"])
         back = F.zip_with(zones, tail(own), lambda z, a: F.get(F.array_intersect(z, a), F.lit(0))["start"])
-        ends = F.struct(F.concat(F.array(F.lit(0)), back).alias("starts"), F.concat(over, F.array(F.size(parts))).alias("ends"))
+        ends = F.struct(F.concat(F.array(F.lit(0)), back).alias("starts"), F.concat(over, F.array(F.length(text))).alias("ends"))
 
         def whole(at: Column) -> Column:
             def of_part(found_in: Column, k: Column) -> Column:
@@ -203,7 +257,7 @@ def stitched(parts: Column, known: Column, part: int = PART) -> Column:
                 between = F.filter(F.get(zones, k), lambda p: (p["start"] >= F.get(at["ends"], k)) & (p["end"] <= F.get(at["starts"], k + 1)))
                 return F.concat(kept, F.when(k < F.size(zones), between).otherwise(F.slice(kept, F.lit(1), F.lit(0))))
 
-            pieces = F.transform(F.flatten(F.transform(own, of_part)), lambda p: p["piece"])
+            pieces = F.array_join(F.transform(F.flatten(F.transform(own, of_part)), lambda p: p["piece"]), "")
             missing = F.exists(F.concat(at["starts"], at["ends"]), lambda p: p.isNull())
             return F.when(~missing, pieces)
 
@@ -212,36 +266,59 @@ def stitched(parts: Column, known: Column, part: int = PART) -> Column:
     return let(F.struct(piecewise(F.lit(0), count - 1, 0).alias("own"), piecewise(F.lit(0), count - 2, part // 2).alias("zones")), cut)
 
 
+def stitched(parts: Column, known: Column, part: int = PART) -> Column:
+    """What ``folded`` gives, or null; see ``merged_in_parts``."""
+    return on_bytes(lambda text: merged_in_parts(text, known, part), parts, known)
+
+
+def merged_long(text: Column, known: Column, part: int = PART) -> Column:
+    return F.coalesce(merged_in_parts(text, known, part), merged_at_once(text, known))
+
+
+def word_text(word: Column, known: Column, part: int = PART) -> Column:
+    """The text of a word after all merges."""
+    return let(text_of(word, known), lambda text: F.when(F.length(text) > 2 * part, merged_long(text, known, part)).otherwise(merged(text, known)))
+
+
+def ids_of(text: Column) -> Column:
+    return F.transform(chars(text), rank_of)
+
+
 def word_ids(word: Column, known: Column, part: int = PART) -> Column:
     """The ids of a word."""
+    return ids_of(word_text(word, known, part))
 
-    def ids(parts: Column) -> Column:
-        longer = F.coalesce(stitched(parts, known, part), folded_at_once(parts, known))
-        pieces = F.when(F.size(parts) > 2 * part, longer).otherwise(folded(parts, known))
-        return F.transform(pieces, lambda piece: found(known["ranks"], piece))
 
-    return let(F.regexp_extract_all(F.hex(word), F.lit(".."), F.lit(0)), ids)
+def merged_between(text: Column, known: Column) -> Column:
+    """A text with its words between two edges after all merges; around them stand texts of finished words."""
+
+    def whole(parts: Column) -> Column:
+        done = F.transform(F.filter(parts, lambda _, i: i % 2 == 1), lambda word: merged(word, known))
+        around = F.filter(parts, lambda _, i: i % 2 == 0)
+        return F.array_join(F.zip_with(around, done, lambda a, word: F.concat(a, F.coalesce(word, F.lit("")))), "")
+
+    return let(F.split(text, EDGE), whole)
 
 
 def frequent_words(words: DataFrame, ranks: Ranks, most: int = FREQUENT, most_bytes: int = FREQUENT_BYTES, counted: int = COUNTED) -> DataFrame:
-    """Rows (word, ids), settled, of the words that stand in most of about ``counted`` rows of ``words`` (doc_id, words), at most
+    """Rows (word, text), settled, of the words that stand in most of about ``counted`` rows of ``words`` (doc_id, words), at most
     ``most`` words of few bytes."""
     share = counted / max(counted, words.count())
     drawn = words.where(F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(1_000_000)) < int(share * 1_000_000))
     each = drawn.select(F.explode(F.array_distinct("words")).alias("word")).where(F.octet_length("word") <= most_bytes)
     often = each.groupBy("word").count().orderBy(F.desc("count"), "word").limit(most).select("word")
-    return written(often.repartition(24).select("word", let(ranks.literals(), lambda known: word_ids(F.col("word"), known)).alias("ids")))
+    return written(often.repartition(24).select("word", let(ranks.literals(), lambda known: word_text(F.col("word"), known)).alias("text")))
 
 
 def settled_map(entries: DataFrame) -> Column:
-    """A literal map (see ``found``) of the rows (word, ids), which Spark puts in place of a subquery when the query starts.
+    """A list of small maps of the rows (word, text), which Spark puts in place of a subquery when the query starts.
 
     It never goes through Python, and tasks read it as one block of bytes."""
     slot = (F.crc32("word") % WORD_SLOTS).alias("slot")
-    dealt = entries.groupBy(slot).agg(F.collect_list("word").alias("words"), F.collect_list("ids").alias("ids"))
+    dealt = entries.groupBy(slot).agg(F.collect_list("word").alias("words"), F.collect_list("text").alias("texts"))
     empty = entries.sparkSession.range(WORD_SLOTS).select(F.col("id").alias("slot"))
-    slots = empty.join(dealt, "slot", "left").agg(F.sort_array(F.collect_list(F.struct("slot", "words", "ids"))).alias("slots"))
-    return slots.select(F.transform("slots", lambda x: F.map_from_arrays(x["words"], x["ids"]))).scalar()
+    slots = empty.join(dealt, "slot", "left").agg(F.sort_array(F.collect_list(F.struct("slot", "words", "texts"))).alias("slots"))
+    return slots.select(F.transform("slots", lambda x: F.map_from_arrays(x["words"], x["texts"]))).scalar()
 
 
 def encode(docs: DataFrame, ranks: Ranks, key: str = "doc_id", text: str = "text", pattern: str = public_tokenizers.PATTERN, most: int = FREQUENT) -> DataFrame:
@@ -254,8 +331,13 @@ def encode(docs: DataFrame, ranks: Ranks, key: str = "doc_id", text: str = "text
     # Within a lambda Spark takes a column that stands for a subquery, and no subquery.
     words = words.withColumn("frequent", settled_map(frequent_words(words, ranks, most)))
     known = F.struct(ranks.literals().alias("vocabulary"), "frequent")
-    of_word = lambda at: lambda word: F.coalesce(found(at["frequent"], word, WORD_SLOTS), word_ids(word, at["vocabulary"]))
-    return words.select("doc_id", let(known, lambda at: F.flatten(F.transform("words", of_word(at)))).alias("ids"))
+
+    def of_word(at: Column, word: Column) -> Column:
+        folding = lambda text: F.when(F.length(text) > 2 * PART, merged_long(text, at["vocabulary"])).otherwise(F.concat(F.lit(EDGE), text, F.lit(EDGE)))
+        return F.coalesce(F.element_at(slot_of(at["frequent"], word, WORD_SLOTS), word), let(text_of(word, at["vocabulary"]), folding))
+
+    joined = lambda at: F.array_join(F.transform("words", lambda word: of_word(at, word)), "")
+    return words.select("doc_id", ids_of(let(known, lambda at: merged_between(joined(at), at["vocabulary"]))).alias("ids"))
 
 
 def id_bytes(ids: Column, known: Column) -> Column:

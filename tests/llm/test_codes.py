@@ -251,3 +251,17 @@ def test_frequent_words_are_no_part_of_the_plan(spark, ranks):
     assert "zeventy" not in plan.toString().replace("zeventy zeventy", "").replace("zeventy words", "")
     assert plan.toString().count("scalar-subquery") == 1 and len(plan.output().mkString(",").split(",")) == 2
     assert not plan.children().head().output().mkString(",").count("frequent")
+
+
+def test_a_word_is_a_text_of_its_pieces(spark, ranks, library):
+    """One character a piece, in the order of ranks, also past the surrogates; the map of frequent words holds such texts."""
+    from pyspark.sql import functions as F
+
+    numbers = [0, 1, 93, 255, 50_000, 0xD7EF, 0xD7F0, 60_000, 200_000]
+    held = spark.createDataFrame([(byte_bpe.char_of(n),) for n in numbers], "c string")
+    assert [r[0] for r in held.orderBy("c").select(byte_bpe.rank_of(F.col("c"))).collect()] == numbers
+    assert all(len(pair) == 2 for pair in ranks.joins()) and byte_bpe.NONE > max(ranks.joins().values())
+    words = ["zeventy", " \x01\x02\x03", "\x00", "ééaupa", "aaaaaaa", " word"]
+    docs = spark.createDataFrame([(1, words)], "doc_id long, words array<string>")
+    rows = byte_bpe.frequent_words(docs, ranks).collect()
+    assert {r.word: [ord(c) - byte_bpe.FIRST for c in r.text] for r in rows} == {w: library.encode_ordinary(w) for w in words}
